@@ -66,7 +66,7 @@ def main(argv: list[str]) -> int:
     from __spark_entry__ import oracle_sql, queries
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     oracles, failed = oracle_sql(), 0
