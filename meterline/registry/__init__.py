@@ -1,6 +1,6 @@
 """All named queries; importing this package registers them."""
 
-from meterline.registry import models, scans  # noqa: F401
+from meterline.registry import models, reports, scalars, scans  # noqa: F401
 from meterline.registry.book import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
