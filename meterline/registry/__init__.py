@@ -1,6 +1,8 @@
 """All named queries; importing this package registers them."""
 
-from meterline.registry import models, reports, scalars, scans  # noqa: F401
+from meterline.registry import (  # noqa: F401
+    learning, maintenance, models, reports, scalars, scans, streams,
+)
 from meterline.registry.book import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

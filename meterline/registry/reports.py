@@ -409,12 +409,9 @@ def report_single_file(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-_GAP = 6 * 3600
-
-
-def _islands(partition: str) -> str:
+def _islands(partition: str, gap: str) -> str:
     over = f"({partition} ORDER BY ts)"
-    return f"""marked AS (SELECT *, CASE WHEN ts > lag(ts) OVER {over} + INTERVAL 6 HOUR
+    return f"""marked AS (SELECT *, CASE WHEN ts > lag(ts) OVER {over} + INTERVAL {gap}
           OR lag(ts) OVER {over} IS NULL THEN 1 ELSE 0 END AS opens FROM events),
         numbered AS (SELECT *, sum(opens) OVER ({partition} ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session
           FROM marked)"""
@@ -422,22 +419,22 @@ def _islands(partition: str) -> str:
 
 @query(
     "global_session_pairs",
-    f"""WITH {_islands('')}, spans AS (SELECT session, min(ts) AS session_start,
-          max(ts) + INTERVAL 6 HOUR AS session_end FROM numbered GROUP BY 1)
+    f"""WITH {_islands('', '5 MINUTE')}, spans AS (SELECT session, min(ts) AS session_start,
+          max(ts) + INTERVAL 5 MINUTE AS session_end FROM numbered GROUP BY 1)
         SELECT session_start, session_end, user_id, event_type, count(*) AS trip_count
         FROM numbered JOIN spans USING (session) GROUP BY 1, 2, 3, 4""",
 )
 def global_session_pairs(spark, sf_dir):
-    return sessions.global_session_pairs(roles.events(spark, sf_dir), "ts", _GAP, ["user_id", "event_type"])
+    return sessions.global_session_pairs(roles.events(spark, sf_dir), "ts", 5 * 60, ["user_id", "event_type"])
 
 
 @query(
     "longest_streak",
-    f"""WITH {_islands('PARTITION BY user_id, event_type')}, streaks AS (
+    f"""WITH {_islands('PARTITION BY user_id, event_type', '6 HOUR')}, streaks AS (
           SELECT user_id, event_type, session, count(*) AS n FROM numbered GROUP BY 1, 2, 3)
         SELECT user_id, event_type, max(n) AS longest_streak FROM streaks GROUP BY 1, 2""",
 )
 def longest_streak(spark, sf_dir):
     pair = ["user_id", "event_type"]
-    streaks = sessions.sessions(roles.events(spark, sf_dir), "ts", _GAP, pair, "streak_length")
+    streaks = sessions.sessions(roles.events(spark, sf_dir), "ts", 6 * 3600, pair, "streak_length")
     return sessions.longest_streaks(streaks, pair)
