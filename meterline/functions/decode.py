@@ -18,9 +18,9 @@ PAYMENT_TYPES = {
 OTHER_PAYMENT = "EMPTY"
 
 
-def payment_type_description(code: Column) -> Column:
+def payment_type_description(code: Column, is_text: bool = True) -> Column:
     """Label of a payment code; every other value, NULL included, reads ``EMPTY``."""
-    number = int_via_double(code)
+    number = int_via_double(code, is_text)
     label = F.lit(None).cast("string")
     for known, text in PAYMENT_TYPES.items():
         label = F.when(number == known, text).otherwise(label)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Text of another shape is turned away first, as a failed parse costs an exception.
+_EVENT_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
 def from_epoch_millis(millis: Column) -> Column:
@@ -14,7 +16,7 @@ def from_epoch_millis(millis: Column) -> Column:
 
 def parse_event_time(text: Column) -> Column:
     """Timestamp of ``yyyy-MM-dd HH:mm:ss`` text, NULL for anything else."""
-    return F.try_to_timestamp(text, F.lit(EVENT_TIME_FORMAT))
+    return F.when(text.rlike(_EVENT_TIME_SHAPE), F.try_to_timestamp(text, F.lit(EVENT_TIME_FORMAT)))
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:

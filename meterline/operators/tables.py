@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.functions.keys import row_hash, row_hash_bytes
 from meterline.operators.windows import keep_first
-from meterline.workspace import materialize, new_dir
+from meterline.workspace import new_dir
 
 
 def new_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -73,14 +73,19 @@ def append_rows(df: DataFrame, name: str) -> None:
     df.select(table.columns).write.insertInto(name)
 
 
-def merge_into_table(spark: SparkSession, name: str, source: DataFrame, key: str) -> None:
+def merge_into_table(spark: SparkSession, name: str, source: DataFrame, key: str, within: str | None = None) -> None:
     """Insert-only merge into a stored table: known rows stay, only new rows are written.
 
-    The new rows are settled in the shared folder before the append starts, so a
-    retried append task cannot see rows the same append has already added.
+    ``within`` names a column that equal keys share, such as the pickup time. Only
+    the part of the table between the source's least and greatest value is then
+    read, so a month costs a month however long the table's history. The table's
+    files are listed before the append starts, so the append never reads itself.
     """
-    fresh = materialize(new_rows(spark.table(name), source, key), "merge")
-    append_rows(fresh, name)
+    target = spark.table(name)
+    if within is not None:
+        span = source.agg(F.min(within).alias("low"), F.max(within).alias("high")).first()
+        target = target.filter(F.col(within).isNull() | F.col(within).between(F.lit(span.low), F.lit(span.high)))
+    append_rows(new_rows(target, source, key), name)
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:

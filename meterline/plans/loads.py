@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from meterline.operators import tables
 from meterline.sources.files import file_name, read_csv, read_monthly
 from meterline.sources.layout import write_partitioned
+from meterline.workspace import materialize
 
 
 def ingest_months(
@@ -37,9 +38,9 @@ def load_month(
     """
     landing = read_csv(spark, files, schema)
     identify = tables.with_warehouse_identity if warehouse else tables.with_landing_identity
-    staged = identify(landing, pickup, dropoff, file_name())
+    staged = materialize(identify(landing, pickup, dropoff, file_name()), "staged-month")
     tables.create_table(spark, table, staged.schema)
-    tables.merge_into_table(spark, table, staged, "unique_row_id")
+    tables.merge_into_table(spark, table, staged, "unique_row_id", within=pickup)
 
 
 def loaded_rows_like(table: DataFrame, filename_regex: str) -> DataFrame:

@@ -24,30 +24,45 @@ def _staged(
     money = {name: ehail_fee if name == "ehail_fee" else F.col(name) for name in MONEY}
     staged = kept.select(
         surrogate_key(F.col("vendorid"), F.col(pickup)).alias("tripid"),
-        safe_int(F.col("vendorid")).alias("vendorid"),
-        int_via_double(F.col("ratecodeid")).alias("ratecodeid"),
-        safe_int(F.col("pulocationid")).alias("pickup_locationid"),
-        safe_int(F.col("dolocationid")).alias("dropoff_locationid"),
+        _plain_int(raw, "vendorid").alias("vendorid"),
+        _float_int(raw, "ratecodeid").alias("ratecodeid"),
+        _plain_int(raw, "pulocationid").alias("pickup_locationid"),
+        _plain_int(raw, "dolocationid").alias("dropoff_locationid"),
         F.col(pickup).cast("timestamp").alias("pickup_datetime"),
         F.col(dropoff).cast("timestamp").alias("dropoff_datetime"),
         "store_and_fwd_flag",
-        safe_int(F.col("passenger_count")).alias("passenger_count"),
+        _plain_int(raw, "passenger_count").alias("passenger_count"),
         numeric(F.col("trip_distance")).alias("trip_distance"),
         trip_type.alias("trip_type"),
         *[numeric(column).alias(name) for name, column in money.items()],
         F.coalesce(payment_type, F.lit(0)).alias("payment_type"),
-        payment_type_description(F.col("payment_type")).alias("payment_type_description"),
+        payment_type_description(F.col("payment_type"), _is_text(raw, "payment_type")).alias(
+            "payment_type_description"
+        ),
     )
     return staged.limit(DEV_ROWS) if dev_mode else staged
 
 
+def _is_text(raw: DataFrame, name: str) -> bool:
+    types = {column.lower(): dtype for column, dtype in raw.dtypes}
+    return types[name.lower()] == "string"
+
+
+def _plain_int(raw: DataFrame, name: str) -> Column:
+    return safe_int(F.col(name), _is_text(raw, name))
+
+
+def _float_int(raw: DataFrame, name: str) -> Column:
+    return int_via_double(F.col(name), _is_text(raw, name))
+
+
 def stage_green(raw: DataFrame, dev_mode: bool = False) -> DataFrame:
     """Green trips; codes may arrive as float-looking text."""
     return _staged(
         raw, "lpep_pickup_datetime", "lpep_dropoff_datetime",
-        trip_type=int_via_double(F.col("trip_type")),
+        trip_type=_float_int(raw, "trip_type"),
         ehail_fee=F.col("ehail_fee"),
-        payment_type=int_via_double(F.col("payment_type")),
+        payment_type=_float_int(raw, "payment_type"),
         dev_mode=dev_mode,
     )
 
@@ -62,7 +77,7 @@ def stage_yellow(raw: DataFrame, dev_mode: bool = False) -> DataFrame:
         raw, "tpep_pickup_datetime", "tpep_dropoff_datetime",
         trip_type=F.lit(1),
         ehail_fee=F.lit(0),
-        payment_type=safe_int(F.col("payment_type")),
+        payment_type=_plain_int(raw, "payment_type"),
         dev_mode=dev_mode,
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +36,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_BUILT: dict[tuple[str, ...], str] = {}
+
+
+def built_once(spark: SparkSession, key: tuple[str, ...], build: Callable[[], str]) -> str:
+    """Path of a stored input that several jobs of one application share."""
+    full = (spark.sparkContext.applicationId, *key)
+    if full not in _BUILT:
+        _BUILT[full] = build()
+    return _BUILT[full]
