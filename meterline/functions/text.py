@@ -40,7 +40,7 @@ def base_id(base_number: Column) -> Column:
 @F.pandas_udf(T.StringType())
 def base_id_udf(base_number: pd.Series) -> pd.Series:
     """``base_id`` as a vectorised Python function, for parity checks only."""
-    number = pd.to_numeric(base_number.str[1:], errors="coerce").astype("Int64")
-    letter = pd.Series("e", index=number.index).mask(number % 3 == 0, "a").mask(number % 7 == 0, "s")
-    hexed = number.map(lambda n: format(n, "03x"), na_action="ignore")
-    return (letter + "/" + hexed).where(number.notna(), None)
+    number = pd.to_numeric(base_number.astype("string").str[1:], errors="coerce").astype("Int64")
+    known = number.dropna().astype("int64")
+    letter = pd.Series("e", index=known.index).mask(known % 3 == 0, "a").mask(known % 7 == 0, "s")
+    return (letter + "/" + known.map("{:03x}".format)).reindex(base_number.index).astype(object)
