@@ -43,11 +43,10 @@ def exact_percentiles(
 
 
 def _by_slices(counted: DataFrame, keys: list[str], probabilities: Mapping[str, float]) -> DataFrame:
-    # Slice borders only balance the work; any borders give the same result. The
-    # sliced table is written once, since every later step must see the same ones.
-    borders = counted.groupBy(*keys).agg(
-        F.percentile_approx("_value", [i / SLICES for i in range(1, SLICES)], SLICES * 10).alias("_borders")
-    )
+    # Slice borders only balance the work; any borders give the same result. Borders
+    # and slices are stored, since every later step must see the same ones.
+    approximate = F.percentile_approx("_value", [i / SLICES for i in range(1, SLICES)], SLICES * 10)
+    borders = materialize(counted.groupBy(*keys).agg(approximate.alias("_borders")), "value-borders")
     sliced = materialize(
         join_null_safe(counted, borders, keys)
         .withColumn("_slice", F.size(F.filter("_borders", lambda border: border < F.col("_value"))))

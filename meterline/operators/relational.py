@@ -49,6 +49,16 @@ def with_default_columns(df: DataFrame, columns: Sequence[str], default: str = "
     )
 
 
+def cast_present(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Cast those of the named columns the frame has; unreadable values become NULL.
+
+    Evens out files of one source whose column types drift.
+    """
+    names = {name.lower(): name for name in df.columns}
+    found = {names[name.lower()]: dtype for name, dtype in types.items() if name.lower() in names}
+    return df.withColumns({name: F.col(name).try_cast(dtype) for name, dtype in found.items()})
+
+
 def add_column(df: DataFrame, name: str, type_name: str, default: object = None) -> DataFrame:
     """A new column with the same value on every row."""
     return df.withColumn(name, F.lit(default).cast(type_name))

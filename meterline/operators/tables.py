@@ -67,13 +67,19 @@ def create_like(spark: SparkSession, name: str, template: str, path: str | None
     create_table(spark, name, spark.table(template).schema, path=path)
 
 
-def append_rows(df: DataFrame, name: str) -> None:
-    """INSERT INTO by column name."""
+def append_rows(df: DataFrame, name: str, balance_by: Sequence[str] = ()) -> None:
+    """INSERT INTO by column name; ``balance_by`` gathers the rows of each partition in few files."""
     table = df.sparkSession.table(name)
-    df.select(table.columns).write.insertInto(name)
+    rows = df.select(table.columns)
+    if balance_by:
+        rows = rows.hint("rebalance", *[F.col(column) for column in balance_by])
+    rows.write.insertInto(name)
 
 
-def merge_into_table(spark: SparkSession, name: str, source: DataFrame, key: str, within: str | None = None) -> None:
+def merge_into_table(
+    spark: SparkSession, name: str, source: DataFrame, key: str, within: str | None = None,
+    balance_by: Sequence[str] = (),
+) -> None:
     """Insert-only merge into a stored table: known rows stay, only new rows are written.
 
     ``within`` names a column that equal keys share, such as the pickup time. Only
@@ -85,7 +91,7 @@ def merge_into_table(spark: SparkSession, name: str, source: DataFrame, key: str
     if within is not None:
         span = source.agg(F.min(within).alias("low"), F.max(within).alias("high")).first()
         target = target.filter(F.col(within).isNull() | F.col(within).between(F.lit(span.low), F.lit(span.high)))
-    append_rows(new_rows(target, source, key), name)
+    append_rows(new_rows(target, source, key), name, balance_by)
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:

@@ -35,12 +35,19 @@ def load_month(
 
     Loading the same files again inserts nothing. Equal rows inside one load are
     all inserted, since the merge only looks at what the table held before.
+    The warehouse form hashes fewer columns and partitions the table by pickup
+    date; either way the merge reads only the stretch of the table the load covers.
     """
     landing = read_csv(spark, files, schema)
-    identify = tables.with_warehouse_identity if warehouse else tables.with_landing_identity
-    staged = materialize(identify(landing, pickup, dropoff, file_name()), "staged-month")
-    tables.create_table(spark, table, staged.schema)
-    tables.merge_into_table(spark, table, staged, "unique_row_id", within=pickup)
+    if warehouse:
+        staged = tables.with_warehouse_identity(landing, pickup, dropoff, file_name())
+        staged, within = staged.withColumn("pickup_date", F.to_date(pickup)), "pickup_date"
+    else:
+        staged, within = tables.with_landing_identity(landing, pickup, dropoff, file_name()), pickup
+    staged = materialize(staged, "staged-month")
+    partitions = ["pickup_date"] if warehouse else []
+    tables.create_table(spark, table, staged.schema, partitions)
+    tables.merge_into_table(spark, table, staged, "unique_row_id", within, partitions)
 
 
 def loaded_rows_like(table: DataFrame, filename_regex: str) -> DataFrame:

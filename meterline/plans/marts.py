@@ -12,6 +12,7 @@ from meterline.operators.dimensions import known_zones, with_both_zones
 from meterline.operators.joins import join_null_safe
 from meterline.operators.percentiles import exact_percentiles
 from meterline.operators.windows import at_dense_rank
+from meterline.workspace import materialize
 
 FACT_COLUMNS = [
     "tripid", "vendorid", "service_type", "ratecodeid",
@@ -163,7 +164,9 @@ def fare_p95_rows(facts: DataFrame, payments: Sequence[str] = FARE_PAYMENTS) ->
     """The 95th fare percentile of its service and month, on every paying trip.
 
     The percentile is computed once per group and joined back, instead of
-    sorting all trips of a group in one window partition.
+    sorting all trips of a group in one window partition. The few percentile rows
+    are stored first: the join is then planned with their true size, and the trips
+    are not shuffled for it.
     """
     ts = F.col("pickup_datetime")
     paying = _paying_trips(facts, payments).select(
@@ -176,7 +179,7 @@ def fare_p95_rows(facts: DataFrame, payments: Sequence[str] = FARE_PAYMENTS) ->
         F.col("fare_amount").cast("double").alias("fare"),
     )
     keys = ["service_type", "revenue_year", "revenue_month"]
-    p95 = exact_percentiles(paying, keys, "fare", {"fare_amount_p95": 0.95})
+    p95 = materialize(exact_percentiles(paying, keys, "fare", {"fare_amount_p95": 0.95}), "fare-p95")
     return join_null_safe(paying.drop("fare"), p95, keys)
 
 

@@ -77,6 +77,11 @@ def with_file_period(df: DataFrame) -> DataFrame:
     )
 
 
+def with_provenance(df: DataFrame) -> DataFrame:
+    """Add the file each row came from and the time of the load."""
+    return df.select("*", file_name().alias("source_file"), F.current_timestamp().alias("ingestion_timestamp"))
+
+
 def monthly_glob(root: str, taxi_type: str = "both", years: Sequence[int] = (), months: Sequence[int] = ()) -> str:
     """Path glob of the monthly files of a type, some years and some months; empty means all."""
     types = ["yellow", "green"] if taxi_type == "both" else [taxi_type]

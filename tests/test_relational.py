@@ -57,6 +57,12 @@ def test_rows_at_the_maximum(spark, rows):
     assert rows(relational.at_maximum(df, "v")) == [(3, "b"), (3, "c")]
 
 
+def test_drifting_types_are_evened_out(spark, rows):
+    df = spark.createDataFrame([("1", 7, "x")], "SR_Flag string, PUlocationID int, base string")
+    even = relational.cast_present(df, {"sr_flag": "double", "PUlocationID": "double", "DOlocationID": "double"})
+    assert rows(even) == [(1.0, 7.0, "x")]
+
+
 def test_add_column(spark, rows):
     df = relational.add_column(spark.range(1), "status", "string", "Active")
     assert rows(df) == [(0, "Active")]

@@ -73,6 +73,12 @@ def test_monthly_files_by_type_year_and_month(spark, tmp_path):
     assert (got.source_file, got.taxi_type, got.year, got.month) == ("yellow_tripdata_2020-02.csv", "yellow", 2020, 2)
 
 
+def test_provenance(spark, tmp_path):
+    monthly_tree(tmp_path)
+    row = files.with_provenance(files.read_csv(spark, str(tmp_path / "green" / "2020" / "01"), YELLOW_TRIPS)).first()
+    assert row.source_file == "green_tripdata_2020-01.csv" and row.ingestion_timestamp is not None
+
+
 def test_ingest_replaces_only_the_months_it_finds(spark, tmp_path):
     root, lake = monthly_tree(tmp_path / "raw"), str(tmp_path / "lake")
     loads.ingest_months(spark, root, lake, YELLOW_TRIPS, "yellow")
@@ -96,6 +102,7 @@ def test_monthly_load_is_idempotent(spark, tmp_path, warehouse):
     assert loads.loaded_rows_like(loaded, r"yellow_tripdata_2020-\d{2}\.csv").first().n_rows == 3
     assert loaded.filter(F.col("filename").like("yellow_tripdata_2020-02%")).count() == 2
     assert dict(loaded.dtypes)["unique_row_id"] == ("binary" if warehouse else "string")
+    assert loaded.columns[-1] == ("pickup_date" if warehouse else "congestion_surcharge")
 
 
 def test_save_modes(spark, tmp_path):
