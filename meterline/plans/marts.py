@@ -14,6 +14,7 @@ from meterline.operators.percentiles import exact_percentiles
 from meterline.operators.windows import at_dense_rank
 from meterline.workspace import materialize
 
+# The columns of the trip facts, and the summed money columns.
 FACT_COLUMNS = [
     "tripid", "vendorid", "service_type", "ratecodeid",
     "pickup_locationid", "pickup_borough", "pickup_zone",

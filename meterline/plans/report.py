@@ -11,6 +11,7 @@ from meterline.operators.relational import rename
 from meterline.session import build_session
 from meterline.sources.layout import write_single_file
 
+# The columns both services share, and the summed columns by their short names.
 COMMON_COLUMNS = [
     "VendorID", "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag", "RatecodeID",
     "PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount", "extra",

@@ -9,6 +9,7 @@ from meterline.functions.decode import payment_type_description
 from meterline.functions.keys import surrogate_key
 from meterline.operators.windows import keep_first
 
+# The money columns of a staged trip.
 MONEY = [
     "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
     "improvement_surcharge", "total_amount",
@@ -20,7 +21,8 @@ def _staged(
     raw: DataFrame, pickup: str, dropoff: str, trip_type: Column, ehail_fee: Column,
     payment_type: Column, dev_mode: bool,
 ) -> DataFrame:
-    kept = keep_first(raw.filter(F.col("vendorid").isNotNull()), ["vendorid", pickup])
+    # The pickup time comes first, as rows are sorted by it: few trips share it.
+    kept = keep_first(raw.filter(F.col("vendorid").isNotNull()), [pickup, "vendorid"])
     money = {name: ehail_fee if name == "ehail_fee" else F.col(name) for name in MONEY}
     staged = kept.select(
         surrogate_key(F.col("vendorid"), F.col(pickup)).alias("tripid"),

@@ -44,7 +44,7 @@ TRIPS = """timed AS (
   FROM timed
 )"""
 
-_LABEL = """CASE CAST(round(TRY_CAST(payment_type AS DOUBLE)) AS INTEGER)
+LABEL = """CASE CAST(round(TRY_CAST(payment_type AS DOUBLE)) AS INTEGER)
            WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute'
            WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip' ELSE 'EMPTY' END"""
 
@@ -67,7 +67,7 @@ def _staging(name: str, service: str, order: str, trip_type: str, ehail: str, pa
          CAST(tolls_amount AS DECIMAL(38,9)) AS tolls_amount, CAST({ehail} AS DECIMAL(38,9)) AS ehail_fee,
          CAST(improvement_surcharge AS DECIMAL(38,9)) AS improvement_surcharge,
          CAST(total_amount AS DECIMAL(38,9)) AS total_amount,
-         {payment} AS payment_type, {_LABEL} AS payment_type_description
+         {payment} AS payment_type, {LABEL} AS payment_type_description
   FROM (SELECT *, row_number() OVER (PARTITION BY vendorid, pickup_datetime ORDER BY {order}) AS rn
         FROM trips WHERE service = '{service}' AND vendorid IS NOT NULL)
   WHERE rn = 1

@@ -67,7 +67,7 @@ def merge_upsert(spark, sf_dir):
     source = trips.filter(F.col("pickup_datetime") >= F.lit("1998-06-01").cast("timestamp"))
     merged = tables.merge_upsert(
         target.withColumn("origin", F.lit("old")), source.withColumn("origin", F.lit("new")),
-        ["vendorid", "pickup_datetime"], [F.col("total_amount").desc(), F.col("passenger_count")],
+        ["pickup_datetime", "vendorid"], [F.col("total_amount").desc(), F.col("passenger_count")],
     )
     return as_double(merged, "total_amount")
 

@@ -94,7 +94,7 @@ def dedup_trips(spark, sf_dir):
         "service", "vendorid", "pickup_datetime", "dropoff_datetime", "pulocationid", "dolocationid",
         "passenger_count", "total_amount",
     )
-    return as_double(keep_first(narrow, ["service", "vendorid", "pickup_datetime"]), "total_amount")
+    return as_double(keep_first(narrow, ["pickup_datetime", "vendorid", "service"]), "total_amount")
 
 
 @query(

@@ -35,7 +35,7 @@ def safe_cast_chain(spark, sf_dir):
 
 @query(
     "payment_type_desc",
-    f"""WITH {checks.TRIPS} SELECT payment_type, {checks._LABEL} AS description, count(*) AS n
+    f"""WITH {checks.TRIPS} SELECT payment_type, {checks.LABEL} AS description, count(*) AS n
         FROM trips GROUP BY 1, 2""",
 )
 def payment_type_desc(spark, sf_dir):

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.functions.casts import numeric
+from meterline.operators.aggregates import average_rounded
 from meterline.operators.relational import with_default_columns
+from meterline.operators.tables import append_rows
 from meterline.plans import loads
 from meterline.registry import checks
 from meterline.registry.book import query
@@ -69,7 +71,14 @@ _HV_SQL = f"""WITH {checks.FHV} SELECT CASE WHEN pulocationid % 2 = 0 THEN 'HV00
     pulocationid AS "PULocationID", dolocationid AS "DOLocationID", sr_flag AS "SR_Flag" FROM fhv"""
 
 
-@query("scan_csv_untyped")
+@query(
+    "scan_csv_untyped",
+    f"""WITH typed AS ({_HV_SQL}) SELECT hvfhs_license_num, dispatching_base_num,
+        strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pickup_datetime,
+        strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') AS dropoff_datetime,
+        CAST("PULocationID" AS VARCHAR) AS "PULocationID", CAST("DOLocationID" AS VARCHAR) AS "DOLocationID",
+        "SR_Flag" FROM typed""",
+)
 def scan_csv_untyped(spark, sf_dir):
     return files.read_csv(spark, write_csv(high_volume(spark, sf_dir), "csv"))
 
@@ -213,8 +222,6 @@ def ctas_copy(spark, sf_dir):
     "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows FROM orders GROUP BY 1",
 )
 def append_years(spark, sf_dir):
-    from meterline.operators.tables import append_rows
-
     orders = roles.table(spark, sf_dir, "orders")
     early = F.year("o_orderdate") < 1998
     path = new_dir(spark, "years")
@@ -229,8 +236,6 @@ def append_years(spark, sf_dir):
     "SELECT p_brand AS brand, round(avg(p_retailprice), 2) AS avg_price FROM part GROUP BY 1",
 )
 def json_products_avg(spark, sf_dir):
-    from meterline.operators.aggregates import average_rounded
-
     part = roles.table(spark, sf_dir, "part")
     path = new_dir(spark, "products")
     product = F.struct(F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"))
@@ -276,7 +281,20 @@ def to_json_messages(spark, sf_dir):
     return trip_messages(spark, sf_dir)
 
 
-@query("describe_schema")
+_LINEITEM_TYPES = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+    "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+}
+
+
+@query(
+    "describe_schema",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, '{dtype}' AS data_type, count({name}) AS non_null_rows FROM lineitem"
+        for name, dtype in _LINEITEM_TYPES.items()
+    ),
+)
 def describe_schema(spark, sf_dir):
     return files.column_summary(roles.table(spark, sf_dir, "lineitem"))
 

@@ -17,6 +17,7 @@ def _struct(spec: str) -> T.StructType:
     return schema
 
 
+# Column names and types as the trip files, loads and messages declare them.
 GREEN_TRIPS = _struct(
     "VendorID integer, lpep_pickup_datetime timestamp, lpep_dropoff_datetime timestamp, "
     "store_and_fwd_flag string, RatecodeID integer, PULocationID integer, DOLocationID integer, "
