@@ -10,6 +10,7 @@ from meterline.plans import marts, staging
 from meterline.registry import checks
 from meterline.registry.book import query
 from meterline.registry.checks import money, moneys
+from meterline.schemas import ZONES
 from meterline.sources import roles
 from meterline.workspace import built_once, materialize, new_dir
 
@@ -34,7 +35,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         zone_dimension(roles.zone_seed(spark, sf_dir)).write.parquet(path)
         return path
 
-    return spark.read.parquet(built_once(spark, ("dim-zones", sf_dir), write))
+    return spark.read.schema(ZONES).parquet(built_once(spark, ("dim-zones", sf_dir), write))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,3 +63,28 @@ TRIP_MESSAGE = _struct(
 )
 
 PRODUCTS_DOCUMENT = T.StructType().add("products", T.ArrayType(_struct("brand string, price double")))
+
+# The given star-schema tables.
+TABLES = {
+    "region": _struct("r_regionkey integer, r_name string"),
+    "nation": _struct("n_nationkey integer, n_name string, n_regionkey integer"),
+    "customer": _struct(
+        "c_custkey long, c_name string, c_nationkey integer, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": _struct("s_suppkey long, s_name string, s_nationkey integer, s_acctbal double"),
+    "part": _struct(
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size integer, p_retailprice double"
+    ),
+    "orders": _struct(
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": _struct(
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber integer, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": _struct(
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    ),
+}

@@ -34,4 +34,6 @@ def build_session(app_name: str = "meterline", master: str | None = None, **sett
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
+    # Stack traces of every column call cost more than building the plan.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     return configure(builder.config("spark.ui.enabled", "false").getOrCreate())
