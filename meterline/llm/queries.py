@@ -6,9 +6,8 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from meterline.llm import quality_rules, token_blocks
+from meterline.llm import quality_rules, sentencepieces, simhash, token_blocks
 from meterline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +72,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids as packed blocks and read them back."""
     return token_blocks.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op7_sentencepieces")
+def op7_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and their decoding, as digests."""
+    return sentencepieces.digests(sentencepieces.encode(table(spark, sf_dir, "documents"), PIECE_BPE))
+
+
+@query("op9_simhash_groups")
+def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.groups(table(spark, sf_dir, "documents"))
