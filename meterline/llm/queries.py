@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterline.llm import quality_rules, sentencepieces, simhash, token_blocks
+from meterline.llm import mixing, quality_rules, sentencepieces, simhash, token_blocks
 from meterline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +85,37 @@ def op7_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@query("op6_source_mix", sql=r"""
+WITH sized AS (
+  SELECT doc_id, source, len(w)::BIGINT AS size, md5(t) AS h, t,
+    greatest(0.05::DOUBLE, 1::DOUBLE - length(regexp_replace(t, '[^#*$%&|<>!]+', '', 'g'))::DOUBLE / greatest(len(w), 1)) AS quality
+  FROM (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+), keyed AS (
+  SELECT *, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || h), 1, 13))::BIGINT + 1)::DOUBLE / 4503599627370496) / quality AS key
+  FROM sized
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM keyed GROUP BY source
+), weighted AS (
+  SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 2 * source_size AS lim FROM totals
+), levels AS (
+  SELECT *, lim::DOUBLE / weight AS ratio,
+    (1.5::DOUBLE * (SELECT sum(source_size) FROM weighted) - (sum(lim) OVER filling - lim))
+    / ((SELECT sum(weight) FROM weighted) - (sum(weight) OVER filling - weight)) AS level
+  FROM weighted WINDOW filling AS (ORDER BY lim::DOUBLE / weight, rank ROWS UNBOUNDED PRECEDING)
+), aims AS (
+  SELECT source, source_size, least(lim::DOUBLE, weight * (SELECT arg_min(level, (ratio, rank)) FROM levels WHERE level <= ratio)) AS target
+  FROM levels
+), ordered AS (
+  SELECT k.*, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs,
+    coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM keyed k JOIN aims a ON k.source IS NOT DISTINCT FROM a.source
+)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+  (size * (epochs + CASE WHEN 2 * ahead + size <= 2 * (target - epochs * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ordered
+""")
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
