@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import mixing, quality_rules, sentencepieces, simhash, token_blocks
+from meterline.llm import mixing, quality_bayes, quality_rules, sentencepieces, simhash, token_blocks
 from meterline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,9 @@ FROM ordered
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
+
+
+@query("op10_quality_bayes")
+def op10_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document, site and posterior evidence of every document, and the decision."""
+    return quality_bayes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
