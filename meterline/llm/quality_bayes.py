@@ -117,8 +117,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_labelled: in
     return logistic(x, y).tolist()
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 100) -> np.ndarray:
-    """Intercept and weights by Newton's method with a ridge penalty on standardised columns."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 100, weight: np.ndarray | None = None) -> np.ndarray:
+    """Intercept and weights by Newton's method with a ridge penalty on standardised columns.
+
+    ``y`` may lie between 0 and 1; ``weight`` counts each row.
+    """
+    weight = np.ones(len(x)) if weight is None else weight
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale[scale == 0] = 1
     z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
@@ -126,7 +130,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 1
     w = np.zeros(z.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + penalty, z.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + penalty, z.T @ (weight * (y - p)) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-9:
             break

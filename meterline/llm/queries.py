@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import mixing, quality_bayes, quality_rules, sentencepieces, simhash, token_blocks
+from meterline.llm import mixing, pii, quality_bayes, quality_rules, sentencepieces, simhash, token_blocks
 from meterline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document, site and posterior evidence of every document, and the decision."""
     return quality_bayes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_pii_spans")
+def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of personal data in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.digests(pii.find(docs, pii.fit(docs)))
