@@ -73,14 +73,30 @@ def steps(batch: pa.RecordBatch, text: str, size: int = STEP_BYTES) -> Iterator[
         begin = end
 
 
-def units(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """Cut texts before single spaces and encode the pieces as a dictionary.
+def _byte_set(members: bytes) -> np.ndarray:
+    flags = np.zeros(256, bool)
+    flags[list(members)] = True
+    return flags
+
+
+_LETTER = _byte_set(bytes(range(65, 91)) + bytes(range(97, 123)))
+_VISIBLE = _byte_set(bytes(range(0x21, 0x7F)))
+# An apostrophe may belong to the letters after it.
+_MARK = _VISIBLE & ~_LETTER & ~_byte_set(b"0123456789'")
+
+
+def units(texts: pa.Array, marks: bool = False) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Cut texts into units that are encoded independently, and encode the units as a dictionary.
 
     A cut lies before each space whose preceding character is no white space of any kind, so
     runs of white space are never cut. Byte-level pre-tokenizers that attach one space to the
     word after it, and merges over pieces that hold a space at their start only, never reach
     over such a cut: each distinct unit can be encoded once, and the result is exact.
 
+    ``marks`` adds the cuts where those pre-tokenizers end a token in any case: between an ASCII
+    letter and an ASCII mark other than the apostrophe, and around a line end between visible
+    ASCII characters. There are fewer distinct units then.
+
     Returns the units of all texts in order, and for each text the number of its first unit
     (with the number of units at the end).
     """
@@ -92,6 +108,12 @@ def units(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     inside = (last <= 0x20) | (lead2 == 0xC2) | ((lead3 >= 0xE1) & (lead3 <= 0xE3))
     begins = np.zeros(len(data) + 1, bool)
     begins[spaces[~inside]] = True
+    if marks and len(data) > 1:
+        begins[1:-1] |= _MARK[data[1:]] & _LETTER[data[:-1]]
+        ends = np.flatnonzero(data == 0x0A)
+        ends = ends[(ends > 0) & (ends < len(data) - 1)]
+        ends = ends[_VISIBLE[data[ends - 1]] & _VISIBLE[data[ends + 1]]]
+        begins[ends] = begins[ends + 1] = True
     begins[offsets] = True
     begins[len(data)] = False
     starts = np.flatnonzero(begins)

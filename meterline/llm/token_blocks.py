@@ -29,6 +29,7 @@ alone; repeated rows are encoded each; an empty table gives no blocks; other col
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterline.llm.common import gather, plain_strings, steps, text_or_empty, units
-from meterline.workspace import new_dir
+from meterline.workspace import materialize, new_dir
 
 BLOCK_IDS = 1 << 16
 BLOCK_SCHEMA = (
@@ -89,7 +90,7 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def lists(self, texts: list[str]) -> pa.ListArray:
         """The ids of each text as one list array."""
@@ -99,14 +100,12 @@ class UnitEncoder:
         for begin in range(0, len(new), 8192):
             part = new[begin:begin + 8192]
             for k, encoding in zip(part, self.tokenizer.encode_batch_fast([texts[k] for k in part], add_special_tokens=False)):
-                ids = np.array(encoding.ids, np.int32)
-                found[k] = ids
-                if len(known) < REMEMBERED_UNITS and len(ids) < 64:
+                ids = found[k] = array("i", encoding.ids).tobytes()
+                if len(known) < REMEMBERED_UNITS and len(ids) < 256:
                     known[texts[k]] = ids
         offsets = np.zeros(len(found) + 1, np.int32)
-        np.cumsum([len(ids) for ids in found], out=offsets[1:])
-        flat = np.concatenate(found) if found else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=offsets[1:])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), np.int32)))
 
 
 @lru_cache(maxsize=2)
@@ -116,7 +115,7 @@ def unit_encoder(path: str) -> UnitEncoder:
 
 def encode_texts(encoder: UnitEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in a row, and the number of ids of each text."""
-    pieces, first = units(texts)
+    pieces, first = units(texts, marks=True)
     ids, lengths = gather(encoder.lists(pieces.dictionary.to_pylist()), pieces.indices)
     ends = np.concatenate([[0], np.cumsum(lengths)])
     return ids, np.diff(ends[first])
@@ -182,7 +181,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """
     stored = spark.read.schema(BLOCK_SCHEMA).parquet(path)
     totals = stored.groupBy("shard").agg(F.sum("n_ids").alias("total"))
-    before = totals.select("shard", (F.sum("total").over(W.orderBy("shard")) - F.col("total")).alias("base"))
+    before = materialize(
+        totals.select("shard", (F.sum("total").over(W.orderBy("shard")) - F.col("total")).alias("base")), "token-shards")
     return (stored.join(before, "shard")
             .select((F.col("base") + F.col("first")).alias("first"), "bits", "doc_ids", "doc_ids_n", "payload")
             .mapInArrow(_read_blocks, "doc_id long, start long, n_tokens long, ids_crc32 long"))
