@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import mixing, pii, quality_bayes, quality_rules, sentencepieces, simhash, token_blocks
+from meterline.llm import (
+    mixing, pii, quality_bayes, quality_rules, sentencepieces, simhash, token_blocks, token_counts, tool_calls, topk,
+)
 from meterline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +134,73 @@ def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and added spans of personal data in every document."""
     docs = table(spark, sf_dir, "documents")
     return pii.digests(pii.find(docs, pii.fit(docs)))
+
+
+@query("op4_section_tokens")
+def op4_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; boundary-crossing tokens go to the larger part."""
+    return token_counts.section_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op5_tool_links", sql=r"""
+WITH RECURSIVE texts AS (
+  SELECT conv_id, turn, role, text, coalesce(text, '') AS t, length(coalesce(text, '')) AS l,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM conversations
+), log AS (
+  SELECT conv_id, turn, text,
+    CASE WHEN role = 'assistant' THEN 'call' WHEN role = 'user' AND turn > 0 THEN 'result' ELSE 'message' END AS kind,
+    CASE WHEN role = 'assistant' THEN 'call-' || conv_id || '-' || turn WHEN role = 'user' AND turn > 0 THEN 'call-' || conv_id || '-' || (turn - 1) END AS call_id,
+    CASE WHEN role = 'assistant' AND l % 2 = 0 AND turn >= 3 THEN 'call-' || conv_id || '-' || (turn - 2) END AS after,
+    CASE WHEN role = 'assistant' THEN ['search', 'convert', 'lookup'][(l % 3 + 1)::INTEGER] END AS name, l,
+    CASE WHEN role <> 'assistant' THEN NULL
+      WHEN l % 3 = 0 THEN '{"limit":' || (len(w) % 7) || ',"query":' || to_json(coalesce(w[1], ''))::VARCHAR || '}'
+      WHEN l % 3 = 1 THEN '{"unit":"char","value":' || l || '}'
+      ELSE '{' || CASE WHEN l % 5 = 0 THEN '' ELSE '"key":"turn-' || turn || '",' END
+        || '"strict":' || CASE WHEN l % 2 = 0 THEN 'true' ELSE 'false' END || '}' END AS canonical,
+    CASE WHEN l % 3 = 0 AND len(w) % 7 = 0 THEN ['limit: below 1'] WHEN l % 3 = 2 AND l % 5 = 0 THEN ['key: missing'] ELSE [] END AS argument_errors
+  FROM texts
+), calls AS (SELECT * FROM log WHERE kind = 'call'
+), chain(conv_id, call_id, turn, level) AS (
+  SELECT conv_id, call_id, turn, 0::BIGINT FROM calls c WHERE after IS NULL OR NOT EXISTS (FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.after)
+  UNION ALL
+  SELECT c.conv_id, c.call_id, c.turn, chain.level + 1 FROM calls c JOIN chain ON c.conv_id = chain.conv_id AND c.after = chain.call_id
+)
+SELECT c.conv_id, c.turn AS place, 2 * level AS level, c.turn, kind, c.call_id,
+  CASE WHEN EXISTS (FROM log r WHERE r.kind = 'result' AND r.conv_id = c.conv_id AND r.call_id = c.call_id) THEN 'answered' ELSE 'unanswered' END AS status,
+  array_to_string(e, '; ') AS errors, len(e) = 0 AS valid,
+  '{' || CASE WHEN after IS NULL THEN '' ELSE '"after":"' || after || '",' END || '"arguments":' || canonical || ',"call_id":"' || c.call_id || '"'
+    || CASE WHEN text IS NULL THEN '' ELSE ',"content":' || to_json(text)::VARCHAR END || ',"name":"' || name || '","role":"call"}' AS json
+FROM (SELECT *, argument_errors || CASE WHEN after IS NOT NULL AND NOT EXISTS (FROM calls p WHERE p.conv_id = calls.conv_id AND p.call_id = calls.after)
+  THEN ['after: unknown call'] ELSE [] END AS e FROM calls) c JOIN chain USING (conv_id, call_id)
+UNION ALL
+SELECT r.conv_id, r.turn, CASE WHEN chain.level IS NULL THEN 0 ELSE 2 * chain.level + 1 END, r.turn, kind, r.call_id,
+  CASE WHEN chain.level IS NULL THEN 'orphan' ELSE 'linked' END, '', true,
+  '{"call_id":"' || r.call_id || '"' || CASE WHEN text IS NULL THEN '' ELSE ',"content":' || to_json(text)::VARCHAR END || ',"role":"result"}'
+FROM log r LEFT JOIN chain USING (conv_id, call_id) WHERE kind = 'result'
+UNION ALL
+SELECT conv_id, turn, -1, turn, kind, NULL, 'plain', '', true,
+  CASE WHEN text IS NULL THEN '{"role":"message"}' ELSE '{"content":' || to_json(text)::VARCHAR || ',"role":"message"}' END
+FROM log WHERE kind = 'message'
+""")
+def op5_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tool log read from every conversation, linked, ordered, checked and serialised."""
+    linked = tool_calls.link(tool_calls.derive(table(spark, sf_dir, "conversations")))
+    return linked.withColumn("errors", F.array_join("errors", "; "))
+
+
+@query("op8_segment_topk", sql=r"""
+WITH usable AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT q.vec_id AS query_id, q.v AS qv, x.vec_id, x.v, list_dot_product(q.v::DOUBLE[], x.v::DOUBLE[])::BIGINT AS score
+  FROM usable q JOIN usable x ON x.vec_id <> q.vec_id AND len(x.v) = len(q.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id, v) AS rank FROM scored) WHERE rank <= 5
+""")
+def op8_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for every fiftieth id."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
