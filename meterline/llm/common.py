@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,6 +30,16 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def extended(rows: DataFrame, more: str, without: int = 1) -> T.StructType:
+    """The schema of ``rows`` without its last columns, and with those of the DDL text ``more``."""
+    fields = rows.schema.fields[:len(rows.schema.fields) - without]
+    return T.StructType([*fields, *T.StructType.fromDDL(more).fields])
+
+
 def unused_name(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` does not have, ignoring case."""
     taken = {name.lower() for name in df.columns}

@@ -146,7 +146,7 @@ def apply_mix(docs: DataFrame) -> DataFrame:
     names = {name: unused_name(docs, f"_mix_{name}") for name in ("source", "source_size", "epochs", "cut_slice", "cut", "row")}
     mixed = mixed.select(*(F.col(name).alias(names[name]) for name in ("source", "source_size", "epochs", "cut_slice", "cut")))
     row = unused_name(docs, "_mix_row")
-    whole = docs.select(F.struct("*").alias(row), *(f"`{c}`" for c in ("doc_id", "source", "text")))
+    whole = docs.select(F.struct("*").alias(row), "doc_id", "source", "text")
     sized = whole.withColumn("size", size_of("text"))
     keyed = sized.withColumn("key", draw(quality_of(F.col("size"), "text"), "text")).withColumn("tie", F.xxhash64(text_or_empty("text")))
     joined = keyed.join(mixed, F.col("source").eqNullSafe(F.col(names["source"])))

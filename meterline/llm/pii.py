@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import text_or_empty, unused_name
+from meterline.llm.common import extended, quoted, text_or_empty, unused_name
 from meterline.llm.quality_bayes import logistic
 
 KINDS = ("email", "ip", "card", "phone")
@@ -282,8 +282,7 @@ def find(docs: DataFrame, model: dict[tuple[int, ...], float], text: str = "text
                    for x in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.list_(_SPAN))], names=[*batch.schema.names[:-1], "spans"])
 
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kept}spans array<struct<kind: string, begin: long, end: long, base: boolean>>")
+    return rows.mapInArrow(run, extended(rows, "spans array<struct<kind: string, begin: long, end: long, base: boolean>>"))
 
 
 def redact_text(text: str, model: dict[tuple[int, ...], float]) -> str:
@@ -305,7 +304,7 @@ def redact(docs: DataFrame, text: str = "text", chars: str | None = "n_chars") -
     """All columns, with the spans in ``text`` replaced; ``chars``, if there, is the new length."""
     model = fit(docs, text)
     row = unused_name(docs, "_row")
-    whole = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias(row), F.col(f"`{text}`").cast("string").alias("_text"))
+    whole = docs.select(F.struct(*map(quoted, docs.columns)).alias(row), F.col(quoted(text)).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,7 +314,7 @@ def redact(docs: DataFrame, text: str = "text", chars: str | None = "n_chars") -
     done = whole.mapInArrow(run, whole.schema)
     columns = []
     for name in docs.columns:
-        column = F.col(f"{row}.`{name}`")
+        column = F.col(row)[name]
         if name == text:
             column = F.col("_text")
         elif name == chars:

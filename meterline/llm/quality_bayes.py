@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import STEP_BYTES, plain_strings, steps, text_bytes, text_or_empty, unused_name
+from meterline.llm.common import STEP_BYTES, extended, plain_strings, quoted, steps, text_bytes, text_or_empty, unused_name
 from meterline.workspace import materialize
 
 MAX_LABELLED = 20_000
@@ -87,7 +87,7 @@ def features(texts: pa.Array) -> np.ndarray:
 
 
 def _with_features(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
-    rows = docs.select(*(F.col(f"`{name}`") for name in keep), text_or_empty(text).alias("_text"))
+    rows = docs.select(*map(quoted, keep), text_or_empty(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,8 +97,7 @@ def _with_features(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame
                     pa.array(np.arange(len(values) + 1, dtype=np.int32) * len(FEATURES)), pa.array(values.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([*step.columns[:-1], lists], names=[*step.schema.names[:-1], "features"])
 
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kept}features array<double>")
+    return rows.mapInArrow(run, extended(rows, "features array<double>"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_labelled: int = MAX_LABELLED) -> list[float] | None:
@@ -191,9 +190,9 @@ def site_table(evidence: DataFrame) -> DataFrame:
 
 def _evidence(docs: DataFrame, model: list[float] | None, keep: Sequence[str], text: str, host: Column, path: Column) -> DataFrame:
     """The columns ``keep`` with host, path and logit of every row."""
-    sited = docs.select(*(F.col(f"`{name}`") for name in keep), F.col(f"`{text}`").alias("_body"), host.alias("_site_host"), path.alias("_site_path"))
+    sited = docs.select(*map(quoted, keep), F.col(quoted(text)).alias("_body"), host.alias("_site_host"), path.alias("_site_path"))
     return _with_features(sited, (*keep, "_site_host", "_site_path"), "_body").select(
-        *(F.col(f"`{name}`") for name in keep), F.col("_site_host").alias("host"), F.col("_site_path").alias("path"),
+        *map(quoted, keep), F.col("_site_host").alias("host"), F.col("_site_path").alias("path"),
         document_logit(model).alias("logit"))
 
 
@@ -219,7 +218,7 @@ def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     light = materialize(_evidence(docs, model, ("doc_id",), "text", F.col("source"), F.col("lang")), "quality-evidence")
     sites = materialize(site_table(light), "quality-sites").select(F.col("host").alias("_h"), F.col("path").alias("_p"), "site_logit")
     row = unused_name(docs, "_row")
-    whole = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias(row), "text", "source", "lang")
+    whole = docs.select(F.struct(*map(quoted, docs.columns)).alias(row), "text", "source", "lang")
     judged = _evidence(whole, model, (row,), "text", F.col("source"), F.col("lang"))
     joined = judged.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
     return joined.filter(F.col("logit") + F.col("site_logit") >= 0).select(f"{row}.*")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import text_or_empty, unused_name
+from meterline.llm.common import extended, quoted, text_or_empty, unused_name
 from meterline.workspace import materialize
 
 SHINGLE_WORDS = 3
@@ -78,8 +78,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(values.view(np.int64), pa.int64())], names=[*batch.schema.names[:-1], "fp"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kept}, fp long" if kept else "fp long")
+    return rows.mapInArrow(run, extended(rows, "fp long"))
 
 
 @lru_cache(maxsize=1)
@@ -216,4 +215,4 @@ def representatives(docs: DataFrame, join_limit: int = JOIN_LIMIT) -> DataFrame:
     first = F.min(F.struct(named["_none"], named["_id"], named["_hash"])).alias("first")
     kept = materialize(rows.join(roots(rows, join_limit), "fp").groupBy("root").agg(first).select("first.*"), "simhash-kept")
     keyed = docs.select("*", *keys)
-    return keyed.join(kept, list(named.values()), "left_semi").dropDuplicates(list(named.values())).select(*(f"`{c}`" for c in docs.columns))
+    return keyed.join(kept, list(named.values()), "left_semi").dropDuplicates(list(named.values())).select(*map(quoted, docs.columns))
