@@ -236,14 +236,28 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = EM_
     return posterior, reliability, share
 
 
-def fit(docs: DataFrame, text: str = "text") -> dict[tuple[int, ...], float]:
-    """Probability of each pattern by the span classifier.
+class SpanModel:
+    """The span classifier; a probability is computed once per pattern and process."""
+
+    def __init__(self, weights: np.ndarray) -> None:
+        self.weights = weights
+        self._known: dict[tuple[int, ...], float] = {}
+
+    def probability(self, pattern: tuple[int, ...]) -> float:
+        if pattern not in self._known:
+            odds = float(self.weights[0] + np.array(_row(pattern)) @ self.weights[1:])
+            self._known[pattern] = 1 / (1 + np.exp(-max(-30.0, min(30.0, odds))))
+        return self._known[pattern]
+
+
+def fit(docs: DataFrame, text: str = "text") -> SpanModel | None:
+    """The span classifier of a corpus; None without candidates.
 
     At most ``PATTERNS`` rows of counts reach the driver.
     """
     rows = np.array([tuple(row) for row in count_patterns(docs, text).orderBy(*(f"p{k}" for k in range(8))).collect()], np.int64)
     if not len(rows):
-        return {}
+        return None
     posterior = np.empty(len(rows))
     for kind in range(len(KINDS)):
         mine = rows[:, 0] == kind
@@ -252,18 +266,16 @@ def fit(docs: DataFrame, text: str = "text") -> dict[tuple[int, ...], float]:
     x = np.array([_row(tuple(row[:8])) for row in rows.tolist()])
     # The posterior is a soft label. Counts enter by their logarithm, so that the classifier
     # learns the votes and features and not the most frequent pattern alone.
-    model = logistic(x, posterior, weight=np.log1p(rows[:, 8]))
-    p = 1 / (1 + np.exp(-np.clip(model[0] + x @ model[1:], -30, 30)))
-    return {tuple(row[:8]): float(q) for row, q in zip(rows.tolist(), p)}
+    return SpanModel(logistic(x, posterior, weight=np.log1p(rows[:, 8])))
 
 
-def spans(text: str, model: dict[tuple[int, ...], float]) -> list[Candidate]:
-    """Base spans and the added ones, by kind and place."""
-    found = candidates(text)
+def spans(text: str, model: SpanModel | None) -> list[Candidate]:
+    """Base spans and those the model adds, by kind and place."""
+    found = candidates(text, loose=model is not None)
     base = [c for c in found if c.base]
     taken = [(c.begin, c.end) for c in base]
     for c in found:
-        if not c.base and model.get(pattern_of(label(text, c)), 0.0) >= THRESHOLD and all(c.end <= a or b <= c.begin for a, b in taken):
+        if not c.base and model.probability(pattern_of(label(text, c))) >= THRESHOLD and all(c.end <= a or b <= c.begin for a, b in taken):
             base.append(c)
             taken.append((c.begin, c.end))
     return sorted(base, key=lambda c: (c.kind, c.begin))
@@ -272,7 +284,7 @@ def spans(text: str, model: dict[tuple[int, ...], float]) -> list[Candidate]:
 _SPAN = pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
 
 
-def find(docs: DataFrame, model: dict[tuple[int, ...], float], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def find(docs: DataFrame, model: SpanModel | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ``spans`` of every row."""
     rows = docs.select(*(F.col(name) for name in keep), text_or_empty(text).alias("_text"))
 
@@ -285,7 +297,7 @@ def find(docs: DataFrame, model: dict[tuple[int, ...], float], text: str = "text
     return rows.mapInArrow(run, extended(rows, "spans array<struct<kind: string, begin: long, end: long, base: boolean>>"))
 
 
-def redact_text(text: str, model: dict[tuple[int, ...], float]) -> str:
+def redact_text(text: str, model: SpanModel | None) -> str:
     """The text with every span replaced by its kind in angle brackets; overlapping spans are one."""
     merged: list[list] = []
     for c in sorted(spans(text, model), key=lambda c: (c.begin, c.kind)):

@@ -42,6 +42,7 @@ class Argument:
     allowed: tuple[str, ...] = ()
 
 
+LOG = ("conv_id", "turn", "kind", "call_id", "after", "name", "arguments", "content")
 Schema = Mapping[str, Argument]
 TOOLS: Mapping[str, Schema] = {
     "convert": {"unit": Argument("string", allowed=("char", "word")), "value": Argument("integer", low=0)},
@@ -145,7 +146,7 @@ def link(log: DataFrame, tools: Mapping[str, Schema] = TOOLS) -> DataFrame:
     nor result are placed at their turn with level -1.
     """
     key = ["conv_id", "call_id"]
-    stored = materialize(log, "calls-log")
+    stored = materialize(log.select(*LOG), "calls-log")
     calls, results = stored.filter("kind = 'call'"), stored.filter("kind = 'result'")
     placed = materialize(levels(calls), "calls-levels")
     answered = materialize(results.filter("call_id IS NOT NULL").select(*key).distinct().withColumn("answered", F.lit(True)), "calls-answered")

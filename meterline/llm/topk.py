@@ -35,6 +35,7 @@ BLOCK_QUERIES = 1024
 TOGETHER = 128
 PAIRS = 1 << 18
 EXACT = float(1 << 53)
+LIMITS = (-float(1 << 63), float(1 << 63))
 _OUT = "query_id long, query_hash long, vec_id long, hash long, score long"
 _ARROW = pa.schema([(name.split()[0], pa.int64()) for name in _OUT.split(", ")])
 
@@ -100,7 +101,7 @@ def search(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray,
         threshold = -np.partition(-seen, min(k, some) - 1, axis=1)[:, min(k, some) - 1] if some >= k else np.full(len(rows), -np.inf)
         columns = np.arange(len(x))
         for of_queries, of_rows in levels:
-            bound = of_queries[part] @ of_rows[columns].T + margin[:, columns]
+            bound = np.clip(of_queries[part] @ of_rows[columns].T + margin[:, columns], *LIMITS)  # as scores are
             alive = (bound >= threshold[:, None]) & ~own[:, columns]
             left = alive.any(axis=0)
             columns, alive = columns[left], alive[:, left]
