@@ -37,6 +37,8 @@ ROUND_CHARACTERS = 48
 # Text per step of a task, and ids that become Python numbers at once for the library's decoder.
 STEP = 16 << 20
 DECODED_IDS = 1 << 20
+# Distinct words whose checked ids a Python worker remembers; others are encoded again.
+REMEMBERED_WORDS = 300_000
 
 
 class PieceModel:
@@ -90,6 +92,7 @@ class PieceModel:
         points = sorted((ord(piece), k) for piece, k in self.ids.items() if len(piece) == 1)
         self.points = np.array([p for p, _ in points], np.int64)
         self.point_ids = np.array([k for _, k in points], np.int64)
+        self.known: dict[str, bytes] = {}
 
     # One word ------------------------------------------------------------------------------
 
@@ -244,15 +247,29 @@ class PieceModel:
                                        flat[offsets[begin]:offsets[begin + len(part)]][np.repeat(~lone, own)])):
                 raise AssertionError("ids differ from the sentencepiece library's")
 
+    def word_lists(self, words: list[str]) -> pa.ListArray:
+        """Checked ids of each word; a bounded number of words is remembered between batches."""
+        known = self.known
+        found = [known.get(word) for word in words]
+        new = [k for k, ids in enumerate(found) if ids is None]
+        unseen = [words[k] for k in new]
+        lists = self.encode_words(unseen)
+        self.check_words(unseen, lists)
+        blob, ends = np.asarray(lists.values).tobytes(), (4 * np.asarray(lists.offsets)).tolist()
+        for n, k in enumerate(new):
+            ids = found[k] = blob[ends[n]:ends[n + 1]]
+            if len(known) < REMEMBERED_WORDS and len(ids) < 256:
+                known[words[k]] = ids
+        offsets = np.zeros(len(found) + 1, np.int32)
+        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=offsets[1:])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), np.int32)))
+
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """Ids of each text; ``texts`` holds no nulls."""
         spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string()))
         empty = np.asarray(pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
         pieces, first = units(spaced.filter(pa.array(~empty)))
-        words = pieces.dictionary.to_pylist()
-        lists = self.encode_words(words)
-        self.check_words(words, lists)
-        taken = lists.take(pieces.indices)
+        taken = self.word_lists(pieces.dictionary.to_pylist()).take(pieces.indices)
         ends = np.asarray(taken.offsets)[first] if len(first) > 1 else np.zeros(1, np.int32)
         counts = np.zeros(len(texts), np.int64)
         counts[~empty] = np.diff(ends)
