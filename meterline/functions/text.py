@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 
 def zone_label(borough: Column, zone: Column) -> Column:
@@ -30,17 +29,9 @@ def base_id(base_number: Column) -> Column:
     """Short id of a dispatching base: ``B02884`` gives ``s/b44``.
 
     The letter is ``s`` for numbers divisible by 7, else ``a`` when divisible
-    by 3, else ``e``; the number follows in hex with at least three digits.
+    by 3, else ``e``; the number follows in hex with at least three digits. A number
+    beyond 64 bits has no id.
     """
-    number = F.substring(base_number, 2, 18).try_cast("bigint")
+    number = F.substr(base_number, F.lit(2)).try_cast("bigint")
     letter = F.when(number % 7 == 0, "s").when(number % 3 == 0, "a").otherwise("e")
     return F.concat(letter, F.lit("/"), zero_padded(F.lower(F.hex(number)), 3))
-
-
-@F.pandas_udf(T.StringType())
-def base_id_udf(base_number: pd.Series) -> pd.Series:
-    """``base_id`` as a vectorised Python function, for parity checks only."""
-    number = pd.to_numeric(base_number.astype("string").str[1:], errors="coerce").astype("Int64")
-    known = number.dropna().astype("int64")
-    letter = pd.Series("e", index=known.index).mask(known % 3 == 0, "a").mask(known % 7 == 0, "s")
-    return (letter + "/" + known.map("{:03x}".format)).reindex(base_number.index).astype(object)

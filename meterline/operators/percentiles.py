@@ -9,22 +9,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 from meterline.operators.joins import join_null_safe
 from meterline.workspace import materialize
 
-# Up to this many distinct values per group, the built-in aggregate's buffer is small.
-MAX_BUFFERED_VALUES = 200_000
 SLICES = 256
 
 
-def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float],
-    max_buffered_values: int = MAX_BUFFERED_VALUES,
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float]) -> DataFrame:
     """One row per group with the named percentiles of ``value``; NULLs are skipped.
 
-    Equal values are counted before the shuffle, so repeats cost nothing. Groups
-    with few distinct values go to the built-in aggregate. When some group has
-    more, all groups are cut into value slices, and only the slices that hold a
-    wanted rank are sorted.
+    Equal values are counted before the shuffle, so repeats cost nothing. Every group
+    is cut into value slices, and only the slices that hold a wanted rank are sorted.
     """
+    if not keys:
+        return exact_percentiles(df.withColumn("_all", F.lit(1)), ["_all"], value, probabilities).drop("_all")
     keys = list(keys)
     counted = materialize(
         df.filter(F.col(value).isNotNull())
@@ -32,17 +27,6 @@ def exact_percentiles(
         .agg(F.count("*").alias("_n")),
         "value-counts",
     )
-    largest = counted.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= max_buffered_values:
-        points = F.array(*[F.lit(float(p)) for p in probabilities.values()])
-        grouped = counted.groupBy(*keys).agg(F.percentile("_value", points, F.col("_n")).alias("_points"))
-        return grouped.select(
-            *keys, *[F.col("_points")[i].alias(name) for i, name in enumerate(probabilities)]
-        )
-    return _by_slices(counted, keys, probabilities)
-
-
-def _by_slices(counted: DataFrame, keys: list[str], probabilities: Mapping[str, float]) -> DataFrame:
     # Slice borders only balance the work; any borders give the same result. Borders
     # and slices are stored, since every later step must see the same ones.
     approximate = F.percentile_approx("_value", [i / SLICES for i in range(1, SLICES)], SLICES * 10)

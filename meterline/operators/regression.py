@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from meterline.operators.percentiles import exact_percentiles
+from meterline.workspace import materialize
+
 LABEL = "tip_amount"
 PREDICTION = "predicted_tip_amount"
 CATEGORIES = ["PULocationID", "DOLocationID", "payment_type"]
@@ -57,63 +59,87 @@ def split(features: DataFrame, evaluation_tenths: int = 2) -> tuple[DataFrame, D
     return features.filter(tenth >= evaluation_tenths), features.filter(tenth < evaluation_tenths)
 
 
-def _stages(l1: float = 0.0, l2: float = 0.0) -> list:
-    indexed, encoded = [f"{c}_index" for c in CATEGORIES], [f"{c}_onehot" for c in CATEGORIES]
-    strength = l1 + l2
+def _known(features: DataFrame) -> DataFrame:
+    return features.filter(F.col(LABEL).isNotNull())
+
+
+def _preparation(features: DataFrame) -> list:
+    """Stages that turn any feature row into a vector; no row is dropped.
+
+    A missing number takes the training mean, or 0 where training has none. A
+    missing or new category counts as the base category, the most frequent one,
+    which has no weight of its own: weights beside an intercept are determined then.
+    """
+    means = features.agg(*[F.coalesce(F.avg(F.col(name).cast("double")), F.lit(0.0)).alias(name) for name in NUMBERS]).first()
+    filled = ", ".join(f"coalesce(CAST({name} AS DOUBLE), {means[name]!r}D) AS {name}_filled" for name in NUMBERS)
+    indexed, encoded, sliced = ([f"{c}_{part}" for c in CATEGORIES] for part in ("index", "onehot", "category"))
+    indexer = StringIndexer(inputCols=CATEGORIES, outputCols=indexed, handleInvalid="keep").fit(features)
+    inputs = [f"{name}_filled" for name in NUMBERS]
+    slicers = []
+    for source, target, labels in zip(encoded, sliced, indexer.labelsArray):
+        if len(labels) > 1:
+            slicers.append(VectorSlicer(inputCol=source, outputCol=target, indices=list(range(1, len(labels)))))
+            inputs.append(target)
     return [
-        StringIndexer(inputCols=CATEGORIES, outputCols=indexed, handleInvalid="keep"),
+        SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+        indexer,
         OneHotEncoder(inputCols=indexed, outputCols=encoded),
-        VectorAssembler(inputCols=[*NUMBERS, *encoded], outputCol="features", handleInvalid="skip"),
-        LinearRegression(
-            labelCol=LABEL, featuresCol="features", predictionCol=PREDICTION,
-            regParam=strength, elasticNetParam=l1 / strength if strength else 0.0,
-        ),
+        *slicers,
+        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"),
     ]
 
 
-def train(features: DataFrame, l1: float = 0.0, l2: float = 0.0) -> PipelineModel:
-    """Fit the tip on rows whose tip is known."""
-    return Pipeline(stages=_stages(l1, l2)).fit(features.filter(F.col(LABEL).isNotNull()))
+def _regression(l1: float = 0.0, l2: float = 0.0) -> LinearRegression:
+    strength = l1 + l2
+    return LinearRegression(
+        labelCol=LABEL, featuresCol="features", predictionCol=PREDICTION,
+        regParam=strength, elasticNetParam=l1 / strength if strength else 0.0,
+    )
 
 
-def _weights(model: PipelineModel) -> tuple[dict[str, float], dict[str, dict[str, float]]]:
-    """Weights of the numeric columns, and per categorical column of each category."""
-    indexer, regression = model.stages[0], model.stages[-1]
-    weights = [float(weight) for weight in regression.coefficients]
-    numeric = dict(zip(NUMBERS, weights))
-    position, categorical = len(NUMBERS), {}
-    for name, labels in zip(CATEGORIES, indexer.labelsArray):
-        categorical[name] = dict(zip(labels, weights[position:]))
-        position += len(labels)
-    return numeric, categorical
+def train(features: DataFrame, l1: float = 0.0, l2: float = 0.0) -> PipelineModel:
+    """Fit the tip on rows whose tip is known."""
+    known = _known(features)
+    return Pipeline(stages=[*_preparation(known), _regression(l1, l2)]).fit(known)
 
 
 def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """One row per weight: column, category (NULL for numbers) and weight."""
-    numeric, categorical = _weights(model)
+    """One row per weight: column, category (NULL for numbers) and weight; base categories weigh 0."""
+    weights = [float(weight) for weight in model.stages[-1].coefficients]
     rows = [("__INTERCEPT__", None, float(model.stages[-1].intercept))]
-    rows += [(name, None, weight) for name, weight in numeric.items()]
-    rows += [(name, label, weight) for name, labels in categorical.items() for label, weight in labels.items()]
+    rows += [(name, None, weight) for name, weight in zip(NUMBERS, weights)]
+    position = len(NUMBERS)
+    for name, labels in zip(CATEGORIES, model.stages[1].labelsArray):
+        rows += [(name, label, weight) for label, weight in zip(labels, [0.0, *weights[position:]])]
+        position += max(len(labels) - 1, 0)
     return spark.createDataFrame(rows, "processed_input string, category string, weight double")
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """Feature rows with the predicted tip."""
+    """Every feature row with the predicted tip."""
     return model.transform(features).select(*features.columns, PREDICTION)
 
 
 def evaluate(predictions: DataFrame) -> DataFrame:
-    """Error measures of the predictions, in one pass."""
+    """Error measures of the predictions; the median is exact."""
     label, guess = F.col(LABEL), F.col(PREDICTION)
     error = label - guess
     log_error = F.log1p(F.greatest(label, F.lit(0.0))) - F.log1p(F.greatest(guess, F.lit(0.0)))
-    return predictions.filter(label.isNotNull()).agg(
-        F.avg(F.abs(error)).alias("mean_absolute_error"),
-        F.avg(error * error).alias("mean_squared_error"),
-        F.avg(log_error * log_error).alias("mean_squared_log_error"),
-        F.percentile_approx(F.abs(error), 0.5).alias("median_absolute_error"),
-        (1 - F.avg(error * error) / F.var_pop(label)).alias("r2_score"),
-        (1 - F.var_pop(error) / F.var_pop(label)).alias("explained_variance"),
+    known = materialize(
+        predictions.filter(label.isNotNull()).select(label, F.abs(error).alias("size"), error.alias("error"), log_error.alias("log_error")),
+        "errors",
+    )
+    measures = known.agg(
+        F.avg("size").alias("mean_absolute_error"),
+        F.avg(F.col("error") * F.col("error")).alias("mean_squared_error"),
+        F.avg(F.col("log_error") * F.col("log_error")).alias("mean_squared_log_error"),
+        (1 - F.avg(F.col("error") * F.col("error")) / F.var_pop(label)).alias("r2_score"),
+        (1 - F.var_pop("error") / F.var_pop(label)).alias("explained_variance"),
+    )
+    median = exact_percentiles(known, [], "size", {"median_absolute_error": 0.5}).scalar()
+    return measures.select(
+        "mean_absolute_error", "mean_squared_error", "mean_squared_log_error", median.alias("median_absolute_error"),
+        "r2_score", "explained_variance",
     )
 
 
@@ -121,25 +147,34 @@ def explain(model: PipelineModel, features: DataFrame, top: int = 3) -> DataFram
     """Predictions with the ``top`` columns that move each one most from the average.
 
     A column's share is its weight times the distance of its value from the mean.
+    Category weights are joined from a stored table, so their number is no part of the plan.
     """
-    numeric, categorical = _weights(model)
-    shares = {name: F.col(name).cast("double") * F.lit(weight) for name, weight in numeric.items()}
-    for name, labels in categorical.items():
-        pairs = [F.lit(part) for label, weight in labels.items() for part in (label, weight)]
-        shares[name] = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(name)), F.lit(0.0))
-    means = features.agg(*[F.avg(share).alias(name) for name, share in shares.items()]).first()
+    spark = features.sparkSession
+    table = materialize(coefficients(spark, model), "weights")
+    numeric = {r["processed_input"]: r["weight"] for r in table.filter("category IS NULL").collect()}
+    filled = model.stages[0].transform(predict(model, features))
+    for name in CATEGORIES:
+        weights = table.filter(F.col("processed_input") == name).select(
+            F.col("category").alias(f"_{name}"), F.col("weight").alias(f"_{name}_weight"))
+        filled = filled.join(weights, F.col(name) == F.col(f"_{name}"), "left")
+    shares = {name: F.col(f"{name}_filled") * F.lit(numeric[name]) for name in NUMBERS}
+    shares |= {name: F.coalesce(F.col(f"_{name}_weight"), F.lit(0.0)) for name in CATEGORIES}
+    shared = materialize(
+        filled.select(*features.columns, PREDICTION, *[share.alias(f"_share_{name}") for name, share in shares.items()]), "shares")
+    means = shared.agg(*[F.coalesce(F.avg(f"_share_{name}"), F.lit(0.0)).alias(name) for name in shares]).first()
     parts = [
         F.struct(
-            F.abs(share - F.lit(means[name])).alias("size"),
+            F.abs(F.col(f"_share_{name}") - F.lit(means[name])).alias("size"),
             F.lit(name).alias("feature"),
-            (share - F.lit(means[name])).alias("attribution"),
+            (F.col(f"_share_{name}") - F.lit(means[name])).alias("attribution"),
         )
-        for name, share in shares.items()
+        for name in shares
     ]
     ranked = F.slice(F.sort_array(F.array(*parts), asc=False), 1, top)
-    return predict(model, features).withColumn(
-        "top_feature_attributions",
-        F.transform(ranked, lambda part: F.struct(part["feature"].alias("feature"), part["attribution"].alias("attribution"))),
+    return shared.select(
+        *features.columns, PREDICTION,
+        F.transform(ranked, lambda part: F.struct(part["feature"].alias("feature"), part["attribution"].alias("attribution")))
+        .alias("top_feature_attributions"),
     )
 
 
@@ -150,21 +185,23 @@ def trial_points(trials: int, seed: int = 17) -> list[tuple[float, float]]:
 
 
 def tune(features: DataFrame, trials: int = 5, parallel: int = 2, points: Sequence[tuple[float, float]] | None = None) -> DataFrame:
-    """Try penalty pairs and report the evaluation error of each, best first."""
+    """Try penalty pairs and report the evaluation error of each, best first.
+
+    Rows are split by a hash, so that reruns and other partitionings give the same errors.
+    """
     chosen = list(points or trial_points(trials))
-    *prepare, regression = _stages()
-    known = features.filter(F.col(LABEL).isNotNull())
-    prepared = Pipeline(stages=prepare).fit(known).transform(known).select("features", LABEL)
-    grid = [
-        {regression.regParam: l1 + l2, regression.elasticNetParam: l1 / (l1 + l2) if l1 + l2 else 0.0}
-        for l1, l2 in chosen
-    ]
-    search = TrainValidationSplit(
-        estimator=regression, estimatorParamMaps=grid, trainRatio=0.8, parallelism=parallel, seed=17,
-        evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION, metricName="mse"),
-    )
-    errors = search.fit(prepared).validationMetrics
-    rows = [(i + 1, l1, l2, float(error)) for i, ((l1, l2), error) in enumerate(zip(chosen, errors))]
+    training, evaluation = split(_known(features))
+    prepared = Pipeline(stages=_preparation(training)).fit(training)
+    fit_on = materialize(prepared.transform(training).select("features", LABEL), "tuning")
+    judge_on = materialize(prepared.transform(evaluation).select("features", LABEL), "tuning")
+
+    def error(point: tuple[float, float]) -> float:
+        scored = _regression(*point).fit(fit_on).transform(judge_on)
+        return float(scored.agg(F.avg((F.col(LABEL) - F.col(PREDICTION)) ** 2)).first()[0])
+
+    with ThreadPoolExecutor(parallel) as pool:
+        errors = list(pool.map(error, chosen))
+    rows = [(i + 1, l1, l2, value) for i, ((l1, l2), value) in enumerate(zip(chosen, errors))]
     return features.sparkSession.createDataFrame(
         rows, "trial_id int, l1_reg double, l2_reg double, mean_squared_error double"
     ).orderBy("mean_squared_error", "trial_id")

@@ -14,17 +14,16 @@ MONEY = [
     "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
     "improvement_surcharge", "total_amount",
 ]
-DEV_ROWS = 100
 
 
 def _staged(
     raw: DataFrame, pickup: str, dropoff: str, trip_type: Column, ehail_fee: Column,
-    payment_type: Column, dev_mode: bool,
+    payment_type: Column,
 ) -> DataFrame:
     # The pickup time comes first, as rows are sorted by it: few trips share it.
     kept = keep_first(raw.filter(F.col("vendorid").isNotNull()), [pickup, "vendorid"])
     money = {name: ehail_fee if name == "ehail_fee" else F.col(name) for name in MONEY}
-    staged = kept.select(
+    return kept.select(
         surrogate_key(F.col("vendorid"), F.col(pickup)).alias("tripid"),
         _plain_int(raw, "vendorid").alias("vendorid"),
         _float_int(raw, "ratecodeid").alias("ratecodeid"),
@@ -42,7 +41,6 @@ def _staged(
             "payment_type_description"
         ),
     )
-    return staged.limit(DEV_ROWS) if dev_mode else staged
 
 
 def _is_text(raw: DataFrame, name: str) -> bool:
@@ -58,18 +56,17 @@ def _float_int(raw: DataFrame, name: str) -> Column:
     return int_via_double(F.col(name), _is_text(raw, name))
 
 
-def stage_green(raw: DataFrame, dev_mode: bool = False) -> DataFrame:
+def stage_green(raw: DataFrame) -> DataFrame:
     """Green trips; codes may arrive as float-looking text."""
     return _staged(
         raw, "lpep_pickup_datetime", "lpep_dropoff_datetime",
         trip_type=_float_int(raw, "trip_type"),
         ehail_fee=F.col("ehail_fee"),
         payment_type=_float_int(raw, "payment_type"),
-        dev_mode=dev_mode,
     )
 
 
-def stage_yellow(raw: DataFrame, dev_mode: bool = False) -> DataFrame:
+def stage_yellow(raw: DataFrame) -> DataFrame:
     """Yellow trips: always street hails without an e-hail fee.
 
     The payment code takes a plain safe cast, so ``'1.0'`` becomes 0 while its
@@ -80,14 +77,17 @@ def stage_yellow(raw: DataFrame, dev_mode: bool = False) -> DataFrame:
         trip_type=F.lit(1),
         ehail_fee=F.lit(0),
         payment_type=_plain_int(raw, "payment_type"),
-        dev_mode=dev_mode,
     )
 
 
 def stage_fhv(raw: DataFrame, year: int = 2019) -> DataFrame:
-    """For-hire trips of one year that name their base."""
+    """For-hire trips of one year that name their base.
+
+    The year is a range, so that it reaches the files' statistics.
+    """
     pickup = F.col("pickup_datetime").cast("timestamp")
-    return raw.filter((F.year(pickup) == year) & F.col("dispatching_base_num").isNotNull()).select(
+    first, end = (F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp") for y in (year, year + 1))
+    return raw.filter((pickup >= first) & (pickup < end) & F.col("dispatching_base_num").isNotNull()).select(
         "dispatching_base_num",
         F.col("PULocationID").cast("int").alias("pickup_locationid"),
         F.col("DOLocationID").cast("int").alias("dropoff_locationid"),

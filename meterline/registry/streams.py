@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.registry import checks
@@ -15,6 +17,8 @@ from meterline.workspace import new_dir
 # A message far behind all others: it moves the watermark past every real window.
 SENTINEL_KEY = -1
 SENTINEL_TIME = "2200-01-01 00:00:00"
+# Windows are told from the sentinel's by their time: real keys may be NULL or hold any value.
+SENTINEL_START = datetime(2200, 1, 1)
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +28,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _as_event_messages(events: DataFrame) -> DataFrame:
     shaped = events.select(
-        F.col("user_id").cast("int").alias("test_data"),
+        F.col("user_id").alias("test_data"),
         (F.unix_micros("ts") / 1000).cast("double").alias("event_timestamp"),
     )
     return messages.to_messages(shaped, ["test_data", "event_timestamp"])
@@ -65,7 +69,7 @@ class Replay:
 
 @query(
     "stream_passthrough",
-    """SELECT CAST(user_id AS INTEGER) AS test_data, date_trunc('millisecond', ts)::TIMESTAMP AS event_timestamp
+    """SELECT user_id AS test_data, date_trunc('millisecond', ts)::TIMESTAMP AS event_timestamp
        FROM events""",
 )
 def stream_passthrough(spark, sf_dir):
@@ -79,7 +83,7 @@ def stream_passthrough(spark, sf_dir):
 
 
 def _tumble_sql(width: str) -> str:
-    return f"""SELECT date_trunc('{width}', ts)::TIMESTAMP AS event_hour, CAST(user_id AS INTEGER) AS test_data,
+    return f"""SELECT date_trunc('{width}', ts)::TIMESTAMP AS event_hour, user_id AS test_data,
         count(*) AS num_hits FROM events GROUP BY 1, 2"""
 
 
@@ -98,7 +102,7 @@ def stream_watermark(spark, sf_dir):
     replay = Replay(spark, "watermark")
     replay.step(batch, job)
     replay.step(_event_sentinel(spark), job)
-    return replay.rows(job(batch)).filter(F.col("test_data") != SENTINEL_KEY)
+    return replay.rows(job(batch)).filter(F.col("event_hour") < SENTINEL_START)
 
 
 @query("stream_tumble", _tumble_sql("minute"))
@@ -149,7 +153,7 @@ def stream_session_query(spark, sf_dir):
     replay = Replay(spark, "session")
     replay.step(batch, job)
     replay.step(_trip_sentinel(spark), job)
-    return replay.rows(job(batch)).filter(F.col("PULocationID") != SENTINEL_KEY)
+    return replay.rows(job(batch)).filter(F.col("session_start") < SENTINEL_START)
 
 
 @query(

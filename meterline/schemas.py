@@ -55,7 +55,7 @@ LANDING_YELLOW = _struct(
     "total_amount decimal(38,9), congestion_surcharge decimal(38,9)"
 )
 
-EVENT_MESSAGE = _struct("test_data integer, event_timestamp double")
+EVENT_MESSAGE = _struct("test_data long, event_timestamp double")
 
 TRIP_MESSAGE = _struct(
     "lpep_pickup_datetime string, lpep_dropoff_datetime string, PULocationID integer, "

@@ -4,6 +4,7 @@ import hashlib
 from datetime import datetime
 from decimal import Decimal
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from meterline.functions import casts, decode, keys, temporal, text
@@ -57,13 +58,25 @@ def test_row_hash_collides_without_separator(spark):
 
 
 def test_base_id_native_and_python_agree(spark):
+    @F.pandas_udf("string")
+    def base_id_udf(base_number: pd.Series) -> pd.Series:
+        number = pd.to_numeric(base_number.astype("string").str[1:], errors="coerce").astype("Int64")
+        known = number.dropna().astype("int64")
+        letter = pd.Series("e", index=known.index).mask(known % 3 == 0, "a").mask(known % 7 == 0, "s")
+        return (letter + "/" + known.map("{:03x}".format)).reindex(base_number.index).astype(object)
+
     df = spark.createDataFrame([("B02884",), ("B00003",), ("B00001",), ("B00007",), ("B99999",), (None,)], "b string")
     native = [r[0] for r in df.select(text.base_id(F.col("b"))).collect()]
-    python = [r[0] for r in df.select(text.base_id_udf(F.col("b"))).collect()]
+    python = [r[0] for r in df.select(base_id_udf(F.col("b"))).collect()]
     assert native == ["s/b44", "a/003", "e/001", "s/007", "a/1869f", None]
     assert python == native
 
 
+def test_long_base_numbers_are_read_whole(spark):
+    df = spark.createDataFrame([("B0000000000000000028844",), ("B00000000000000002884",), ("B" + "9" * 22,)], "b string")
+    assert [r[0] for r in df.select(text.base_id(F.col("b"))).collect()] == ["e/70ac", "s/b44", None]
+
+
 def test_zero_padding_never_cuts(spark):
     assert one(spark, text.zero_padded(F.lit("7"), 3), text.zero_padded(F.lit("12345"), 3)) == ("007", "12345")
 

@@ -14,21 +14,20 @@ from meterline.streaming.windows import session_streaks
 NAMED = {"p0": 0.0, "p50": 0.5, "p90": 0.9, "p97": 0.97, "p100": 1.0}
 
 
-def percentile_rows(df, keys, limit):
-    result = percentiles.exact_percentiles(df, keys, "v", NAMED, max_buffered_values=limit)
+def percentile_rows(df, keys):
+    result = percentiles.exact_percentiles(df, keys, "v", NAMED)
     return {tuple(r[k] for k in keys): [r[n] for n in NAMED] for r in result.collect()}
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
 @pytest.mark.parametrize("slices", [4, 256])
-def test_percentiles_match_brute_force(spark, monkeypatch, limit, slices):
+def test_percentiles_match_brute_force(spark, monkeypatch, slices):
     monkeypatch.setattr(percentiles, "SLICES", slices)
     draw = random.Random(3)
     # One group holds most rows, one repeats a single value, one has one row, one key is NULL.
     data = [("hot", round(draw.expovariate(0.1), 2)) for _ in range(3000)]
     data += [("same", 7.0)] * 500 + [("one", -1.5)] + [(None, float(draw.randint(-5, 5))) for _ in range(400)]
     df = spark.createDataFrame([*data, ("hot", None)], "g string, v double")
-    got = percentile_rows(df, ["g"], limit)
+    got = percentile_rows(df, ["g"])
     assert set(got) == {("hot",), ("same",), ("one",), (None,)}
     for (group,), points in got.items():
         values = [v for g, v in data if g == group]
@@ -37,7 +36,12 @@ def test_percentiles_match_brute_force(spark, monkeypatch, limit, slices):
 
 def test_percentiles_of_nothing(spark):
     df = spark.createDataFrame([], "g string, v double")
-    assert percentile_rows(df, ["g"], 10) == {}
+    assert percentile_rows(df, ["g"]) == {}
+
+
+def test_percentiles_without_keys(spark):
+    df = spark.createDataFrame([(float(k),) for k in range(101)], "v double")
+    assert tuple(percentiles.exact_percentiles(df, [], "v", {"p50": 0.5, "p90": 0.9}).first()) == (50.0, 90.0)
 
 
 def test_kept_row_does_not_depend_on_input_order(spark, rows):

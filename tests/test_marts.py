@@ -67,12 +67,6 @@ def test_staging_drops_unknown_vendors_and_repeats(spark):
     assert kept.select("tripid").distinct().count() == 2
 
 
-def test_dev_mode_caps_rows(spark):
-    many = raw(spark, "lpep", *[{"lpep_pickup_datetime": datetime(2020, 1, 1, i // 60, i % 60)} for i in range(120)])
-    assert staging.stage_green(many).count() == 120
-    assert staging.stage_green(many, dev_mode=True).count() == 100
-
-
 def test_fhv_staging(spark):
     data = [("B1", datetime(2019, 1, 1)), ("B2", datetime(2018, 12, 31, 23, 59)), (None, datetime(2019, 5, 5))]
     df = spark.createDataFrame(
