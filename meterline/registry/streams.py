@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -49,17 +50,26 @@ def _trip_sentinel(spark: SparkSession) -> DataFrame:
     return messages.to_messages(one, one.columns)
 
 
+# A replayed history is delivered in this many files, of which a micro-batch takes some.
+DELIVERY_FILES = 6
+REPLAY_FILES_PER_TRIGGER = 2
+# Files of a history come in no order of time, so its watermark trails by more than the
+# history's span; the sentinel closes what is left open.
+HISTORY = "7300 days"
+
+
 class Replay:
     """A folder of messages with a checkpoint and a sink, fed and drained step by step."""
 
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.stream = spark, stream_session(spark)
+    def __init__(self, spark: SparkSession, label: str, files_per_trigger: int | None = REPLAY_FILES_PER_TRIGGER):
+        self.spark, self.stream, self.files_per_trigger = spark, stream_session(spark), files_per_trigger
         self.inbox, self.checkpoint, self.out = (new_dir(spark, f"{label}-{part}") for part in ("in", "cp", "out"))
 
     def step(self, batch: DataFrame, job, sink=sinks.append_parquet):
         """Add messages, run ``job`` over what is new, and return the finished query."""
-        messages.write_message_files(batch, self.inbox)
-        started = sink(job(messages.read_message_files(self.stream, self.inbox)), self.out, self.checkpoint, available_now=True)
+        messages.write_message_files(batch.repartition(DELIVERY_FILES), self.inbox)
+        inbox = messages.read_message_files(self.stream, self.inbox, self.files_per_trigger)
+        started = sink(job(inbox), self.out, self.checkpoint, available_now=True)
         started.awaitTermination()
         return started
 
@@ -87,9 +97,9 @@ def _tumble_sql(width: str) -> str:
         count(*) AS num_hits FROM events GROUP BY 1, 2"""
 
 
-def _tumble(width: str):
+def _tumble(width: str, delay: str = HISTORY):
     def job(inbox):
-        events = windows.with_event_time(messages.parse_events(inbox), "event_time", "1 second")
+        events = windows.with_event_time(messages.parse_events(inbox), "event_time", delay)
         return windows.tumbling_hits(events, "event_time", "test_data", width)
 
     return job
@@ -122,12 +132,13 @@ def stream_upsert_tumble(spark, sf_dir):
     two_thirds = span.select(F.timestamp_micros(
         (F.unix_micros("a") / 3 + F.unix_micros("b") * 2 / 3).cast("bigint")).alias("v")).scalar()
     replay = Replay(spark, "upsert")
+    sink = partial(sinks.upsert_parquet, compact_every=3, keys=["event_hour", "test_data"])
     for part in (
         events.filter(F.col("ts") < third),
         events.filter((F.col("ts") >= third) & (F.col("ts") < two_thirds)),
         events.filter(F.col("ts") >= two_thirds),
     ):
-        replay.step(_as_event_messages(part), _tumble("1 hour"), sinks.upsert_parquet)
+        replay.step(_as_event_messages(part), _tumble("1 hour"), sink)
     return sinks.current_rows(spark, replay.out, ["event_hour", "test_data"])
 
 
@@ -146,7 +157,7 @@ def stream_session_query(spark, sf_dir):
     """Closed sessions per pair; trips of a pair are spread over years, so the gap is a day."""
 
     def job(inbox):
-        trips = windows.with_event_time(messages.parse_trips(inbox), "dropoff_time", "5 seconds")
+        trips = windows.with_event_time(messages.parse_trips(inbox), "dropoff_time", HISTORY)
         return windows.session_streaks(trips, "dropoff_time", ["PULocationID", "DOLocationID"], "1 day")
 
     batch = trip_messages(spark, sf_dir)
@@ -160,20 +171,28 @@ def stream_session_query(spark, sf_dir):
     "late_event_audit",
     """WITH cut AS (SELECT date_trunc('hour', make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2)) AS cut_at
          FROM events)
-       SELECT count(*) AS events_sent, count_if(ts >= cut_at) AS events_counted, count_if(ts < cut_at) AS events_late
+       SELECT count(*) AS events_sent, count_if(ts >= cut_at) AS events_counted, count_if(ts < cut_at) AS events_late,
+         count(DISTINCT CASE WHEN ts < cut_at THEN (date_trunc('hour', ts), user_id) END) AS windows_dropped
        FROM events, cut""",
 )
 def late_event_audit(spark, sf_dir):
-    """The later half is delivered first, so the earlier half comes behind the watermark."""
+    """The later half is delivered first, so the earlier half comes behind the watermark.
+
+    ``windows_dropped`` is what the stream itself reports: late rows are counted
+    after they were added up by window and key. Each half is one micro-batch.
+    """
     events = roles.events(spark, sf_dir)
     middle = F.timestamp_micros(((F.unix_micros(F.min("ts")) + F.unix_micros(F.max("ts"))) / 2).cast("bigint"))
     cut = events.agg(F.date_trunc("hour", middle).alias("at")).scalar()
-    replay = Replay(spark, "late")
-    job = _tumble("1 hour")
-    replay.step(_as_event_messages(events.filter(F.col("ts") >= cut)), job, sinks.upsert_parquet)
-    late = replay.step(_as_event_messages(events.filter(F.col("ts") < cut)), job, sinks.upsert_parquet)
-    if not sinks.late_rows(late):
-        raise RuntimeError("no row was reported as late")
+    replay, job = Replay(spark, "late", files_per_trigger=None), _tumble("1 hour", "1 second")
+    dropped = sinks.LateRows()
+    replay.stream.streams.addListener(dropped)
+    try:
+        replay.step(_as_event_messages(events.filter(F.col("ts") >= cut)), job, sinks.upsert_parquet)
+        late = replay.step(_as_event_messages(events.filter(F.col("ts") < cut)), job, sinks.upsert_parquet)
+        windows_dropped = dropped.of(late)
+    finally:
+        replay.stream.streams.removeListener(dropped)
     counted = sinks.current_rows(spark, replay.out, ["event_hour", "test_data"]).agg(
         F.sum("num_hits").alias("counted")
     )
@@ -181,4 +200,5 @@ def late_event_audit(spark, sf_dir):
         "events_sent",
         counted.scalar().alias("events_counted"),
         (F.col("events_sent") - counted.scalar()).alias("events_late"),
+        F.lit(windows_dropped).cast("bigint").alias("windows_dropped"),
     )

@@ -21,9 +21,6 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    if spark.sparkContext.master.startswith("local"):
-        # Small data on one machine: do not merge its shuffle pieces into one task.
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     return spark
 
 

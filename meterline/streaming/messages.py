@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from meterline.functions.temporal import from_epoch_millis, parse_event_time
 from meterline.schemas import EVENT_MESSAGE, TRIP_MESSAGE
 
+FILES_PER_TRIGGER = 100
+
 
 def to_messages(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One JSON text per row, in column ``value``."""
@@ -20,11 +22,11 @@ def write_message_files(messages: DataFrame, path: str, mode: str = "append") ->
     messages.select("value").write.mode(mode).text(path)
 
 
-def read_message_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of messages from a folder of text files.
+def read_message_files(spark: SparkSession, path: str, files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
+    """Stream of messages from a folder of text files, a bounded number of files per micro-batch.
 
-    Without a limit a replay takes all waiting files as one micro-batch, so that
-    the order files were written in cannot make old rows count as late.
+    Files come in the order they were written in, so a job's watermark must allow for the
+    disorder between files. None takes all waiting files as one micro-batch.
     """
     reader = spark.readStream.schema("value string")
     if files_per_trigger is not None:

@@ -11,12 +11,8 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     """A sibling session with its own settings, sharing the context.
 
     A stream keeps the number of state partitions of its first start for life.
-    Without a number the session's shuffle setting holds; in local mode, where
-    each state partition is a file store on one machine, the core count.
+    Without a number the session's shuffle setting holds.
     """
-    context = spark.sparkContext
-    if state_partitions is None and context.master.startswith("local"):
-        state_partitions = context.defaultParallelism
     sibling = configure(spark.newSession())
     partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))

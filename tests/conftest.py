@@ -12,6 +12,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
         spark__ui__showConsoleProgress="false",
+        # Small data on one machine: do not merge its shuffle pieces into one task.
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="64k",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -22,9 +23,10 @@ class Inbox:
         self.spark, self.stream = spark, stream_session(spark, 2)
         self.inbox, self.out, self.checkpoint = (str(tmp_path / part) for part in ("in", "out", "cp"))
 
-    def run(self, batch, sink, job):
+    def run(self, batch, sink, job, files_per_trigger=None):
         messages.write_message_files(batch, self.inbox)
-        query = sink(job(messages.read_message_files(self.stream, self.inbox)), self.out, self.checkpoint, available_now=True)
+        inbox = messages.read_message_files(self.stream, self.inbox, files_per_trigger)
+        query = sink(job(inbox), self.out, self.checkpoint, available_now=True)
         query.awaitTermination()
         return query
 
@@ -54,14 +56,15 @@ def test_upserts_replace_earlier_counts_and_survive_replay(spark, rows, tmp_path
     # A fresh checkpoint replays everything into the same folders.
     box.checkpoint += "-again"
     box.run(event_messages(spark), sinks.upsert_parquet, tumble)
-    sinks.compact(spark, box.out, KEYS, box.out + "-plain")
-    assert rows(spark.read.parquet(box.out + "-plain"), *KEYS, "num_hits") == wanted
+    sinks.compact(spark, box.out, KEYS)
+    assert len(sinks.batch_numbers(spark, box.out)) == 1
+    assert rows(sinks.current_rows(spark, box.out, KEYS), *KEYS, "num_hits") == wanted
 
 
 def test_append_waits_for_the_watermark_and_resumes(spark, rows, tmp_path):
     box = Inbox(spark, tmp_path)
     box.run(event_messages(spark, (10, 1), (70, 1)), sinks.append_parquet, tumble)
-    closed = spark.read.schema("event_hour timestamp, test_data int, num_hits bigint").parquet(box.out)
+    closed = spark.read.schema("event_hour timestamp, test_data bigint, num_hits bigint").parquet(box.out)
     assert rows(closed) == [(START, 1, 1)]
     box.run(event_messages(spark, (600, 1)), sinks.append_parquet, tumble)
     assert spark.read.parquet(box.out).count() == 2
@@ -70,9 +73,45 @@ def test_append_waits_for_the_watermark_and_resumes(spark, rows, tmp_path):
 def test_late_rows_are_dropped_and_counted(spark, rows, tmp_path):
     box = Inbox(spark, tmp_path)
     box.run(event_messages(spark, (600, 1)), sinks.upsert_parquet, tumble)
+    counter = sinks.LateRows()
+    box.stream.streams.addListener(counter)
     late = box.run(event_messages(spark, (10, 1), (20, 2)), sinks.upsert_parquet, tumble)
-    assert sinks.late_rows(late) == 2
-    assert rows(sinks.current_rows(spark, box.out, KEYS), "num_hits") == [(1,)]
+    assert counter.of(late) == 2
+    on_time = box.run(event_messages(spark, (601, 1)), sinks.upsert_parquet, tumble)
+    assert counter.of(on_time) == 0
+    box.stream.streams.removeListener(counter)
+    assert rows(sinks.current_rows(spark, box.out, KEYS), "num_hits") == [(2,)]
+
+
+def test_late_rows_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    box = Inbox(spark, tmp_path)
+    box.stream.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    box.run(event_messages(spark, (600, 1)), sinks.upsert_parquet, tumble)
+    for k in range(6):
+        messages.write_message_files(event_messages(spark, (k, k)).coalesce(1), box.inbox)
+    counter = sinks.LateRows()
+    box.stream.streams.addListener(counter)
+    query = box.run(event_messages(spark), sinks.upsert_parquet, tumble, files_per_trigger=1)
+    assert counter.of(query) == 6 and len(query.recentProgress) <= 2
+    box.stream.streams.removeListener(counter)
+
+
+def test_compaction_keeps_reading_independent_of_batches(spark, rows, tmp_path):
+    box = Inbox(spark, tmp_path)
+    sink = partial(sinks.upsert_parquet, compact_every=3, keys=KEYS)
+    for k in range(7):
+        box.run(event_messages(spark, (10, 1), (10 + k, 2)), sink, tumble)
+    # Every run has a second batch that only moves the watermark: fourteen in all.
+    assert sinks.batch_numbers(spark, box.out) == ["11.5", "12", "13"]
+    assert rows(sinks.current_rows(spark, box.out, KEYS), "test_data", "num_hits") == [(1, 7), (2, 7)]
+
+
+def test_missing_keys_have_windows(spark, rows, tmp_path):
+    box = Inbox(spark, tmp_path)
+    box.run(event_messages(spark, (10, None), (20, None), (30, -1)), sinks.append_parquet, tumble)
+    box.run(event_messages(spark, (6000, 0)), sinks.append_parquet, tumble)
+    closed = spark.read.parquet(box.out).filter(F.col("event_hour") < START + timedelta(seconds=6000))
+    assert rows(closed, "test_data", "num_hits") == [(-1, 1), (None, 2)]
 
 
 def test_fan_out_feeds_every_sink(spark, tmp_path):
