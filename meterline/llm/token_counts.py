@@ -31,12 +31,13 @@ from meterline.llm.common import extended, plain_strings, steps, text_bytes, tex
 from meterline.llm.token_blocks import UnitEncoder, encode_texts, unit_encoder
 
 RULES = ("most", "first", "last")
-STEP = 16 << 20
+# Text per step of a task; several numbers per token are held at once.
+STEP = 4 << 20
 
 
 def token_bytes(encoder: UnitEncoder) -> np.ndarray:
     """Bytes of each id: a byte-level piece has one character per byte."""
-    lengths = np.zeros(encoder.vocabulary, np.int64)
+    lengths = np.zeros(encoder.vocabulary, np.int32)
     for piece, k in encoder.tokenizer.get_vocab(with_added_tokens=False).items():
         lengths[k] = len(piece)
     return lengths
@@ -79,7 +80,7 @@ def section_counts(docs: DataFrame, tokenizer: str, rule: str = "most", text: st
                 texts = plain_strings(step.column(step.num_columns - 1))
                 data, offsets = text_bytes(texts)
                 ids, _ = encode_texts(encoder, texts)
-                ends = np.cumsum(lengths[ids])
+                ends = np.cumsum(lengths[ids], dtype=np.int32)
                 begins = ends - lengths[ids]
                 # Characters begun before each byte; continuation bytes begin none.
                 chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)])
