@@ -26,11 +26,11 @@ def distance_buckets(trips: DataFrame, distance: str = "trip_distance", edges: S
     )
 
 
-def hourly_revenue(trips: DataFrame, pickup: str, zone: str, since: str | None = None) -> DataFrame:
-    """Amount and number of trips per pickup hour and zone."""
+def hourly_revenue(trips: DataFrame, pickup: str, zone: str, since: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Amount and number of trips per pickup hour and zone, and per further columns ``by``."""
     if since is not None:
         trips = trips.filter(F.col(pickup) >= F.lit(since).cast("timestamp"))
-    return trips.groupBy(hour_start(F.col(pickup)).alias("hour"), F.col(zone).alias("zone")).agg(
+    return trips.groupBy(hour_start(F.col(pickup)).alias("hour"), F.col(zone).alias("zone"), *by).agg(
         F.sum("total_amount").alias("amount"), F.count("*").alias("number_records")
     )
 

@@ -29,9 +29,9 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return child.filter(F.col(key).isNotNull()).join(known, F.col(key) == F.col("_parent"), "left_anti")
 
 
-def unaccepted_values(df: DataFrame, column: str, accepted: Sequence[object]) -> DataFrame:
-    """Values outside the accepted list with their row counts; NULL passes."""
-    return df.filter(~F.col(column).isin(*accepted)).groupBy(F.col(column).alias("value_field")).agg(
+def unaccepted_values(df: DataFrame, column: str, accepted: Sequence[object], by: Sequence[str] = ()) -> DataFrame:
+    """Values outside the accepted list with their row counts, per columns ``by``; NULL passes."""
+    return df.filter(~F.col(column).isin(*accepted)).groupBy(*by, F.col(column).alias("value_field")).agg(
         F.count("*").alias("n_records")
     )
 
@@ -62,11 +62,12 @@ class RowCheck:
 
 @dataclass(frozen=True)
 class KeyCheck:
-    """Uniqueness of one column."""
+    """Uniqueness of one column, over the rows ``among`` or all."""
 
     name: str
     key: str
     severity: str = "error"
+    among: Column | None = None
 
 
 def flag_orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str, flag: str) -> DataFrame:
@@ -86,7 +87,8 @@ def report(df: DataFrame, row_checks: Sequence[RowCheck], key_checks: Sequence[K
         [], [check.name for check in row_checks], "check_name", "failures"
     )
     for check in key_checks:
-        failures = duplicate_keys(df, check.key).agg(F.count("*").alias("failures"))
+        rows = df if check.among is None else df.filter(check.among)
+        failures = duplicate_keys(rows, check.key).agg(F.count("*").alias("failures"))
         lines = lines.unionByName(failures.select(F.lit(check.name).alias("check_name"), "failures"))
     level = F.lit("error")
     for name, value in severity.items():

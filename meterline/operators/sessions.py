@@ -20,7 +20,7 @@ CELLS_PER_CHUNK = 4096
 def _cells(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str]) -> DataFrame:
     gap = gap_seconds * 1_000_000
     micros = F.unix_micros(ts)
-    cell = ((micros - F.pmod(micros, F.lit(gap))) / gap).cast("bigint")
+    cell = F.call_function("div", micros - F.pmod(micros, F.lit(gap)), F.lit(gap))
     return df.filter(F.col(ts).isNotNull()).groupBy(*keys, cell.alias("_cell")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_n")
     )

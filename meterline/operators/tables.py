@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.functions.keys import row_hash, row_hash_bytes
 from meterline.operators.windows import keep_first
-from meterline.workspace import new_dir
+from meterline.workspace import materialize, new_dir
 
 
 def new_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -32,7 +32,8 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFra
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
     """Target with source rows replacing or extending it, one source row per key."""
-    chosen = keep_first(source, keys, order)
+    # Read twice, by the anti join and by the union: chosen once.
+    chosen = materialize(keep_first(source, keys, order), "upsert-rows")
     incoming = chosen.select(*[F.col(key).alias(f"_s_{key}") for key in keys])
     same = [F.col(key).eqNullSafe(F.col(f"_s_{key}")) for key in keys]
     return target.join(incoming, same, "left_anti").unionByName(chosen)
@@ -82,25 +83,31 @@ def merge_into_table(
 ) -> None:
     """Insert-only merge into a stored table: known rows stay, only new rows are written.
 
-    ``within`` names a column that equal keys share, such as the pickup time. Only
-    the part of the table between the source's least and greatest value is then
-    read, so a month costs a month however long the table's history. The table's
+    ``within`` names a column that equal keys share and the table is partitioned by,
+    such as the pickup date. Only the partitions that the source has rows of are then
+    read, so a month costs a month however long the table's history, and a stray date
+    costs that date. The source's values are one per partition it touches. The table's
     files are listed before the append starts, so the append never reads itself.
     """
     target = spark.table(name)
     if within is not None:
-        span = source.agg(F.min(within).alias("low"), F.max(within).alias("high")).first()
-        target = target.filter(F.col(within).isNull() | F.col(within).between(F.lit(span.low), F.lit(span.high)))
+        touched = [row[0] for row in source.select(within).distinct().collect()]
+        same = F.col(within).isin(*[value for value in touched if value is not None])
+        target = target.filter(same | F.col(within).isNull() if None in touched else same)
     append_rows(new_rows(target, source, key), name, balance_by)
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace-load: write a new folder, then point the table name at it."""
+    """Replace-load: write a new folder, then point the table name at it; columns stay as they are."""
     spark = df.sparkSession
     target = path or new_dir(spark, "table")
     df.write.parquet(target)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=target, source="parquet")
+    if spark.catalog.tableExists(name):
+        # One catalog operation: readers find the old rows or the new ones, never no table.
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=target, source="parquet")
 
 
 def truncate_table(spark: SparkSession, name: str, schema=None) -> None:

@@ -29,25 +29,21 @@ def ingest_months(
 
 def load_month(
     spark: SparkSession, table: str, files: str | Sequence[str], schema: StructType,
-    pickup: str, dropoff: str, warehouse: bool = False,
+    pickup: str, dropoff: str, warehouse: bool = False, path: str | None = None,
 ) -> None:
     """Stage one month of CSV, add row hash and file name, and insert the unknown rows.
 
     Loading the same files again inserts nothing. Equal rows inside one load are
     all inserted, since the merge only looks at what the table held before.
-    The warehouse form hashes fewer columns and partitions the table by pickup
-    date; either way the merge reads only the stretch of the table the load covers.
+    The warehouse form hashes fewer columns to bytes. Tables are partitioned by
+    pickup date, and the merge reads only the dates the load has.
     """
     landing = read_csv(spark, files, schema)
-    if warehouse:
-        staged = tables.with_warehouse_identity(landing, pickup, dropoff, file_name())
-        staged, within = staged.withColumn("pickup_date", F.to_date(pickup)), "pickup_date"
-    else:
-        staged, within = tables.with_landing_identity(landing, pickup, dropoff, file_name()), pickup
+    identify = tables.with_warehouse_identity if warehouse else tables.with_landing_identity
+    staged = identify(landing, pickup, dropoff, file_name()).withColumn("pickup_date", F.to_date(pickup))
     staged = materialize(staged, "staged-month")
-    partitions = ["pickup_date"] if warehouse else []
-    tables.create_table(spark, table, staged.schema, partitions)
-    tables.merge_into_table(spark, table, staged, "unique_row_id", within, partitions)
+    tables.create_table(spark, table, staged.schema, ["pickup_date"], path)
+    tables.merge_into_table(spark, table, staged, "unique_row_id", "pickup_date", ["pickup_date"])
 
 
 def loaded_rows_like(table: DataFrame, filename_regex: str) -> DataFrame:

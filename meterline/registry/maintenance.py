@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 
 from meterline.functions.keys import row_hash, surrogate_key
 from meterline.operators import quality, relational, tables
-from meterline.operators.dimensions import known_zones
 from meterline.plans import staging
 from meterline.registry import checks
 from meterline.registry.book import query
 from meterline.registry.checks import money
-from meterline.registry.models import as_double, zones
+from meterline.registry.models import as_double
 from meterline.sources import roles
 from meterline.workspace import materialize
 
@@ -41,8 +40,8 @@ def _identified(spark, sf_dir):
            SELECT * FROM source WHERE unique_row_id NOT IN (SELECT unique_row_id FROM target))""",
 )
 def merge_insert_only(spark, sf_dir):
-    # The two loads overlap by seven months.
-    trips = _identified(spark, sf_dir)
+    # The two loads overlap by seven months. Both are read from one stored derivation.
+    trips = materialize(_identified(spark, sf_dir), "identified")
     target = trips.filter(F.col("pickup_datetime") < F.lit("1999-01-01").cast("timestamp"))
     source = trips.filter(F.col("pickup_datetime") >= F.lit("1998-06-01").cast("timestamp"))
     return as_double(tables.merge_insert_only(target, source, "unique_row_id"), "total_amount")
@@ -62,7 +61,8 @@ def merge_insert_only(spark, sf_dir):
                             AND s.pickup_datetime = t.pickup_datetime))""",
 )
 def merge_upsert(spark, sf_dir):
-    trips = roles.trips(spark, sf_dir).select("vendorid", "pickup_datetime", "passenger_count", "total_amount")
+    narrow = roles.trips(spark, sf_dir).select("vendorid", "pickup_datetime", "passenger_count", "total_amount")
+    trips = materialize(narrow, "narrow-trips")
     target = trips.filter(F.col("pickup_datetime") < F.lit("1999-01-01").cast("timestamp"))
     source = trips.filter(F.col("pickup_datetime") >= F.lit("1998-06-01").cast("timestamp"))
     merged = tables.merge_upsert(
@@ -104,78 +104,90 @@ def dq_not_null(spark, sf_dir):
     return quality.null_counts(roles.trips(spark, sf_dir), ["vendorid", "ehail_fee", "total_amount"])
 
 
+_STAGED = f"""{checks.ZONES}, {checks.TRIPS}, {checks.STG_GREEN}, {checks.STG_YELLOW},
+    staged AS (SELECT *, 'Green' AS service_type FROM stg_green UNION ALL SELECT *, 'Yellow' FROM stg_yellow)"""
+_PAYMENTS = [1, 2, 3, 4, 5, 6]
+
+
+def _staged(spark, sf_dir):
+    """Staged rows of both services: several checks read them, so they are stored once."""
+    columns = ["service_type", "tripid", "pickup_locationid", "dropoff_locationid", "payment_type", "total_amount"]
+    return materialize(staging.stage_services(roles.trips(spark, sf_dir)).select(columns), "staged")
+
+
 @query(
     "dq_relationships",
-    f"""WITH {checks.ZONES}, {checks.TRIPS} SELECT pickup_datetime, pulocationid, vendorid FROM trips
-        WHERE pulocationid IS NOT NULL AND NOT EXISTS (SELECT 1 FROM known_zones WHERE locationid = pulocationid)""",
+    f"WITH {_STAGED} " + " UNION ALL ".join(
+        f"""SELECT service_type, '{end}' AS trip_end, {end}_locationid AS locationid, count(*) AS n_records FROM staged
+        WHERE {end}_locationid IS NOT NULL AND NOT EXISTS (SELECT 1 FROM zone_seed WHERE locationid = {end}_locationid)
+        GROUP BY 1, 2, 3""" for end in ("pickup", "dropoff")
+    ) + """ UNION ALL SELECT service_type, 'checked', NULL, 2 * count(*) FROM staged GROUP BY 1""",
 )
 def dq_relationships(spark, sf_dir):
-    trips = roles.trips(spark, sf_dir).select("pickup_datetime", "pulocationid", "vendorid")
-    return quality.orphans(trips, "pulocationid", known_zones(zones(spark, sf_dir)), "locationid")
+    """Zone ids of either trip end that the lookup lacks, and how many ids were checked, per service."""
+    staged, lookup = _staged(spark, sf_dir), roles.zone_seed(spark, sf_dir)
+    ends = [
+        quality.orphans(staged.select("service_type", F.col(f"{end}_locationid").alias("locationid")), "locationid", lookup, "locationid")
+        .groupBy("service_type", F.lit(end).alias("trip_end"), "locationid").agg(F.count("*").alias("n_records"))
+        for end in ("pickup", "dropoff")
+    ]
+    checked = staged.groupBy("service_type").agg((2 * F.count("*")).alias("n_records")).select(
+        "service_type", F.lit("checked").alias("trip_end"), F.lit(None).cast("int").alias("locationid"), "n_records")
+    return ends[0].unionByName(ends[1]).unionByName(checked)
 
 
 @query(
     "dq_accepted_values",
-    f"""WITH {checks.TRIPS}, {checks.STG_YELLOW} SELECT payment_type AS value_field, count(*) AS n_records
-        FROM stg_yellow WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6) GROUP BY 1""",
+    f"""WITH {_STAGED} SELECT service_type, payment_type AS value_field, count(*) AS n_records
+        FROM staged WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6) GROUP BY 1, 2""",
 )
 def dq_accepted_values(spark, sf_dir):
-    staged = staging.stage_yellow(roles.yellow_trips(spark, sf_dir))
-    return quality.unaccepted_values(staged, "payment_type", [1, 2, 3, 4, 5, 6])
+    return quality.unaccepted_values(_staged(spark, sf_dir), "payment_type", _PAYMENTS, ["service_type"])
 
 
-_STAGED = f"""{checks.ZONES}, {checks.TRIPS}, {checks.STG_GREEN}, {checks.STG_YELLOW},
-    staged AS (SELECT * FROM stg_green UNION ALL SELECT * FROM stg_yellow)"""
-_FAILURES = {
-    "not_null_tripid": ("warn", "SELECT count(*) FROM staged WHERE tripid IS NULL"),
-    "relationships_pickup": (
-        "warn", "SELECT count(*) FROM staged WHERE pickup_locationid NOT IN (SELECT locationid FROM known_zones)",
-    ),
-    "relationships_dropoff": (
-        "error", "SELECT count(*) FROM staged WHERE dropoff_locationid NOT IN (SELECT locationid FROM dim_zones)",
-    ),
-    "accepted_values_payment_type": (
-        "warn", "SELECT count(*) FROM staged WHERE payment_type NOT IN (1, 2, 3, 4, 5, 6)",
-    ),
-    "not_null_total_amount": ("error", "SELECT count(*) FROM staged WHERE total_amount IS NULL"),
-    "unique_tripid": (
-        "warn", "SELECT count(*) FROM (SELECT tripid FROM staged GROUP BY 1 HAVING count(*) > 1)",
-    ),
+# The declared severities per service; the lookup is the parent of both ends.
+_SEVERITIES = {
+    "Green": {"unique": "warn", "not_null": "warn", "pickup": "warn", "dropoff": "error", "payment_type": "warn"},
+    "Yellow": {"unique": "warn", "not_null": "warn", "pickup": "warn", "dropoff": "warn", "payment_type": "warn"},
 }
 
 
+def _failures(service: str) -> dict[str, str]:
+    of = f"staged WHERE service_type = '{service}'"
+    return {
+        "unique": f"SELECT count(*) FROM (SELECT tripid FROM {of} GROUP BY 1 HAVING count(*) > 1)",
+        "not_null": f"SELECT count(*) FROM {of} AND tripid IS NULL",
+        "pickup": f"SELECT count(*) FROM {of} AND pickup_locationid NOT IN (SELECT locationid FROM zone_seed)",
+        "dropoff": f"SELECT count(*) FROM {of} AND dropoff_locationid NOT IN (SELECT locationid FROM zone_seed)",
+        "payment_type": f"SELECT count(*) FROM {of} AND payment_type NOT IN (1, 2, 3, 4, 5, 6)",
+    }
+
+
 @query(
     "dq_report",
     f"WITH {_STAGED}, lines AS ("
     + " UNION ALL ".join(
-        f"SELECT '{name}' AS check_name, ({sql}) AS failures, '{severity}' AS severity"
-        for name, (severity, sql) in _FAILURES.items()
+        f"SELECT '{service.lower()}_{name}' AS check_name, ({sql}) AS failures, '{_SEVERITIES[service][name]}' AS severity"
+        for service in _SEVERITIES for name, sql in _failures(service).items()
     )
     + ") SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM lines",
 )
 def dq_report(spark, sf_dir):
-    union = staging.stage_green(roles.green_trips(spark, sf_dir)).unionByName(
-        staging.stage_yellow(roles.yellow_trips(spark, sf_dir))
-    )
-    columns = ["tripid", "pickup_locationid", "dropoff_locationid", "payment_type", "total_amount"]
-    # Two passes read the staged rows: they are stored once, not derived twice.
-    staged = materialize(union.select(columns), "staged")
-    seed = zones(spark, sf_dir)
-    flagged = quality.flag_orphans(staged, "pickup_locationid", known_zones(seed), "locationid", "_pickup_orphan")
-    flagged = quality.flag_orphans(flagged, "dropoff_locationid", seed, "locationid", "_dropoff_orphan")
-    return quality.report(
-        flagged,
-        [
-            quality.RowCheck("not_null_tripid", F.col("tripid").isNull(), "warn"),
-            quality.RowCheck("relationships_pickup", F.col("_pickup_orphan"), "warn"),
-            quality.RowCheck("relationships_dropoff", F.col("_dropoff_orphan")),
-            quality.RowCheck(
-                "accepted_values_payment_type", ~F.col("payment_type").isin(1, 2, 3, 4, 5, 6), "warn"
-            ),
-            quality.RowCheck("not_null_total_amount", F.col("total_amount").isNull()),
-        ],
-        [quality.KeyCheck("unique_tripid", "tripid", "warn")],
-    )
+    staged, lookup = _staged(spark, sf_dir), roles.zone_seed(spark, sf_dir)
+    flagged = quality.flag_orphans(staged, "pickup_locationid", lookup, "locationid", "_pickup_orphan")
+    flagged = quality.flag_orphans(flagged, "dropoff_locationid", lookup, "locationid", "_dropoff_orphan")
+    failing = {
+        "not_null": F.col("tripid").isNull(), "pickup": F.col("_pickup_orphan"), "dropoff": F.col("_dropoff_orphan"),
+        "payment_type": ~F.col("payment_type").isin(*_PAYMENTS),
+    }
+    row_checks, key_checks = [], []
+    for service, severities in _SEVERITIES.items():
+        mine = F.col("service_type") == service
+        row_checks += [
+            quality.RowCheck(f"{service.lower()}_{name}", mine & condition, severities[name]) for name, condition in failing.items()
+        ]
+        key_checks.append(quality.KeyCheck(f"{service.lower()}_unique", "tripid", severities["unique"], mine))
+    return quality.report(flagged, row_checks, key_checks)
 
 
 @query(

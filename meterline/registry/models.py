@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.operators.dimensions import zone_dimension
@@ -35,19 +37,17 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         zone_dimension(roles.zone_seed(spark, sf_dir)).write.parquet(path)
         return path
 
-    return spark.read.schema(ZONES).parquet(built_once(spark, ("dim-zones", sf_dir), write))
+    return spark.read.schema(ZONES).parquet(built_once(spark, ("dim-zones", sf_dir), roles.paths(sf_dir, "nation", "region"), write))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.fact_trips(
-        staging.stage_green(roles.green_trips(spark, sf_dir)),
-        staging.stage_yellow(roles.yellow_trips(spark, sf_dir)),
-        zones(spark, sf_dir),
-    )
+    """Facts of both services; the trips are derived once."""
+    return marts.fact_staged(staging.stage_services(roles.trips(spark, sf_dir)), zones(spark, sf_dir))
 
 
 def fhv_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_fhv(roles.fhv_trips(spark, sf_dir), FHV_YEAR)
+    year = date(FHV_YEAR, 1, 1), date(FHV_YEAR + 1, 1, 1)
+    return staging.stage_fhv(roles.fhv_trips(spark, sf_dir, *year), FHV_YEAR)
 
 
 def fhv_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ from meterline.registry.book import query
 from meterline.registry.checks import money, moneys
 from meterline.registry.models import as_double, rounded, zones
 from meterline.sources import layout, roles
-from meterline.workspace import new_dir
+from meterline.workspace import materialize, new_dir
 
 _TIE = ["pickup_datetime", "dropoff_datetime", "pulocationid", "dolocationid", "total_amount"]
 _TIE_SQL = ", ".join(_TIE)
@@ -30,9 +30,15 @@ def distinct_pickups(spark, sf_dir):
     return roles.trips(spark, sf_dir).agg(F.count_distinct("pulocationid").alias("pickups"))
 
 
-@query("approx_distinct_pickups")
+@query(
+    "approx_distinct_pickups",
+    f"WITH {checks.TRIPS} SELECT count(DISTINCT pulocationid) AS pickups, true AS within_error FROM trips",
+)
 def approx_distinct_pickups(spark, sf_dir):
-    return roles.trips(spark, sf_dir).agg(F.approx_count_distinct("pulocationid").alias("pickups"))
+    """The exact count, and whether the sketch is within three of its standard errors of it."""
+    counted = roles.trips(spark, sf_dir).agg(
+        F.count_distinct("pulocationid").alias("pickups"), F.approx_count_distinct("pulocationid", 0.02).alias("sketch"))
+    return counted.select("pickups", (F.abs(F.col("sketch") - F.col("pickups")) <= 0.06 * F.col("pickups")).alias("within_error"))
 
 
 @query("project_columns", f"WITH {checks.TRIPS} SELECT pulocationid, dolocationid FROM trips")
@@ -53,7 +59,8 @@ def filter_zero_fare(spark, sf_dir):
 )
 def date_range_scan(spark, sf_dir):
     october = relational.on_dates(
-        roles.trips(spark, sf_dir), "dropoff_datetime", date(1998, 10, 1), date(1998, 11, 1)
+        roles.trips(spark, sf_dir, first=date(1998, 10, 1), end=date(1998, 11, 1)),
+        "dropoff_datetime", date(1998, 10, 1), date(1998, 11, 1),
     )
     return october.select(F.to_date("dropoff_datetime").alias("day"), "dolocationid")
 
@@ -70,7 +77,7 @@ def param_query(spark, sf_dir):
            WHERE CAST(dropoff_datetime AS DATE) >= :start_date AND CAST(dropoff_datetime AS DATE) < :end_date
              AND trip_distance > :lower_bound AND trip_distance <= :upper_bound""",
         args={"start_date": date(1998, 10, 1), "end_date": date(1998, 11, 1), "lower_bound": 1, "upper_bound": 3},
-        trips=roles.trips(spark, sf_dir),
+        trips=roles.trips(spark, sf_dir, first=date(1998, 10, 1), end=date(1998, 11, 1)),
     )
 
 
@@ -80,7 +87,8 @@ def param_query(spark, sf_dir):
         WHERE pickup_datetime >= DATE '2000-06-30' - INTERVAL 30 DAY GROUP BY 1""",
 )
 def rolling_days_filter(spark, sf_dir):
-    recent = relational.last_days(roles.trips(spark, sf_dir), "pickup_datetime", date(2000, 6, 30), 30)
+    trips = roles.trips(spark, sf_dir, first=date(2000, 6, 30) - timedelta(days=30))
+    recent = relational.last_days(trips, "pickup_datetime", date(2000, 6, 30), 30)
     return recent.groupBy(F.to_date("pickup_datetime").alias("day")).agg(F.count("*").alias("n"))
 
 
@@ -116,7 +124,9 @@ def orphan_not_in(spark, sf_dir):
         WHERE trip_distance = (SELECT max(trip_distance) FROM trips) AND trip_type = '1.0'""",
 )
 def longest_trip_subquery(spark, sf_dir):
-    longest = relational.at_maximum(roles.trips(spark, sf_dir), "trip_distance")
+    # The trips are read for the maximum and for the rows that hold it: stored, they are derived once.
+    trips = materialize(roles.trips(spark, sf_dir).select("pickup_datetime", "trip_distance", "trip_type"), "distances")
+    longest = relational.at_maximum(trips, "trip_distance")
     return longest.filter("trip_type = '1.0'").select("pickup_datetime", "trip_distance", "trip_type")
 
 
@@ -147,7 +157,8 @@ def preview_top_n(spark, sf_dir):
         WHERE CAST(pickup_datetime AS DATE) = DATE '1998-10-15'""",
 )
 def count_on_day(spark, sf_dir):
-    day = relational.on_dates(roles.trips(spark, sf_dir), "pickup_datetime", date(1998, 10, 15), date(1998, 10, 16))
+    first, end = date(1998, 10, 15), date(1998, 10, 16)
+    day = relational.on_dates(roles.trips(spark, sf_dir, first=first, end=end), "pickup_datetime", first, end)
     return day.agg(F.count("*").alias("trips"))
 
 
@@ -184,8 +195,10 @@ def longest_trip_per_day(spark, sf_dir):
     return rounded(top, "max_duration")
 
 
-def _zoned(spark, sf_dir):
-    return with_both_zones(roles.trips(spark, sf_dir), zones(spark, sf_dir), "pulocationid", "dolocationid")
+def _zoned(spark, sf_dir, first, end):
+    """Trips picked up from the first day up to the end day, with both zones."""
+    trips = relational.on_dates(roles.trips(spark, sf_dir, first=first, end=end), "pickup_datetime", first, end)
+    return with_both_zones(trips, zones(spark, sf_dir), "pulocationid", "dolocationid")
 
 
 _ZONED = f"""{checks.ZONES}, {checks.TRIPS}, zoned AS (
@@ -199,7 +212,7 @@ _ZONED = f"""{checks.ZONES}, {checks.TRIPS}, zoned AS (
         WHERE CAST(pickup_datetime AS DATE) = DATE '1998-10-18' GROUP BY 1 HAVING sum(total_amount) > 13000""",
 )
 def top_pickup_zones(spark, sf_dir):
-    day = relational.on_dates(_zoned(spark, sf_dir), "pickup_datetime", date(1998, 10, 18), date(1998, 10, 19))
+    day = _zoned(spark, sf_dir, date(1998, 10, 18), date(1998, 10, 19))
     sums = day.groupBy("pickup_zone").agg(F.sum("total_amount").alias("total_amount_sum"))
     return as_double(sums.filter(F.col("total_amount_sum") > 13000), "total_amount_sum").orderBy(
         F.col("total_amount_sum").desc()
@@ -213,7 +226,7 @@ def top_pickup_zones(spark, sf_dir):
           AND pickup_zone = 'NATION_3' GROUP BY 1""",
 )
 def largest_tip(spark, sf_dir):
-    october = relational.on_dates(_zoned(spark, sf_dir), "pickup_datetime", date(1998, 10, 1), date(1998, 11, 1))
+    october = _zoned(spark, sf_dir, date(1998, 10, 1), date(1998, 11, 1))
     tips = october.filter(F.col("pickup_zone") == "NATION_3").groupBy("dropoff_zone").agg(
         F.max("tip_amount").alias("largest_tip")
     )
@@ -288,23 +301,8 @@ def count_by_service(spark, sf_dir):
     return united.groupBy("service_type").count()
 
 
-@query(
-    "rename_map",
-    f"""WITH {checks.TRIPS} SELECT vendorid AS "VendorID", pickup_datetime AS tpep_pickup_datetime,
-        dropoff_datetime AS tpep_dropoff_datetime, ratecodeid AS "RatecodeID", pulocationid AS "PULocationID",
-        dolocationid AS "DOLocationID", {money('improvement_surcharge')} FROM trips WHERE service = 'Yellow'""",
-)
-def rename_map(spark, sf_dir):
-    public = roles.trips(spark, sf_dir).filter("service = 'Yellow'").select(
-        F.col("vendorid").alias("vendor_id"), "pickup_datetime", "dropoff_datetime",
-        F.col("ratecodeid").alias("rate_code"), F.col("improvement_surcharge").cast("double").alias("imp_surcharge"),
-        F.col("pulocationid").alias("pickup_location_id"), F.col("dolocationid").alias("dropoff_location_id"),
-    )
-    return relational.rename(public, PUBLIC_NAMES)
-
-
-# Column names of the public trip tables and of the source files.
-PUBLIC_NAMES = {
+# Column names of the public trip tables and of the source files, yellow and green.
+PUBLIC_YELLOW = {
     "vendor_id": "VendorID",
     "pickup_datetime": "tpep_pickup_datetime",
     "dropoff_datetime": "tpep_dropoff_datetime",
@@ -313,6 +311,36 @@ PUBLIC_NAMES = {
     "pickup_location_id": "PULocationID",
     "dropoff_location_id": "DOLocationID",
 }
+PUBLIC_GREEN = {
+    "vendor_id": "VendorID",
+    "pickup_datetime": "lpep_pickup_datetime",
+    "dropoff_datetime": "lpep_dropoff_datetime",
+    "rate_code": "RatecodeID",
+    "imp_surcharge": "improvement_surcharge",
+    "pickup_location_id": "PULocationID",
+    "dropoff_location_id": "DOLocationID",
+}
+
+
+@query(
+    "rename_map",
+    f"""WITH {checks.TRIPS} SELECT vendorid AS "VendorID", ratecodeid AS "RatecodeID", pulocationid AS "PULocationID",
+        dolocationid AS "DOLocationID", {money('improvement_surcharge')},
+        CASE WHEN service = 'Yellow' THEN pickup_datetime END AS tpep_pickup_datetime,
+        CASE WHEN service = 'Yellow' THEN dropoff_datetime END AS tpep_dropoff_datetime,
+        CASE WHEN service = 'Green' THEN pickup_datetime END AS lpep_pickup_datetime,
+        CASE WHEN service = 'Green' THEN dropoff_datetime END AS lpep_dropoff_datetime FROM trips""",
+)
+def rename_map(spark, sf_dir):
+    public = roles.trips(spark, sf_dir).select(
+        "service", F.col("vendorid").alias("vendor_id"), "pickup_datetime", "dropoff_datetime",
+        F.col("ratecodeid").alias("rate_code"), F.col("improvement_surcharge").cast("double").alias("imp_surcharge"),
+        F.col("pulocationid").alias("pickup_location_id"), F.col("dolocationid").alias("dropoff_location_id"),
+    )
+    yellow = relational.rename(public.filter("service = 'Yellow'").drop("service"), PUBLIC_YELLOW)
+    green = relational.rename(public.filter("service = 'Green'").drop("service"), PUBLIC_GREEN)
+    return relational.append_all([yellow, green])
+
 
 _SINCE = "1996-01-01 00:00:00"
 
@@ -348,14 +376,14 @@ def hourly_revenue_rdd(spark, sf_dir):
 
 
 def _zone_hours(spark, sf_dir):
-    sides = []
-    for name, prefix, trips in (
-        ("green", "lpep", roles.green_trips(spark, sf_dir)), ("yellow", "tpep", roles.yellow_trips(spark, sf_dir)),
-    ):
-        hourly = aggregates.hourly_revenue(trips, f"{prefix}_pickup_datetime", "pulocationid", _SINCE)
-        sides.append(
-            hourly.withColumnsRenamed({"amount": f"{name}_amount", "number_records": f"{name}_number_records"})
-        )
+    # Both services are added up in one pass; the short result is stored and joined with itself.
+    trips = roles.trips(spark, sf_dir, first=date.fromisoformat(_SINCE[:10]))
+    hourly = materialize(aggregates.hourly_revenue(trips, "pickup_datetime", "pulocationid", _SINCE, ["service"]), "hourly")
+    sides = [
+        hourly.filter(F.col("service") == service).drop("service").withColumnsRenamed(
+            {"amount": f"{name}_amount", "number_records": f"{name}_number_records"})
+        for name, service in (("green", "Green"), ("yellow", "Yellow"))
+    ]
     return as_double(sides[0].join(sides[1], ["hour", "zone"], "outer"), "green_amount", "yellow_amount")
 
 

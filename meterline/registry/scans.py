@@ -2,39 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from meterline.functions.casts import numeric
 from meterline.operators.aggregates import average_rounded
-from meterline.operators.relational import with_default_columns
-from meterline.operators.tables import append_rows
+from meterline.operators.relational import common_columns, with_default_columns
+from meterline.operators.tables import append_rows, drop_table
 from meterline.plans import loads
 from meterline.registry import checks
 from meterline.registry.book import query
 from meterline.registry.checks import money
 from meterline.registry.models import as_double
 from meterline.schemas import (
-    HIGH_VOLUME_TRIPS, LANDING_YELLOW, PRODUCTS_DOCUMENT, YELLOW_TRIPS,
+    GREEN_TRIPS, HIGH_VOLUME_TRIPS, LANDING_GREEN, LANDING_YELLOW, PRODUCTS_DOCUMENT, TABLES, YELLOW_TRIPS,
 )
 from meterline.sources import files, layout, roles
 from meterline.streaming.messages import to_messages
 from meterline.workspace import built_once, new_dir
 
+# The columns a trip message carries.
 TRIP_MESSAGE_COLUMNS = [
     "lpep_pickup_datetime", "lpep_dropoff_datetime", "PULocationID", "DOLocationID",
     "passenger_count", "trip_distance", "tip_amount",
 ]
 
 
-def write_csv(df: DataFrame, label: str, by: str | None = None, codec: str = "none") -> str:
-    """Write CSV with a header to the shared folder, optionally one folder per value."""
-    path = new_dir(df.sparkSession, label)
+def write_csv(df: DataFrame, label: str, by: str | None = None, codec: str = "none", path: str | None = None) -> str:
+    """Write CSV with a header to a folder, by default a new one, optionally one folder per value."""
+    path = path or new_dir(df.sparkSession, label)
     if by:
         df = df.hint("rebalance", F.col(by))
     writer = df.write.option("header", True).option("timestampFormat", files.CSV_TIME_FORMAT)
     if by:
         writer = writer.partitionBy(by)
-    writer.option("compression", codec).csv(path)
+    writer.option("compression", codec).mode("append").csv(path)
     return path
 
 
@@ -46,24 +51,43 @@ def high_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def yellow_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yellow trips in the order and naming of the landing files, codes as plain integers."""
-    raw = roles.yellow_trips(spark, sf_dir)
-    code = F.col("payment_type").cast("double").cast("int")
-    return raw.withColumn("payment_type", code).select([field.name for field in LANDING_YELLOW])
+class Service(NamedTuple):
+    """How the files of one service are laid out."""
+
+    trips: Callable[[SparkSession, str], DataFrame]
+    landing: StructType
+    lake: StructType
+    prefix: str
+
+
+SERVICES = {
+    "yellow": Service(roles.yellow_trips, LANDING_YELLOW, YELLOW_TRIPS, "tpep"),
+    "green": Service(roles.green_trips, LANDING_GREEN, GREEN_TRIPS, "lpep"),
+}
+
+
+def landing_rows(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
+    """Trips in the order and naming of the landing files, codes as plain integers."""
+    of = SERVICES[service]
+    raw = of.trips(spark, sf_dir)
+    for name in {"payment_type", "trip_type"} & set(raw.columns):
+        raw = raw.withColumn(name, F.col(name).cast("double").cast("int"))
+    return raw.select([field.name for field in of.landing])
 
 
 def monthly_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Yellow trips as monthly CSV files named after their pickup month, the input of the loads."""
-    return built_once(spark, ("monthly-csv", sf_dir), lambda: _write_monthly_csv(spark, sf_dir))
+    """Trips of both services as monthly CSV files named after their pickup month, the input of the loads."""
+    inputs = roles.paths(sf_dir, *roles.TRIP_TABLES)
+    return built_once(spark, ("monthly-csv", sf_dir), inputs, lambda: _write_monthly_csv(spark, sf_dir))
 
 
 def _write_monthly_csv(spark: SparkSession, sf_dir: str) -> str:
-    named = yellow_landing(spark, sf_dir).withColumn(
-        "file",
-        F.concat(F.lit("yellow_tripdata_"), F.date_format("tpep_pickup_datetime", "yyyy-MM"), F.lit(".csv")),
-    )
-    return write_csv(named, "monthly", by="file")
+    path = new_dir(spark, "monthly")
+    for service, of in SERVICES.items():
+        month = F.date_format(f"{of.prefix}_pickup_datetime", "yyyy-MM")
+        named = landing_rows(spark, sf_dir, service).withColumn("file", F.concat(F.lit(f"{service}_tripdata_"), month, F.lit(".csv")))
+        write_csv(named, "monthly", by="file", path=path)
+    return path
 
 
 _HV_SQL = f"""WITH {checks.FHV} SELECT CASE WHEN pulocationid % 2 = 0 THEN 'HV0003' ELSE 'HV0005' END
@@ -91,7 +115,7 @@ def scan_csv_typed(spark, sf_dir):
 @query("scan_csv_gzip", _HV_SQL)
 def scan_csv_gzip(spark, sf_dir):
     path = write_csv(high_volume(spark, sf_dir), "csv-gz", codec="gzip")
-    return files.read_csv(spark, path, HIGH_VOLUME_TRIPS)
+    return files.spread(files.read_csv(spark, path, HIGH_VOLUME_TRIPS))
 
 
 @query(
@@ -107,41 +131,47 @@ def external_csv_ignore_unknown(spark, sf_dir):
     return files.read_csv(spark, write_csv(raw, "csv-wide"), type(HIGH_VOLUME_TRIPS)(list(declared)))
 
 
+def _both_monthly(spark, sf_dir, **chosen) -> DataFrame:
+    """Monthly files of both services, on the columns both have."""
+    root = monthly_csv(spark, sf_dir)
+    sides = [files.read_monthly(spark, root, of.landing, service, **chosen) for service, of in SERVICES.items()]
+    shared = common_columns(*sides)
+    return sides[0].select(shared).unionByName(sides[1].select(shared))
+
+
 @query(
     "scan_years_filter",
-    f"""WITH {checks.TRIPS} SELECT CAST(year(pickup_datetime) AS INTEGER) AS year,
+    f"""WITH {checks.TRIPS} SELECT lower(service) AS taxi_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
         CAST(month(pickup_datetime) AS INTEGER) AS month, count(*) AS n_rows, {money('sum(total_amount)', 'total')}
-        FROM trips WHERE service = 'Yellow' AND year(pickup_datetime) IN (1996, 1998, 1999) GROUP BY 1, 2""",
+        FROM trips WHERE year(pickup_datetime) IN (1996, 1998, 1999) GROUP BY 1, 2, 3""",
 )
 def scan_years_filter(spark, sf_dir):
-    trips = files.read_monthly(
-        spark, monthly_csv(spark, sf_dir), LANDING_YELLOW, "yellow", years=[1996, 1998, 1999]
-    )
-    counted = trips.groupBy("year", "month").agg(F.count("*").alias("n_rows"), F.sum("total_amount").alias("total"))
+    trips = _both_monthly(spark, sf_dir, years=[1996, 1998, 1999])
+    counted = trips.groupBy("taxi_type", "year", "month").agg(F.count("*").alias("n_rows"), F.sum("total_amount").alias("total"))
     return as_double(counted, "total")
 
 
 @query(
     "file_pattern_filter",
-    f"""WITH {checks.TRIPS} SELECT strftime(pickup_datetime, 'yellow_tripdata_%Y-%m.csv') AS source_file,
-        'yellow' AS taxi_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
+    f"""WITH {checks.TRIPS} SELECT lower(service) || strftime(pickup_datetime, '_tripdata_%Y-%m.csv') AS source_file,
+        lower(service) AS taxi_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
         CAST(month(pickup_datetime) AS INTEGER) AS month, count(*) AS n_rows FROM trips
-        WHERE service = 'Yellow' AND month(pickup_datetime) IN (1, 2) GROUP BY 1, 2, 3, 4""",
+        WHERE month(pickup_datetime) IN (1, 2) GROUP BY 1, 2, 3, 4""",
 )
 def file_pattern_filter(spark, sf_dir):
-    trips = files.read_monthly(spark, monthly_csv(spark, sf_dir), LANDING_YELLOW, "yellow", months=[1, 2])
+    trips = _both_monthly(spark, sf_dir, months=[1, 2])
     return trips.groupBy("source_file", "taxi_type", "year", "month").agg(F.count("*").alias("n_rows"))
 
 
-@query(
-    "ingest_all_months",
-    f"""WITH {checks.TRIPS} SELECT CAST(year(pickup_datetime) AS INTEGER) AS year,
+def _ingested_sql(service: str) -> str:
+    return f"""WITH {checks.TRIPS} SELECT CAST(year(pickup_datetime) AS INTEGER) AS year,
         CAST(month(pickup_datetime) AS INTEGER) AS month, vendorid AS "VendorID", count(*) AS n_rows,
-        {money('sum(total_amount)', 'total')} FROM trips WHERE service = 'Yellow' GROUP BY 1, 2, 3""",
-)
-def ingest_all_months(spark, sf_dir):
+        {money('sum(total_amount)', 'total')} FROM trips WHERE service = '{service}' GROUP BY 1, 2, 3"""
+
+
+def _ingested(spark, sf_dir, service: str) -> DataFrame:
     lake = loads.ingest_months(
-        spark, monthly_csv(spark, sf_dir), new_dir(spark, "lake"), YELLOW_TRIPS, "yellow"
+        spark, monthly_csv(spark, sf_dir), new_dir(spark, "lake"), SERVICES[service].lake, service
     )
     # Doubles from the files are summed as exact decimals.
     counted = lake.groupBy("year", "month", "VendorID").agg(
@@ -150,35 +180,83 @@ def ingest_all_months(spark, sf_dir):
     return as_double(counted, "total")
 
 
+@query("ingest_all_months", _ingested_sql("Yellow"))
+def ingest_all_months(spark, sf_dir):
+    return _ingested(spark, sf_dir, "yellow")
+
+
+@query("ingest_green_months", _ingested_sql("Green"))
+def ingest_green_months(spark, sf_dir):
+    return _ingested(spark, sf_dir, "green")
+
+
 _HASH_7 = """md5(coalesce(CAST(vendorid AS VARCHAR), '') || CAST(pickup_datetime AS VARCHAR)
     || CAST(dropoff_datetime AS VARCHAR) || CAST(pulocationid AS VARCHAR) || CAST(dolocationid AS VARCHAR)
     || CAST(CAST(fare_amount AS DECIMAL(38,9)) AS VARCHAR)
     || CAST(CAST(trip_distance AS DECIMAL(38,9)) AS VARCHAR))"""
 
 
-@query(
-    "elt_month",
-    f"""WITH {checks.TRIPS} SELECT {_HASH_7} AS unique_row_id,
-        strftime(pickup_datetime, 'yellow_tripdata_%Y-%m.csv') AS filename, vendorid::VARCHAR AS "VendorID",
-        pickup_datetime AS tpep_pickup_datetime, CAST(CAST(payment_type AS DOUBLE) AS INTEGER) AS payment_type,
-        {money('total_amount')} FROM trips WHERE service = 'Yellow'""",
-)
-def elt_month(spark, sf_dir):
-    # All months are loaded, then the first quarter of every year once more.
-    root, table = monthly_csv(spark, sf_dir), new_dir(spark, "landing").rsplit("/", 1)[1].replace("-", "_")
+_HASH_5 = """unhex(md5(coalesce(CAST(vendorid AS VARCHAR), '') || CAST(pickup_datetime AS VARCHAR)
+    || CAST(dropoff_datetime AS VARCHAR) || CAST(pulocationid AS VARCHAR) || CAST(dolocationid AS VARCHAR)))"""
+
+
+def _loaded_sql(service: str, identity: str) -> str:
+    prefix = SERVICES[service].prefix
+    return f"""WITH {checks.TRIPS} SELECT {identity} AS unique_row_id,
+        strftime(pickup_datetime, '{service}_tripdata_%Y-%m.csv') AS filename, vendorid::VARCHAR AS "VendorID",
+        pickup_datetime AS {prefix}_pickup_datetime, CAST(CAST(payment_type AS DOUBLE) AS INTEGER) AS payment_type,
+        {money('total_amount')} FROM trips WHERE service = '{service.title()}'"""
+
+
+def _loaded(spark, sf_dir, service: str, warehouse: bool = False) -> DataFrame:
+    """All months are loaded, then the first quarter of every year once more, which adds nothing."""
+    of, root, path = SERVICES[service], monthly_csv(spark, sf_dir), new_dir(spark, "landing")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
     for months in ((), (1, 2, 3)):
         loads.load_month(
-            spark, table, files.monthly_glob(root, "yellow", months=months), LANDING_YELLOW,
-            "tpep_pickup_datetime", "tpep_dropoff_datetime",
+            spark, table, files.monthly_glob(root, service, months=months), of.landing,
+            f"{of.prefix}_pickup_datetime", f"{of.prefix}_dropoff_datetime", warehouse, path,
         )
+    rows = _detached(spark, table, path)
     return as_double(
-        spark.table(table).select(
-            "unique_row_id", "filename", "VendorID", "tpep_pickup_datetime", "payment_type", "total_amount"
-        ),
+        rows.select("unique_row_id", "filename", "VendorID", f"{of.prefix}_pickup_datetime", "payment_type", "total_amount"),
         "total_amount",
     )
 
 
+def _detached(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """The rows of an external table whose name is given up."""
+    schema = spark.table(table).schema
+    drop_table(spark, table)
+    return spark.read.schema(schema).parquet(path)
+
+
+@query("elt_month", _loaded_sql("yellow", _HASH_7))
+def elt_month(spark, sf_dir):
+    return _loaded(spark, sf_dir, "yellow")
+
+
+@query("elt_month_green", _loaded_sql("green", _HASH_7))
+def elt_month_green(spark, sf_dir):
+    return _loaded(spark, sf_dir, "green")
+
+
+@query(
+    "elt_month_warehouse",
+    " UNION ALL ".join(
+        f"SELECT unique_row_id, filename, VendorID, {SERVICES[service].prefix}_pickup_datetime AS pickup_datetime, payment_type, total_amount "
+        f"FROM ({_loaded_sql(service, _HASH_5)})" for service in SERVICES
+    ),
+)
+def elt_month_warehouse(spark, sf_dir):
+    """The warehouse form of both services' loads: a binary hash of five columns."""
+    sides = [
+        _loaded(spark, sf_dir, service, warehouse=True).withColumnRenamed(f"{of.prefix}_pickup_datetime", "pickup_datetime")
+        for service, of in SERVICES.items()
+    ]
+    return sides[0].unionByName(sides[1])
+
+
 @query(
     "count_by_filename",
     f"""WITH {checks.TRIPS}, named AS (SELECT strftime(pickup_datetime, 'yellow_tripdata_%Y-%m.csv') AS filename
@@ -214,7 +292,7 @@ def ctas_copy(spark, sf_dir):
     path = new_dir(spark, "copy")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     roles.table(spark, sf_dir, "orders").write.option("path", path).saveAsTable(name)
-    return spark.table(name)
+    return _detached(spark, name, path)
 
 
 @query(
@@ -223,12 +301,12 @@ def ctas_copy(spark, sf_dir):
 )
 def append_years(spark, sf_dir):
     orders = roles.table(spark, sf_dir, "orders")
-    early = F.year("o_orderdate") < 1998
+    early = F.col("o_orderdate") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     path = new_dir(spark, "years")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     orders.filter(early).write.option("path", path).saveAsTable(name)
     append_rows(orders.filter(~early), name)
-    return spark.table(name).groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n_rows"))
+    return _detached(spark, name, path).groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n_rows"))
 
 
 @query(
@@ -239,7 +317,9 @@ def json_products_avg(spark, sf_dir):
     part = roles.table(spark, sf_dir, "part")
     path = new_dir(spark, "products")
     product = F.struct(F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"))
-    part.select(F.array(product).alias("products")).write.json(path)
+    # Up to fifty products per document.
+    documents = part.groupBy(F.floor(F.col("p_partkey") / 50).alias("page")).agg(F.collect_list(product).alias("products"))
+    documents.select("products").write.json(path)
     products = files.read_products(spark, path, PRODUCTS_DOCUMENT)
     exact = products.withColumn("price", F.col("price").cast("decimal(12,2)"))
     averages = average_rounded(exact, "brand", "price", "avg_price")
@@ -299,7 +379,7 @@ def describe_schema(spark, sf_dir):
     return files.column_summary(roles.table(spark, sf_dir, "lineitem"))
 
 
-_LISTED = ["customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier"]
+_LISTED = sorted(TABLES)
 
 
 @query(
@@ -324,18 +404,26 @@ def parquet_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("repartition_write")
+def _written_in_files(rows: DataFrame, files_wanted: int) -> DataFrame:
+    """Files and rows of a repartitioned write, and whether the files have a mean size."""
+    path = new_dir(rows.sparkSession, "files")
+    layout.write_in_files(rows, path, files_wanted)
+    stored = rows.sparkSession.read.parquet(path).agg(F.count("*").alias("n_rows"))
+    return layout.file_sizes(rows.sparkSession, path).select(
+        "files", stored.scalar().alias("n_rows"), (F.col("avg_megabytes") > 0).alias("has_size"))
+
+
+@query("repartition_write", "SELECT 24::BIGINT AS files, count(*) AS n_rows, true AS has_size FROM lineitem")
 def repartition_write(spark, sf_dir):
-    path = new_dir(spark, "files")
-    layout.write_in_files(roles.table(spark, sf_dir, "lineitem"), path, 24)
-    return layout.file_sizes(spark, path)
+    return _written_in_files(roles.table(spark, sf_dir, "lineitem"), 24)
 
 
-@query("avg_file_size")
+@query(
+    "avg_file_size",
+    f"WITH {checks.TRIPS} SELECT 4::BIGINT AS files, count(*) AS n_rows, true AS has_size FROM trips WHERE service = 'Yellow'",
+)
 def avg_file_size(spark, sf_dir):
-    path = new_dir(spark, "files")
-    layout.write_in_files(roles.yellow_trips(spark, sf_dir), path, 4)
-    return layout.file_sizes(spark, path)
+    return _written_in_files(roles.yellow_trips(spark, sf_dir), 4)
 
 
 @query(
@@ -365,7 +453,8 @@ def by_dropoff_date(spark: SparkSession, sf_dir: str, cluster_by: tuple[str, ...
         layout.write_by_date(trips, path, "tpep_dropoff_datetime", "dropoff_date", cluster_by=cluster_by)
         return path
 
-    return spark.read.parquet(built_once(spark, ("by-date", sf_dir, *cluster_by), write))
+    inputs = roles.paths(sf_dir, *roles.TRIP_TABLES)
+    return spark.read.parquet(built_once(spark, ("by-date", sf_dir, *cluster_by), inputs, write))
 
 
 @query(

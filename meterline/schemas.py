@@ -55,6 +55,15 @@ LANDING_YELLOW = _struct(
     "total_amount decimal(38,9), congestion_surcharge decimal(38,9)"
 )
 
+LANDING_GREEN = _struct(
+    "VendorID string, lpep_pickup_datetime timestamp, lpep_dropoff_datetime timestamp, "
+    "store_and_fwd_flag string, RatecodeID string, PULocationID string, DOLocationID string, "
+    "passenger_count integer, trip_distance decimal(38,9), fare_amount decimal(38,9), extra decimal(38,9), "
+    "mta_tax decimal(38,9), tip_amount decimal(38,9), tolls_amount decimal(38,9), ehail_fee decimal(38,9), "
+    "improvement_surcharge decimal(38,9), total_amount decimal(38,9), payment_type integer, trip_type integer, "
+    "congestion_surcharge decimal(38,9)"
+)
+
 EVENT_MESSAGE = _struct("test_data long, event_timestamp double")
 
 TRIP_MESSAGE = _struct(
@@ -87,4 +96,10 @@ TABLES = {
     "events": _struct(
         "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     ),
+    "documents": _struct("doc_id long, text string, lang string, source string, n_chars long"),
+    "embeddings": T.StructType().add("vec_id", "long").add("embedding", T.ArrayType(T.FloatType())).add("label", "integer"),
+    "pages": _struct("page_id long, url string, html string"),
+    "benchmark": _struct("item_id long, text string"),
+    "labels": _struct("doc_id long, quality integer, toxic integer"),
+    "conversations": _struct("conv_id long, turn long, role string, text string"),
 }

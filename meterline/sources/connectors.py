@@ -12,17 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, query_or_table: str, partition_column: str | None = None,
-    lower: object = None, upper: object = None, partitions: int = 1, properties: Mapping[str, str] | None = None,
+    spark: SparkSession, url: str, query_or_table: str, partition_column: str, lower: object, upper: object,
+    partitions: int, properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Read a table or a parenthesised query; ranges of the partition column load in parallel."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", query_or_table)
-    if partition_column is not None:
-        reader = (
-            reader.option("partitionColumn", partition_column).option("lowerBound", str(lower))
-            .option("upperBound", str(upper)).option("numPartitions", partitions)
-        )
-    return reader.options(**dict(properties or {})).load()
+    """Read a table or a parenthesised query in ranges of a column, one connection and task per range.
+
+    The bounds only place the ranges: rows outside them are read by the first and last task.
+    """
+    return (
+        spark.read.format("jdbc").option("url", url).option("dbtable", query_or_table)
+        .option("partitionColumn", partition_column).option("lowerBound", str(lower))
+        .option("upperBound", str(upper)).option("numPartitions", partitions)
+        .options(**dict(properties or {})).load()
+    )
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 10_000, properties: Mapping[str, str] | None = None) -> None:

@@ -16,8 +16,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
     """CSV files with a header; without a schema every column is text.
 
     Columns past the declared ones are ignored, unreadable values become NULL.
-    ``.gz`` files are read by one task each, since gzip cannot be split; the rows
-    are spread again by the next shuffle.
+    ``.gz`` files are read by one task each, since gzip cannot be split: ``spread``
+    deals their rows to all tasks.
     """
     reader = spark.read.option("header", True).option("timestampFormat", CSV_TIME_FORMAT)
     if schema is not None:
@@ -25,6 +25,11 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows dealt evenly to tasks, as after a read of files that cannot be split."""
+    return df.hint("rebalance")
+
+
 def inferred_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> StructType:
     """Schema guessed from a sample of the rows, to be frozen for typed reads."""
     return (
@@ -120,6 +125,8 @@ def table_list(spark: SparkSession, names: Sequence[str] | None = None) -> DataF
     """Tables and views of the current catalog with their row counts."""
     listed = [table.name for table in spark.catalog.listTables()]
     chosen = sorted(name for name in listed if names is None or name in names)
+    if not chosen:
+        return spark.createDataFrame([], "table_name string, n_rows bigint")
     counts = [
         spark.table(name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         for name in chosen

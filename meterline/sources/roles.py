@@ -7,6 +7,8 @@ held in short decimals, which sum exactly and stay on the fast path.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.functions.text import zero_padded
@@ -18,17 +20,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All trips of both services, in one neutral layout.
+def paths(sf_dir: str, *names: str) -> list[str]:
+    """Where the given tables are."""
+    return [f"{sf_dir}/{name}.parquet" for name in names]
+
+
+TRIP_TABLES = ("lineitem", "orders", "customer", "supplier")
+
+
+def trips(
+    spark: SparkSession, sf_dir: str, only: str | None = None, first: date | None = None, end: date | None = None,
+) -> DataFrame:
+    """Trips of both services, in one neutral layout.
 
     Orders meet customers first, so that the long trip side is shuffled once
     for its order and once for its supplier, and never for the customer.
+
+    ``only`` is a condition on line items, such as one service's. With ``first`` and ``end``
+    orders are left out that cannot have a trip with a pickup or drop-off from the first day up
+    to, but without, the end day: a pickup follows its order within a day, a drop-off within two.
+    Both reach the files' statistics; the caller still filters the times themselves.
     """
-    orders = table(spark, sf_dir, "orders").join(
+    ordered, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    if first is not None:
+        ordered = ordered.filter(F.col("o_orderdate") >= F.lit(first - timedelta(days=2)).cast("timestamp_ntz"))
+    if end is not None:
+        ordered = ordered.filter(F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz"))
+    if only is not None:
+        items = items.filter(only)
+    orders = ordered.join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
     joined = (
-        table(spark, sf_dir, "lineitem")
+        items
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -83,6 +107,10 @@ _LAYOUT = [
     "l_linenumber",
 ]
 
+# A line item is one service's trip or the other's by its status.
+GREEN, YELLOW = "l_linestatus = 'O'", "l_linestatus <> 'O' OR l_linestatus IS NULL"
+
+# The columns of the trip files, in their order.
 GREEN_COLUMNS = [
     "vendorid", "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag", "ratecodeid",
     "pulocationid", "dolocationid", "passenger_count", "trip_distance", "fare_amount", "extra",
@@ -97,11 +125,10 @@ YELLOW_COLUMNS = [
 ]
 
 
-def green_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def green_trips(spark: SparkSession, sf_dir: str, first: date | None = None, end: date | None = None) -> DataFrame:
     """Raw green trips; pickup and drop-off carry the ``lpep_`` prefix."""
     return (
-        trips(spark, sf_dir)
-        .filter("service = 'Green'")
+        trips(spark, sf_dir, GREEN, first, end)
         .select(GREEN_COLUMNS)
         .withColumnsRenamed(
             {"pickup_datetime": "lpep_pickup_datetime", "dropoff_datetime": "lpep_dropoff_datetime"}
@@ -109,11 +136,10 @@ def green_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def yellow_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def yellow_trips(spark: SparkSession, sf_dir: str, first: date | None = None, end: date | None = None) -> DataFrame:
     """Raw yellow trips; pickup and drop-off carry the ``tpep_`` prefix."""
     return (
-        trips(spark, sf_dir)
-        .filter("service = 'Yellow'")
+        trips(spark, sf_dir, YELLOW, first, end)
         .select(YELLOW_COLUMNS)
         .withColumnsRenamed(
             {"pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime"}
@@ -121,10 +147,10 @@ def yellow_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fhv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fhv_trips(spark: SparkSession, sf_dir: str, first: date | None = None, end: date | None = None) -> DataFrame:
     """Raw for-hire trips: returned-flag N rows, some without a base number."""
     base = F.concat(F.lit("B"), zero_padded(F.col("l_suppkey").cast("string"), 5))
-    return trips(spark, sf_dir).filter("l_returnflag = 'N'").select(
+    return trips(spark, sf_dir, "l_returnflag = 'N'", first, end).select(
         F.when(F.col("l_suppkey") % 10 != 0, base).alias("dispatching_base_num"),
         "pickup_datetime",
         "dropoff_datetime",

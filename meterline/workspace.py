@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,9 +26,14 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_STORED: list[tuple[str, str]] = []
+
+
 def new_dir(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other job uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other job uses; ``release`` deletes it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _STORED.append((spark.sparkContext.applicationId, path))
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -38,12 +43,35 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_BUILT: dict[tuple[str, ...], str] = {}
+_BUILT: dict[tuple, str] = {}
+
+
+def stamp(spark: SparkSession, *paths: str) -> tuple:
+    """What tells one state of some files from another: their number, size, times and names."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return tuple(listed.agg(
+        F.count("*"), F.sum("length"), F.max("modificationTime").cast("string"),
+        F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).cast("string"),
+    ).first())
 
 
-def built_once(spark: SparkSession, key: tuple[str, ...], build: Callable[[], str]) -> str:
-    """Path of a stored input that several jobs of one application share."""
-    full = (spark.sparkContext.applicationId, *key)
+def built_once(spark: SparkSession, key: tuple[str, ...], inputs: Sequence[str], build: Callable[[], str]) -> str:
+    """Path of a stored table that several jobs of one application share.
+
+    It is built anew when the files of its inputs have changed.
+    """
+    full = (spark.sparkContext.applicationId, *key, stamp(spark, *inputs))
     if full not in _BUILT:
         _BUILT[full] = build()
     return _BUILT[full]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables this application has stored here; frames that read them end with it."""
+    application = spark.sparkContext.applicationId
+    for path in [path for owner, path in _STORED if owner == application]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _STORED[:] = [entry for entry in _STORED if entry[0] != application]
+    for full in [full for full in _BUILT if full[0] == application]:
+        del _BUILT[full]

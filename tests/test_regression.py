@@ -37,6 +37,25 @@ def test_exact_line_is_recovered(spark, features):
     assert weights["payment_type", "1"] - weights["payment_type", "0"] == pytest.approx(3, abs=1e-2)
 
 
+def test_missing_numbers_and_labels_keep_their_rows(spark, features):
+    holes = features.withColumn("passenger_count", F.when(F.col("fare_amount") > 9, F.col("passenger_count"))).withColumn(
+        "tolls_amount", F.lit(None).cast("double")).withColumn("PULocationID", F.when(F.col("trip_distance") > 3, F.col("PULocationID")))
+    unlabelled = holes.withColumn("tip_amount", F.when(F.col("trip_distance") > 1, F.col("tip_amount")))
+    model = regression.train(unlabelled)
+    scored = regression.predict(model, unlabelled)
+    assert scored.count() == 2000 and scored.filter(F.col("predicted_tip_amount").isNull()).count() == 0
+    assert regression.explain(model, unlabelled).count() == 2000
+    assert regression.evaluate(scored).first().median_absolute_error is not None
+
+
+def test_weights_are_determined(spark, features):
+    weights = {(r.processed_input, r.category): r.weight for r in regression.coefficients(spark, regression.train(features)).collect()}
+    assert len(weights) == 1 + 4 + 3 + 5 + 2
+    for name, base in (("PULocationID", 3), ("DOLocationID", 5), ("payment_type", 2)):
+        of = [weight for (column, _), weight in weights.items() if column == name]
+        assert len(of) == base and 0.0 in of
+
+
 def test_explanations_add_up(features):
     model = regression.train(features)
     explained = regression.explain(model, features, top=7)
