@@ -34,11 +34,10 @@ from meterline.llm.common import extended, plain_strings, steps, text_or_empty,
 SPACE = "▁"
 # Words of more characters than this use the heap.
 ROUND_CHARACTERS = 48
-# Text per step of a task, and ids that become Python numbers at once for the library's decoder.
-STEP = 16 << 20
-DECODED_IDS = 1 << 20
+# Text per step of a task.
+STEP = 6 << 20
 # Distinct words whose checked ids a Python worker remembers; others are encoded again.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
 
 
 class PieceModel:
@@ -92,6 +91,12 @@ class PieceModel:
         points = sorted((ord(piece), k) for piece, k in self.ids.items() if len(piece) == 1)
         self.points = np.array([p for p, _ in points], np.int64)
         self.point_ids = np.array([k for _, k in points], np.int64)
+        # The bytes each id stands for, whether it begins with a space, whether the library must decode it.
+        byte_of = {int(k): bytes([value]) for value, k in enumerate(self.byte_ids)}
+        names = {k: piece.replace(SPACE, " ").encode() for piece, k in self.ids.items()}
+        self.surfaces = pa.array([byte_of.get(k, names.get(k, b"")) for k in range(size)], pa.large_binary())
+        self.spaced = np.array([names.get(k, b"").startswith(b" ") for k in range(size)])
+        self.special = np.array([k not in byte_of and k not in names for k in range(size)], np.int64)
         self.known: dict[str, bytes] = {}
 
     # One word ------------------------------------------------------------------------------
@@ -158,7 +163,7 @@ class PieceModel:
         flat = np.where(self.points[at] == points, self.point_ids[at], -2 - points)
         order = np.argsort(-lengths, kind="stable")
         ends = np.cumsum(lengths)
-        results = np.empty(n, object)
+        parts, counts = [], np.zeros(n, np.int64)
         worst = np.iinfo(np.int64).max
         for begin in range(0, n, 1 << 14):
             rows = order[begin:begin + (1 << 14)]
@@ -196,11 +201,15 @@ class PieceModel:
                     fresh = self._merge_of(symbols[live[r], c], symbols[live[r], c + 1])
                     here_new[r, c], here_cost[r, c] = fresh, np.where(fresh >= 0, self.rank[fresh], worst)
                 new[live], cost[live] = here_new, here_cost
-            for row, k, size in zip(symbols, rows.tolist(), count.tolist()):
-                results[k] = row[:size]
-        flat_ids = np.concatenate(results) if n else np.empty(0, np.int64)
-        counts = np.fromiter(map(len, results), np.int64, n)
-        return self._with_bytes(flat_ids, counts)
+            parts.append(symbols[column < count[:, None]])
+            counts[rows] = count
+        # Back from the order of length to the order of the words.
+        sizes = counts[order]
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(np.concatenate(parts) if n else np.empty(0, np.int64)))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        return self._with_bytes(lists.take(pa.array(place)).flatten().to_numpy(zero_copy_only=False), counts)
 
     def _with_bytes(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Replace characters without a piece (-2 - code point) by their byte pieces."""
@@ -277,13 +286,31 @@ class PieceModel:
         return pa.ListArray.from_arrays(pa.array(offsets), taken.flatten())
 
     def decode(self, lists: pa.ListArray) -> list[str]:
-        """The library's decoding of each list of ids."""
-        ends = np.asarray(lists.offsets)
+        """The text of each list of ids, as the library decodes it.
+
+        The bytes of the pieces are joined and the space put before the text is taken off.
+        Lists with control pieces, unknown pieces or bytes that are no text go to the library.
+        """
+        offsets, ids = np.asarray(lists.offsets), np.asarray(lists.values)
+        begins, ends = offsets[:-1], offsets[1:]
+        base = int(offsets[0]) if len(offsets) else 0
+        joined = pc.binary_join(
+            pa.LargeListArray.from_arrays(pa.array((offsets - base).astype(np.int64)), self.surfaces.take(pa.array(ids[base:ends[-1] if len(ends) else base]))),
+            pa.scalar(b"", pa.large_binary()))
+        odd = np.concatenate([[0], np.cumsum(self.special[ids[base:ends[-1]]])]) if len(ends) else np.zeros(1, np.int64)
+        plain = odd[ends - base] == odd[begins - base]
         texts: list[str] = []
-        while len(texts) < len(lists):
-            begin = len(texts)
-            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + DECODED_IDS, side="right")) - 1)
-            texts += self.library.decode(lists.slice(begin, end - begin).to_pylist(), num_threads=1)
+        for k, blob in enumerate(joined):
+            text = None
+            if plain[k]:
+                try:
+                    text = blob.as_py().decode()
+                except UnicodeDecodeError:
+                    pass
+                else:
+                    if begins[k] < ends[k] and self.spaced[ids[begins[k]]]:
+                        text = text[1:]
+            texts.append(self.library.decode(ids[begins[k]:ends[k]].tolist()) if text is None else text)
         return texts
 
 

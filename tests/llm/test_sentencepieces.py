@@ -40,6 +40,16 @@ def test_both_agendas_agree(texts):
         at += n
 
 
+def test_any_ids_decode_as_in_the_library(library, texts):
+    random.seed(4)
+    model = s.PieceModel(PIECE_BPE)
+    spaces = [k for piece, k in model.ids.items() if piece.startswith("▁▁")]
+    pools = [range(32_000), range(3, 259), [*range(0, 40), 29871, *spaces], [13, 29871, 35, 259]]
+    lists = [random.choices(random.choice(pools), k=random.randint(0, 12)) for _ in range(3000)] + library.encode(texts[:300])
+    assert model.decode(pa.array(lists, pa.list_(pa.int32()))) == library.decode(lists)
+    assert model.decode(pa.array(lists, pa.list_(pa.int32())).slice(7, 50)) == library.decode(lists[7:57])
+
+
 def test_a_difference_is_an_error():
     model = s.PieceModel(PIECE_BPE)
     with pytest.raises(AssertionError):
