@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 # Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 # Bytes of text that one step inside a task holds; longer single texts are steps of their own.
-STEP_BYTES = 32 << 20
+STEP_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

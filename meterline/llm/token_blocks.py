@@ -48,7 +48,9 @@ BLOCK_SCHEMA = (
     "shard int, block int, first long, n_ids long, bits int, doc_ids array<long>, doc_ids_n array<long>, payload binary"
 )
 # Distinct units whose ids a Python worker remembers between batches; others are encoded again.
-REMEMBERED_UNITS = 400_000
+REMEMBERED_UNITS = 300_000
+# Text per step of a task.
+STEP = 16 << 20
 
 
 def width(vocabulary: int) -> int:
@@ -139,7 +141,7 @@ def _write_blocks(path: str, end_id: int):
             return row
 
         for batch in batches:
-            for step in steps(batch, "text"):
+            for step in steps(batch, "text", STEP):
                 ids, counts = encode_texts(encoder, plain_strings(step.column(1)))
                 ends = np.cumsum(counts)
                 for doc_id, begin, end in zip(step.column(0).to_pylist(), ends - counts, ends):
