@@ -34,10 +34,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import extended, quoted, text_or_empty, unused_name
+from meterline.llm.common import extended, text_or_empty
 from meterline.llm.quality_bayes import logistic
 
 KINDS = ("email", "ip", "card", "phone")
@@ -315,24 +316,21 @@ def redact_text(text: str, model: SpanModel | None) -> str:
 def redact(docs: DataFrame, text: str = "text", chars: str | None = "n_chars") -> DataFrame:
     """All columns, with the spans in ``text`` replaced; ``chars``, if there, is the new length."""
     model = fit(docs, text)
-    row = unused_name(docs, "_row")
-    whole = docs.select(F.struct(*map(quoted, docs.columns)).alias(row), F.col(quoted(text)).cast("string").alias("_text"))
+    at = docs.columns.index(text)
+    length = docs.columns.index(chars) if chars in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = [None if (x := value.as_py()) is None else redact_text(x, model) for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.string())], names=[row, "_text"])
-
-    done = whole.mapInArrow(run, whole.schema)
-    columns = []
-    for name in docs.columns:
-        column = F.col(row)[name]
-        if name == text:
-            column = F.col("_text")
-        elif name == chars:
-            column = F.when(F.col("_text").isNull() | column.isNull(), column).otherwise(F.length("_text").cast(docs.schema[name].dataType))
-        columns.append(column.alias(name))
-    return done.select(*columns)
+            columns = list(batch.columns)
+            bodies = [None if (x := value.as_py()) is None else redact_text(x, model) for value in columns[at]]
+            columns[at] = pa.array(bodies, columns[at].type)
+            if length is not None:
+                old = columns[length]
+                new = pa.array([None if body is None else len(body) for body in bodies], old.type)
+                columns[length] = pc.if_else(pc.or_(pc.is_null(old), pc.is_null(new)), old, new)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def digests(found: DataFrame) -> DataFrame:

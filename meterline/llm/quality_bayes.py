@@ -86,8 +86,16 @@ def features(texts: pa.Array) -> np.ndarray:
     ]) if n else np.empty((0, len(FEATURES)))
 
 
-def _with_features(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
-    rows = docs.select(*map(quoted, keep), text_or_empty(text).alias("_text"))
+def document_logits(model: list[float] | None, values: np.ndarray) -> np.ndarray:
+    """Log odds of rows of features, within +-20."""
+    if model is None:
+        return np.zeros(len(values))
+    return np.clip(model[0] + values @ np.array(model[1:]), -20, 20)
+
+
+def _with_features(docs: DataFrame, text: str) -> DataFrame:
+    """All columns of ``docs`` but ``text``, and ``features``."""
+    rows = docs.select(*(quoted(c) for c in docs.columns if c != text), text_or_empty(F.col(quoted(text))).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,13 +108,25 @@ def _with_features(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame
     return rows.mapInArrow(run, extended(rows, "features array<double>"))
 
 
+def with_logits(docs: DataFrame, model: list[float] | None, name: str, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and the document log odds of their texts as column ``name``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            for step in steps(batch, text, STEP_BYTES):
+                logits = document_logits(model, features(plain_strings(step.column(at))))
+                yield pa.RecordBatch.from_arrays([*step.columns, pa.array(logits)], names=[*step.schema.names, name])
+
+    return docs.mapInArrow(run, extended(docs, f"{quoted(name)} double", without=0))
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_labelled: int = MAX_LABELLED) -> list[float] | None:
     """Intercept and weights of the document classifier; None without labels of both kinds."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.avg("quality").alias("quality"))
     # At most max_labelled pairs of numbers: small enough to broadcast whatever the corpus holds.
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     chosen = docs.select("doc_id", text).join(F.broadcast(sample), "doc_id")
-    measured = _with_features(chosen, ("doc_id", "quality"), text)
+    measured = _with_features(chosen, text)
     # Copies of an id could exceed the bound: one row per id is enough for the fit.
     rows = measured.groupBy("doc_id").agg(F.min(F.struct("features", "quality")).alias("r")).orderBy("doc_id").select("r.*").collect()
     x = np.array([row["features"] for row in rows]).reshape(len(rows), len(FEATURES))
@@ -137,14 +157,6 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 1
     return np.concatenate([[w[0] - slopes @ mean], slopes])
 
 
-def document_logit(model: list[float] | None) -> Column:
-    """Log odds of a row with ``features``, within +-20."""
-    if model is None:
-        return F.lit(0.0)
-    terms = [F.col("features")[k] * F.lit(weight) for k, weight in enumerate(model[1:])]
-    return F.greatest(F.lit(-20.0), F.least(F.lit(20.0), sum(terms, F.lit(model[0]))))
-
-
 def _strength(mean: Column, between: Column, chance: Column) -> Column:
     """Strength of a beta prior from the variance between groups beyond chance."""
     surplus = F.greatest(between - chance, F.lit(EDGE))
@@ -190,10 +202,10 @@ def site_table(evidence: DataFrame) -> DataFrame:
 
 def _evidence(docs: DataFrame, model: list[float] | None, keep: Sequence[str], text: str, host: Column, path: Column) -> DataFrame:
     """The columns ``keep`` with host, path and logit of every row."""
-    sited = docs.select(*map(quoted, keep), F.col(quoted(text)).alias("_body"), host.alias("_site_host"), path.alias("_site_path"))
-    return _with_features(sited, (*keep, "_site_host", "_site_path"), "_body").select(
-        *map(quoted, keep), F.col("_site_host").alias("host"), F.col("_site_path").alias("path"),
-        document_logit(model).alias("logit"))
+    sited = docs.select(*map(quoted, keep), host.alias("_site_host"), path.alias("_site_path"), F.col(quoted(text)).cast("string").alias("_body"))
+    judged = with_logits(sited, model, "_logit", "_body")
+    return judged.select(
+        *map(quoted, keep), F.col("_site_host").alias("host"), F.col("_site_path").alias("path"), F.col("_logit").alias("logit"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", host: Column | None = None, path: Column | None = None,
@@ -216,9 +228,9 @@ def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     model = fit(docs, labels)
     light = materialize(_evidence(docs, model, ("doc_id",), "text", F.col("source"), F.col("lang")), "quality-evidence")
-    sites = materialize(site_table(light), "quality-sites").select(F.col("host").alias("_h"), F.col("path").alias("_p"), "site_logit")
-    row = unused_name(docs, "_row")
-    whole = docs.select(F.struct(*map(quoted, docs.columns)).alias(row), "text", "source", "lang")
-    judged = _evidence(whole, model, (row,), "text", F.col("source"), F.col("lang"))
-    joined = judged.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
-    return joined.filter(F.col("logit") + F.col("site_logit") >= 0).select(f"{row}.*")
+    sites = materialize(site_table(light), "quality-sites")
+    host, path, site, logit = (unused_name(docs, name) for name in ("_host", "_path", "_site_logit", "_doc_logit"))
+    sites = sites.select(F.col("host").alias(host), F.col("path").alias(path), F.col("site_logit").alias(site))
+    judged = with_logits(docs, model, logit)
+    joined = judged.join(sites, F.col("source").eqNullSafe(F.col(host)) & F.col("lang").eqNullSafe(F.col(path)))
+    return joined.filter(F.col(logit) + F.col(site) >= 0).select(*map(quoted, docs.columns))
