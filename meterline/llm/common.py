@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 WORD = r"[^\x20\x09-\x0D]+"
 # Bytes of text that one step inside a task holds; longer single texts are steps of their own.
 STEP_BYTES = 8 << 20
+BATCH_BYTES = 16 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +73,38 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound the Arrow batches of ``df``'s session by ``BATCH_BYTES``, unless a smaller bound is set.
+
+    Spark's own bound of 64 MB per batch, task and direction is large beside the rest of a task.
+    """
+    conf = df.sparkSession.conf
+    if int(str(conf.get(_BATCH_SETTING)).rstrip("b")) > BATCH_BYTES:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over Arrow batches, with freed memory given back to the system after each result.
+
+    Python workers live on for later stages and would keep what the largest step once needed.
+    """
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for result in run(batches):
+            yield result
+            give_back()
+        give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def steps(batch: pa.RecordBatch, text: str, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes of text each; every slice has a row at least."""
     if not batch.num_rows:

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import extended, text_or_empty
+from meterline.llm.common import extended, lean, small_batches, text_or_empty
 from meterline.llm.quality_bayes import logistic
 
 KINDS = ("email", "ip", "card", "phone")
@@ -206,7 +206,7 @@ def count_patterns(docs: DataFrame, text: str = "text") -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(width + 1)], names=[*(f"p{k}" for k in range(width)), "n"])
 
     names = [f"p{k}" for k in range(width)]
-    counted = docs.select(text_or_empty(text).alias("text")).mapInArrow(run, ", ".join(f"{name} long" for name in [*names, "n"]))
+    counted = small_batches(docs).select(text_or_empty(text).alias("text")).mapInArrow(lean(run), ", ".join(f"{name} long" for name in [*names, "n"]))
     return counted.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
@@ -295,7 +295,7 @@ def find(docs: DataFrame, model: SpanModel | None, text: str = "text", keep: tup
                    for x in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.list_(_SPAN))], names=[*batch.schema.names[:-1], "spans"])
 
-    return rows.mapInArrow(run, extended(rows, "spans array<struct<kind: string, begin: long, end: long, base: boolean>>"))
+    return small_batches(rows).mapInArrow(lean(run), extended(rows, "spans array<struct<kind: string, begin: long, end: long, base: boolean>>"))
 
 
 def redact_text(text: str, model: SpanModel | None) -> str:
@@ -330,7 +330,7 @@ def redact(docs: DataFrame, text: str = "text", chars: str | None = "n_chars") -
                 columns[length] = pc.if_else(pc.or_(pc.is_null(old), pc.is_null(new)), old, new)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(lean(run), docs.schema)
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import STEP_BYTES, extended, plain_strings, quoted, steps, text_bytes, text_or_empty, unused_name
+from meterline.llm.common import STEP_BYTES, extended, lean, plain_strings, quoted, small_batches, steps, text_bytes, text_or_empty, unused_name
 from meterline.workspace import materialize
 
 MAX_LABELLED = 20_000
@@ -105,7 +105,7 @@ def _with_features(docs: DataFrame, text: str) -> DataFrame:
                     pa.array(np.arange(len(values) + 1, dtype=np.int32) * len(FEATURES)), pa.array(values.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([*step.columns[:-1], lists], names=[*step.schema.names[:-1], "features"])
 
-    return rows.mapInArrow(run, extended(rows, "features array<double>"))
+    return small_batches(rows).mapInArrow(lean(run), extended(rows, "features array<double>"))
 
 
 def with_logits(docs: DataFrame, model: list[float] | None, name: str, text: str = "text") -> DataFrame:
@@ -117,7 +117,7 @@ def with_logits(docs: DataFrame, model: list[float] | None, name: str, text: str
                 logits = document_logits(model, features(plain_strings(step.column(at))))
                 yield pa.RecordBatch.from_arrays([*step.columns, pa.array(logits)], names=[*step.schema.names, name])
 
-    return docs.mapInArrow(run, extended(docs, f"{quoted(name)} double", without=0))
+    return small_batches(docs).mapInArrow(lean(run), extended(docs, f"{quoted(name)} double", without=0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", max_labelled: int = MAX_LABELLED) -> list[float] | None:

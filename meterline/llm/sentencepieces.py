@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import extended, plain_strings, steps, text_or_empty, units
+from meterline.llm.common import extended, lean, plain_strings, small_batches, steps, text_or_empty, units
 
 SPACE = "▁"
 # Words of more characters than this use the heap.
@@ -331,7 +331,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ...
                 yield pa.RecordBatch.from_arrays(
                     [*step.columns[:-1], ids, pa.array(pieces.decode(ids), pa.string())], names=[*step.schema.names[:-1], "ids", "decoded"])
 
-    return rows.mapInArrow(run, extended(rows, "ids array<int>, decoded string"))
+    return small_batches(rows).mapInArrow(lean(run), extended(rows, "ids array<int>, decoded string"))
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import extended, quoted, text_or_empty, unused_name
+from meterline.llm.common import extended, lean, quoted, small_batches, text_or_empty, unused_name
 from meterline.workspace import materialize
 
 SHINGLE_WORDS = 3
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(values.view(np.int64), pa.int64())], names=[*batch.schema.names[:-1], "fp"])
 
-    return rows.mapInArrow(run, extended(rows, "fp long"))
+    return small_batches(rows).mapInArrow(lean(run), extended(rows, "fp long"))
 
 
 @lru_cache(maxsize=1)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterline.llm.common import gather, plain_strings, steps, text_or_empty, units
+from meterline.llm.common import gather, lean, plain_strings, small_batches, steps, text_or_empty, units
 from meterline.workspace import materialize, new_dir
 
 BLOCK_IDS = 1 << 16
@@ -172,7 +172,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
     rows = rows.withColumn("salt", F.xxhash64("text"))
     ordered = rows.repartitionByRange(n, "doc_id", "salt").sortWithinPartitions("doc_id", "salt", "text")
     # The bits are spent already; light compression is enough.
-    ordered.select("doc_id", "text").mapInArrow(_write_blocks(tokenizer, end_id), BLOCK_SCHEMA).write.parquet(path)
+    small_batches(ordered).select("doc_id", "text").mapInArrow(lean(_write_blocks(tokenizer, end_id)), BLOCK_SCHEMA).write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -187,7 +187,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         totals.select("shard", (F.sum("total").over(W.orderBy("shard")) - F.col("total")).alias("base")), "token-shards")
     return (stored.join(before, "shard")
             .select((F.col("base") + F.col("first")).alias("first"), "bits", "doc_ids", "doc_ids_n", "payload")
-            .mapInArrow(_read_blocks, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(lean(_read_blocks), "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

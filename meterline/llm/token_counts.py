@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import extended, plain_strings, steps, text_bytes, text_or_empty
+from meterline.llm.common import extended, lean, plain_strings, small_batches, steps, text_bytes, text_or_empty
 from meterline.llm.token_blocks import UnitEncoder, encode_texts, unit_encoder
 
 RULES = ("most", "first", "last")
@@ -108,4 +108,4 @@ def section_counts(docs: DataFrame, tokenizer: str, rule: str = "most", text: st
                     pa.array(np.where(nonempty, high - base, 0)), pa.array(tokens), pa.array(crossed),
                 ], names=[*step.schema.names[:-1], "section", "begin", "end", "n_tokens", "n_crossing"])
 
-    return rows.mapInArrow(run, extended(rows, "section int, begin long, end long, n_tokens long, n_crossing long"))
+    return small_batches(rows).mapInArrow(lean(run), extended(rows, "section int, begin long, end long, n_tokens long, n_crossing long"))
