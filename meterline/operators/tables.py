@@ -98,16 +98,20 @@ def merge_into_table(
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace-load: write a new folder, then point the table name at it; columns stay as they are."""
+    """Replace-load: write a new folder, then point the table name at it.
+
+    Readers in between find no table only where the columns change.
+    """
     spark = df.sparkSession
     target = path or new_dir(spark, "table")
     df.write.parquet(target)
-    if spark.catalog.tableExists(name):
+    if spark.catalog.tableExists(name) and spark.table(name).dtypes == df.dtypes:
         # One catalog operation: readers find the old rows or the new ones, never no table.
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
         spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.createTable(name, path=target, source="parquet")
+        return
+    drop_table(spark, name)
+    spark.catalog.createTable(name, path=target, source="parquet")
 
 
 def truncate_table(spark: SparkSession, name: str, schema=None) -> None:
