@@ -217,14 +217,14 @@ def _loaded(spark, sf_dir, service: str, warehouse: bool = False) -> DataFrame:
             spark, table, files.monthly_glob(root, service, months=months), of.landing,
             f"{of.prefix}_pickup_datetime", f"{of.prefix}_dropoff_datetime", warehouse, path,
         )
-    rows = _detached(spark, table, path)
+    rows = detached(spark, table, path)
     return as_double(
         rows.select("unique_row_id", "filename", "VendorID", f"{of.prefix}_pickup_datetime", "payment_type", "total_amount"),
         "total_amount",
     )
 
 
-def _detached(spark: SparkSession, table: str, path: str) -> DataFrame:
+def detached(spark: SparkSession, table: str, path: str) -> DataFrame:
     """The rows of an external table whose name is given up."""
     schema = spark.table(table).schema
     drop_table(spark, table)
@@ -292,7 +292,7 @@ def ctas_copy(spark, sf_dir):
     path = new_dir(spark, "copy")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     roles.table(spark, sf_dir, "orders").write.option("path", path).saveAsTable(name)
-    return _detached(spark, name, path)
+    return detached(spark, name, path)
 
 
 @query(
@@ -306,7 +306,7 @@ def append_years(spark, sf_dir):
     name = path.rsplit("/", 1)[1].replace("-", "_")
     orders.filter(early).write.option("path", path).saveAsTable(name)
     append_rows(orders.filter(~early), name)
-    return _detached(spark, name, path).groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n_rows"))
+    return detached(spark, name, path).groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n_rows"))
 
 
 @query(

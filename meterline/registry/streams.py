@@ -24,10 +24,10 @@ SENTINEL_START = datetime(2200, 1, 1)
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click events as messages: user as ``test_data``, time in (float) epoch milliseconds."""
-    return _as_event_messages(roles.events(spark, sf_dir))
+    return as_event_messages(roles.events(spark, sf_dir))
 
 
-def _as_event_messages(events: DataFrame) -> DataFrame:
+def as_event_messages(events: DataFrame) -> DataFrame:
     shaped = events.select(
         F.col("user_id").alias("test_data"),
         (F.unix_micros("ts") / 1000).cast("double").alias("event_timestamp"),
@@ -39,7 +39,7 @@ def _event_sentinel(spark: SparkSession) -> DataFrame:
     one = spark.range(1).select(
         F.lit(SENTINEL_KEY).cast("bigint").alias("user_id"), F.lit(SENTINEL_TIME).cast("timestamp").alias("ts")
     )
-    return _as_event_messages(one)
+    return as_event_messages(one)
 
 
 def _trip_sentinel(spark: SparkSession) -> DataFrame:
@@ -138,7 +138,7 @@ def stream_upsert_tumble(spark, sf_dir):
         events.filter((F.col("ts") >= third) & (F.col("ts") < two_thirds)),
         events.filter(F.col("ts") >= two_thirds),
     ):
-        replay.step(_as_event_messages(part), _tumble("1 hour"), sink)
+        replay.step(as_event_messages(part), _tumble("1 hour"), sink)
     return sinks.current_rows(spark, replay.out, ["event_hour", "test_data"])
 
 
@@ -188,8 +188,8 @@ def late_event_audit(spark, sf_dir):
     dropped = sinks.LateRows()
     replay.stream.streams.addListener(dropped)
     try:
-        replay.step(_as_event_messages(events.filter(F.col("ts") >= cut)), job, sinks.upsert_parquet)
-        late = replay.step(_as_event_messages(events.filter(F.col("ts") < cut)), job, sinks.upsert_parquet)
+        replay.step(as_event_messages(events.filter(F.col("ts") >= cut)), job, sinks.upsert_parquet)
+        late = replay.step(as_event_messages(events.filter(F.col("ts") < cut)), job, sinks.upsert_parquet)
         windows_dropped = dropped.of(late)
     finally:
         replay.stream.streams.removeListener(dropped)
