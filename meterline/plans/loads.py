@@ -29,21 +29,21 @@ def ingest_months(
 
 def load_month(
     spark: SparkSession, table: str, files: str | Sequence[str], schema: StructType,
-    pickup: str, dropoff: str, warehouse: bool = False, path: str | None = None,
+    pickup: str, dropoff: str, warehouse: bool = False, path: str | None = None, unit: str = "month",
 ) -> None:
     """Stage one month of CSV, add row hash and file name, and insert the unknown rows.
 
     Loading the same files again inserts nothing. Equal rows inside one load are
     all inserted, since the merge only looks at what the table held before.
-    The warehouse form hashes fewer columns to bytes. Tables are partitioned by
-    pickup date, and the merge reads only the dates the load has.
+    The warehouse form hashes fewer columns to bytes. Tables are partitioned by the
+    pickup's month or day (``unit``), and the merge reads only the periods the load has.
     """
     landing = read_csv(spark, files, schema)
     identify = tables.with_warehouse_identity if warehouse else tables.with_landing_identity
-    staged = identify(landing, pickup, dropoff, file_name()).withColumn("pickup_date", F.to_date(pickup))
+    staged = identify(landing, pickup, dropoff, file_name()).withColumn("pickup_period", F.date_trunc(unit, pickup).cast("date"))
     staged = materialize(staged, "staged-month")
-    tables.create_table(spark, table, staged.schema, ["pickup_date"], path)
-    tables.merge_into_table(spark, table, staged, "unique_row_id", "pickup_date", ["pickup_date"])
+    tables.create_table(spark, table, staged.schema, ["pickup_period"], path)
+    tables.merge_into_table(spark, table, staged, "unique_row_id", "pickup_period", ["pickup_period"])
 
 
 def loaded_rows_like(table: DataFrame, filename_regex: str) -> DataFrame:

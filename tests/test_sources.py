@@ -119,22 +119,23 @@ def test_ingest_replaces_only_the_months_it_finds(spark, tmp_path):
     assert got == {(2020, 1): 1, (2020, 2): 2, (2021, 1): 4}
 
 
-@pytest.mark.parametrize("warehouse", [False, True])
-def test_monthly_load_is_idempotent(spark, tmp_path, warehouse):
+@pytest.mark.parametrize("warehouse, unit", [(False, "month"), (False, "day"), (True, "day")])
+def test_monthly_load_is_idempotent(spark, tmp_path, warehouse, unit):
     from meterline.schemas import LANDING_YELLOW
 
-    root, table = monthly_tree(tmp_path), f"landing_{warehouse}".lower()
+    root, table = monthly_tree(tmp_path), f"landing_{warehouse}_{unit}".lower()
     for months in ([1], [1], [2], [1, 2]):
         loads.load_month(
             spark, table, files.monthly_glob(root, "yellow", [2020], months), LANDING_YELLOW,
-            "tpep_pickup_datetime", "tpep_dropoff_datetime", warehouse,
+            "tpep_pickup_datetime", "tpep_dropoff_datetime", warehouse, unit=unit,
         )
     loaded = spark.table(table)
     assert loaded.columns[:2] == ["unique_row_id", "filename"] and loaded.count() == 3
     assert loads.loaded_rows_like(loaded, r"yellow_tripdata_2020-\d{2}\.csv").first().n_rows == 3
     assert loaded.filter(F.col("filename").like("yellow_tripdata_2020-02%")).count() == 2
     assert dict(loaded.dtypes)["unique_row_id"] == ("binary" if warehouse else "string")
-    assert loaded.columns[-1] == "pickup_date"
+    assert loaded.columns[-1] == "pickup_period"
+    assert {r.pickup_period.day for r in loaded.collect()} == ({1} if unit == "month" else {5})
 
 
 def test_a_stray_date_reads_only_its_own_partition(spark, tmp_path):
