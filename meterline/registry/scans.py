@@ -31,15 +31,15 @@ TRIP_MESSAGE_COLUMNS = [
 ]
 
 
-def write_csv(df: DataFrame, label: str, by: str | None = None, codec: str = "none", path: str | None = None) -> str:
-    """Write CSV with a header to a folder, by default a new one, optionally one folder per value."""
-    path = path or new_dir(df.sparkSession, label)
+def write_csv(df: DataFrame, label: str, by: str | None = None, codec: str = "none") -> str:
+    """Write CSV with a header to the shared folder, optionally one folder per value."""
+    path = new_dir(df.sparkSession, label)
     if by:
         df = df.hint("rebalance", F.col(by))
     writer = df.write.option("header", True).option("timestampFormat", files.CSV_TIME_FORMAT)
     if by:
         writer = writer.partitionBy(by)
-    writer.option("compression", codec).mode("append").csv(path)
+    writer.option("compression", codec).csv(path)
     return path
 
 
@@ -75,19 +75,16 @@ def landing_rows(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     return raw.select([field.name for field in of.landing])
 
 
-def monthly_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Trips of both services as monthly CSV files named after their pickup month, the input of the loads."""
+def monthly_csv(spark: SparkSession, sf_dir: str, service: str) -> str:
+    """Trips of a service as monthly CSV files named after their pickup month, the input of the loads."""
     inputs = roles.paths(sf_dir, *roles.TRIP_TABLES)
-    return built_once(spark, ("monthly-csv", sf_dir), inputs, lambda: _write_monthly_csv(spark, sf_dir))
+    return built_once(spark, ("monthly-csv", sf_dir, service), inputs, lambda: _write_monthly_csv(spark, sf_dir, service))
 
 
-def _write_monthly_csv(spark: SparkSession, sf_dir: str) -> str:
-    path = new_dir(spark, "monthly")
-    for service, of in SERVICES.items():
-        month = F.date_format(f"{of.prefix}_pickup_datetime", "yyyy-MM")
-        named = landing_rows(spark, sf_dir, service).withColumn("file", F.concat(F.lit(f"{service}_tripdata_"), month, F.lit(".csv")))
-        write_csv(named, "monthly", by="file", path=path)
-    return path
+def _write_monthly_csv(spark: SparkSession, sf_dir: str, service: str) -> str:
+    month = F.date_format(f"{SERVICES[service].prefix}_pickup_datetime", "yyyy-MM")
+    name = F.concat(F.lit(f"{service}_tripdata_"), month, F.lit(".csv"))
+    return write_csv(landing_rows(spark, sf_dir, service).withColumn("file", name), "monthly", by="file")
 
 
 _HV_SQL = f"""WITH {checks.FHV} SELECT CASE WHEN pulocationid % 2 = 0 THEN 'HV0003' ELSE 'HV0005' END
@@ -133,8 +130,10 @@ def external_csv_ignore_unknown(spark, sf_dir):
 
 def _both_monthly(spark, sf_dir, **chosen) -> DataFrame:
     """Monthly files of both services, on the columns both have."""
-    root = monthly_csv(spark, sf_dir)
-    sides = [files.read_monthly(spark, root, of.landing, service, **chosen) for service, of in SERVICES.items()]
+    sides = [
+        files.read_monthly(spark, monthly_csv(spark, sf_dir, service), of.landing, service, **chosen)
+        for service, of in SERVICES.items()
+    ]
     shared = common_columns(*sides)
     return sides[0].select(shared).unionByName(sides[1].select(shared))
 
@@ -171,7 +170,7 @@ def _ingested_sql(service: str) -> str:
 
 def _ingested(spark, sf_dir, service: str) -> DataFrame:
     lake = loads.ingest_months(
-        spark, monthly_csv(spark, sf_dir), new_dir(spark, "lake"), SERVICES[service].lake, service
+        spark, monthly_csv(spark, sf_dir, service), new_dir(spark, "lake"), SERVICES[service].lake, service
     )
     # Doubles from the files are summed as exact decimals.
     counted = lake.groupBy("year", "month", "VendorID").agg(
@@ -210,7 +209,7 @@ def _loaded_sql(service: str, identity: str) -> str:
 
 def _loaded(spark, sf_dir, service: str, warehouse: bool = False) -> DataFrame:
     """All months are loaded, then the first quarter of every year once more, which adds nothing."""
-    of, root, path = SERVICES[service], monthly_csv(spark, sf_dir), new_dir(spark, "landing")
+    of, root, path = SERVICES[service], monthly_csv(spark, sf_dir, service), new_dir(spark, "landing")
     table = path.rsplit("/", 1)[1].replace("-", "_")
     for months in ((), (1, 2, 3)):
         loads.load_month(
@@ -265,7 +264,7 @@ def elt_month_warehouse(spark, sf_dir):
                count_if(filename LIKE 'yellow_tripdata_1999-03%') AS rows_1999_03 FROM named""",
 )
 def count_by_filename(spark, sf_dir):
-    landed = files.read_csv(spark, files.monthly_glob(monthly_csv(spark, sf_dir), "yellow"), LANDING_YELLOW)
+    landed = files.read_csv(spark, files.monthly_glob(monthly_csv(spark, sf_dir, "yellow"), "yellow"), LANDING_YELLOW)
     named = landed.select(files.file_name().alias("filename"))
     return named.agg(
         F.count_if(F.col("filename").rlike(r"yellow_tripdata_1998-\d{2}\.csv")).alias("rows_1998"),

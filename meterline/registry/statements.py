@@ -154,7 +154,7 @@ def regexp_digits(spark, sf_dir):
         true AS stamped FROM trips WHERE service = 'Green' GROUP BY 1""",
 )
 def ingestion_stamp(spark, sf_dir):
-    landed = files.read_csv(spark, files.monthly_glob(monthly_csv(spark, sf_dir), "green"), SERVICES["green"].landing)
+    landed = files.read_csv(spark, files.monthly_glob(monthly_csv(spark, sf_dir, "green"), "green"), SERVICES["green"].landing)
     now = F.current_timestamp()
     return files.with_provenance(landed).groupBy("source_file").agg(
         F.count("*").alias("n_rows"), F.every(F.col("ingestion_timestamp") <= now).alias("stamped"))

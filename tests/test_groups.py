@@ -121,3 +121,13 @@ def test_events_exactly_one_gap_apart_share_a_session(spark):
 def test_longest_streak(spark):
     df = spark.createDataFrame([(1, 2), (1, 5), (2, 3)], "k int, streak_length int")
     assert [tuple(r) for r in sessions.longest_streaks(df, ["k"]).collect()] == [(1, 5), (2, 3)]
+
+
+def test_rows_ordered_as_a_whole_are_bounded_by_the_time_span(spark):
+    """Sessions over all events order one row per chunk of cells: span / (gap * chunk), whatever the events."""
+    gap, span = 60, 10 * 86_400
+    times = random.Random(4)
+    for events in (2_000, 20_000):
+        df = spark.createDataFrame([(START + timedelta(seconds=times.uniform(0, span)),) for _ in range(events)], "t timestamp")
+        chunks = sessions._cells(df, "t", gap, []).select(F.floor(F.col("_cell") / sessions.CELLS_PER_CHUNK)).distinct().count()
+        assert chunks <= span / (gap * sessions.CELLS_PER_CHUNK) + 2
