@@ -181,3 +181,13 @@ def test_report_job_writes_one_file(spark, tmp_path, monkeypatch):
 def test_both_zone_roles(spark, zones, rows):
     trips = spark.createDataFrame([(1, 2), (2, None)], "pickup_locationid int, dropoff_locationid int")
     assert rows(with_both_zones(trips, zones), "pickup_zone", "dropoff_zone") == [("Newark Airport", "Jamaica Bay")]
+
+
+def test_one_pass_stages_what_two_do(spark, rows):
+    from meterline.sources import roles
+
+    sf = "/root/testdata/sf0.001"
+    once = staging.stage_services(roles.trips(spark, sf))
+    twice = staging.stage_green(roles.green_trips(spark, sf)).withColumn("service_type", F.lit("Green")).unionByName(
+        staging.stage_yellow(roles.yellow_trips(spark, sf)).withColumn("service_type", F.lit("Yellow")))
+    assert rows(once, *sorted(once.columns)) == rows(twice, *sorted(once.columns))

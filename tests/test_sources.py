@@ -3,10 +3,12 @@ from __future__ import annotations
 import gzip
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from meterline import workspace
 from meterline.plans import loads
 from meterline.schemas import GREEN_TRIPS, HIGH_VOLUME_TRIPS, PRODUCTS_DOCUMENT, YELLOW_TRIPS, YELLOW_TRIPS_2024
 from meterline.sources import connectors, files, layout
@@ -35,6 +37,16 @@ def test_stored_inputs_follow_their_files(spark, tmp_path):
     assert spark.read.parquet(built_once(spark, ("test",), [source], build)).count() == 5 and len(built) == 2
 
 
+def test_release_deletes_what_was_stored(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "_STORED", [])
+    monkeypatch.setattr(workspace, "_BUILT", {})
+    assert workspace.materialize(spark.range(3), "kept").count() == 3
+    (path,) = [Path(path) for _, path in workspace._STORED]
+    assert path.exists()
+    workspace.release(spark)
+    assert not path.exists() and workspace._STORED == []
+
+
 @pytest.mark.parametrize("name", ["ctas_copy", "append_years", "elt_month_green"])
 def test_queries_leave_no_table_behind(spark, name):
     from __spark_entry__ import queries
