@@ -15,9 +15,10 @@ are taken in ascending order of key while the middle of a document lies inside t
 that slice's documents are ordered. What is taken is then a comparison with the source's cut.
 
 Only Spark SQL functions are used. Defined cases: a null or empty text has size 0 and takes
-nothing; null sources are one source; null ids and repeated rows draw keys like any other (equal
-rows draw equal keys and are ordered arbitrarily, which changes no result row); a source without
-words has the target 0; empty tables give empty results; other columns are kept by ``apply_mix``.
+nothing; null sources are one source; null ids and repeated rows draw keys like any other; equal
+rows (source, id and text) draw equal keys, and where the cut falls among them, as many of them are
+taken as lie inside the rest, whichever; a source without words has the target 0; empty tables
+give empty results; other columns are kept by ``apply_mix``.
 """
 
 from __future__ import annotations
@@ -87,8 +88,9 @@ def targets(totals: DataFrame) -> DataFrame:
 def plan(placed: DataFrame) -> DataFrame:
     """One row per source: source_size, target, epochs, and the cut of the fractional epoch.
 
-    ``cut_slice`` is the slice of the keys that holds the cut and ``cut`` the last row taken
-    inside it (null: none of that slice).
+    ``cut_slice`` is the slice of the keys that holds the cut and ``cut`` the last place all of whose
+    rows are taken inside it (null: none of that slice). Of the rows at the place ``split`` only
+    ``split_taken`` are taken (null: the cut falls between places).
     """
     sliced = placed.withColumn("slice", _slice(F.col("key")))
     sums = materialize(sliced.groupBy("source", "slice").agg(F.sum("size").alias("size")), "mix-slices")
@@ -103,15 +105,23 @@ def plan(placed: DataFrame) -> DataFrame:
           .groupBy("s.source").agg(F.min(F.struct("slice", "before")).alias("first")))
     cut_at = materialize(at.select(F.col("source").alias("_source"), "first.slice", "first.before"), "mix-cut-slices")
     inside = (sliced.join(cut_at, F.col("source").eqNullSafe(F.col("_source")) & (sliced["slice"] == cut_at["slice"]))
-              .select("source", "size", "before", F.struct("key", "doc_id", "tie").alias("place")))
+              .groupBy("source", "before", "key", "doc_id", "tie").agg(F.max("size").alias("size"), F.count("*").alias("n"))
+              .select("source", "before", "size", "n", F.struct("key", "doc_id", "tie").alias("place")))
     order = W.partitionBy("source").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
-    ordered = inside.withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
+    ordered = inside.withColumn("ahead", F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(order), F.lit(0)))
+    # Of n rows of one size, those whose middle is inside the rest; in whole numbers, so that it is exact.
+    left = F.floor(2 * F.col("rest")) - 2 * F.col("ahead") - F.col("size")
+    fitting = F.when(left < 0, 0).when(F.col("size") == 0, F.col("n")).otherwise(F.least("n", F.expr("left div (2 * size)") + 1))
     taken = (ordered.alias("o").join(aims.alias("a"), F.col("o.source").eqNullSafe(F.col("a.source")))
-             .filter(2 * F.col("ahead") + F.col("size") <= 2 * F.col("rest"))
-             .groupBy("o.source").agg(F.max("place").alias("cut")).withColumnRenamed("source", "_cut_source"))
+             .withColumn("left", left).withColumn("fitting", fitting).groupBy("o.source").agg(
+                 F.max(F.when(F.col("fitting") == F.col("n"), F.col("place"))).alias("cut"),
+                 F.max(F.when((F.col("fitting") > 0) & (F.col("fitting") < F.col("n")), F.struct("place", "fitting"))).alias("split"))
+             .withColumnRenamed("source", "_cut_source"))
     joined = (aims.join(cut_at, F.col("source").eqNullSafe(F.col("_source")), "left")
               .join(taken, F.col("source").eqNullSafe(F.col("_cut_source")), "left"))
-    return materialize(joined.select("source", "source_size", "target", "epochs", F.col("slice").alias("cut_slice"), "cut"), "mix-plan")
+    return materialize(joined.select(
+        "source", "source_size", "target", "epochs", F.col("slice").alias("cut_slice"), "cut",
+        F.col("split.place").alias("split"), F.col("split.fitting").alias("split_taken")), "mix-plan")
 
 
 def _slice(key: Column) -> Column:
@@ -120,38 +130,58 @@ def _slice(key: Column) -> Column:
 
 
 def copies(key: Column, doc_id: Column, tie: Column) -> Column:
-    """How often a row is taken, beside the columns of its source's plan."""
-    place = F.struct(key.alias("key"), doc_id.alias("doc_id"), tie.alias("tie"))
+    """How often a row is taken, beside the columns of its source's plan; rows at ``split`` as if left out of the cut."""
     here = _slice(key)
     # Without a cut slice all slices end inside the rest.
     extra = F.when(F.col("cut_slice").isNull() | (here < F.col("cut_slice")), 1).when(
-        (here == F.col("cut_slice")) & F.coalesce(place <= F.col("cut"), F.lit(False)), 1).otherwise(0)
+        (here == F.col("cut_slice")) & F.coalesce(_place(key, doc_id, tie) <= F.col("cut"), F.lit(False)), 1).otherwise(0)
     return F.when(F.col("source_size") > 0, F.col("epochs") + extra).otherwise(0).cast("long")
 
 
+def _place(key: Column, doc_id: Column, tie: Column) -> Column:
+    return F.struct(key.alias("key"), doc_id.alias("doc_id"), tie.alias("tie"))
+
+
+def with_copies(joined: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``copies`` beside the rows of ``joined``: source, key, doc_id, tie and the columns of the plan ``mixed``.
+
+    Rows at a split place are stored and numbered: by the task that stored them, and among those of one
+    task by their order, so that no task numbers more rows than one has read.
+    """
+    columns = F.col("key"), F.col("doc_id"), F.col("tie")
+    counted = joined.withColumn("copies", copies(*columns))
+    if mixed.filter("split IS NOT NULL").isEmpty():
+        return counted
+    at_split = _place(*columns).eqNullSafe(F.col("split"))
+    stored = materialize(counted.filter(at_split).withColumn("_at", F.monotonically_increasing_id()), "mix-split")
+    stored = stored.withColumn("_part", F.shiftright("_at", 33))
+    parts = stored.groupBy("source", "_part").agg(F.count("*").alias("_n"))
+    earlier = F.sum("_n").over(W.partitionBy("source").orderBy("_part")) - F.col("_n")
+    parts = materialize(parts.select(F.col("source").alias("_of"), F.col("_part").alias("_in"), earlier.alias("_earlier")), "mix-split-parts")
+    number = F.col("_earlier") + F.row_number().over(W.partitionBy("source", "_part").orderBy("_at"))
+    numbered = (stored.join(parts, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in")))
+                .withColumn("_number", number)
+                .withColumn("copies", F.col("copies") + F.when(F.col("_number") <= F.col("split_taken"), 1).otherwise(0)))
+    return counted.filter(~at_split).unionByName(numbered.select(counted.columns))
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken (words the mix takes, repeats counted)."""
     placed = materialize(place(docs), "mix-places")
     mixed = plan(placed).withColumnRenamed("source", "_source")
-    return placed.join(mixed, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("size") * copies(F.col("key"), F.col("doc_id"), F.col("tie"))).alias("taken"),
-    )
+    joined = placed.join(mixed, F.col("source").eqNullSafe(F.col("_source")))
+    return with_copies(joined, mixed).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def apply_mix(docs: DataFrame) -> DataFrame:
     """The documents of the mix: every row as often as it is taken, all columns kept."""
     placed = materialize(place(docs), "mix-places")
-    mixed = plan(placed)
-    names = {name: unused_name(docs, f"_mix_{name}") for name in ("source", "source_size", "epochs", "cut_slice", "cut", "row")}
-    mixed = mixed.select(*(F.col(name).alias(names[name]) for name in ("source", "source_size", "epochs", "cut_slice", "cut")))
+    mixed = plan(placed).drop("target").withColumnRenamed("source", "_source")
     row = unused_name(docs, "_mix_row")
     whole = docs.select(F.struct("*").alias(row), "doc_id", "source", "text")
     sized = whole.withColumn("size", size_of("text"))
     keyed = sized.withColumn("key", draw(quality_of(F.col("size"), "text"), "text")).withColumn("tie", F.xxhash64(text_or_empty("text")))
-    joined = keyed.join(mixed, F.col("source").eqNullSafe(F.col(names["source"])))
-    for name in ("source_size", "epochs", "cut_slice", "cut"):
-        joined = joined.withColumnRenamed(names[name], name)
-    n = copies(F.col("key"), F.col("doc_id"), F.col("tie")).cast("int")
-    return joined.withColumn("copies", n).filter("copies > 0").select(
-        row, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(f"{row}.*")
+    joined = keyed.select(row, "doc_id", "source", "key", "tie").join(mixed, F.col("source").eqNullSafe(F.col("_source")))
+    repeated = with_copies(joined, mixed).withColumn("copies", F.col("copies").cast("int")).filter("copies > 0")
+    return repeated.select(row, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(f"{row}.*")

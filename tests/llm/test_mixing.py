@@ -107,3 +107,28 @@ def test_native(edge_docs):
     for df in (m.mix(edge_docs), m.apply_mix(edge_docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("of_one_place", [300, 1000])
+def test_the_cut_among_equal_rows(spark, of_one_place):
+    """The fractional epoch ends inside a group of equal rows, of which it takes a part."""
+    rows = [(None, "the same three", None, None, 0, k, "", "", 0.0, 0) for k in range(of_one_place)]
+    rows += [(7, "one more", None, "b", 0, k, "", "", 0.0, 0) for k in range(of_one_place - 300)]
+    rows += [(k, "other " * (k % 5), None, "b", 0, k, "", "", 0.0, 0) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, key int, size string, _row string, features double, copies long").repartition(5)
+    want = brute(rows)
+    assert result(m.mix(docs)) == want
+    words, taken = Counter(), Counter()
+    for r in m.apply_mix(docs).collect():
+        words[r["doc_id"]] += len(r["text"].split())
+    for doc_id, _, _, _, n in want:
+        taken[doc_id] += n
+    assert +words == +taken
+
+
+def test_equal_rows_come_near_the_target(spark):
+    rows = [(1, "a b", None, "s", 0, k, "", "", 0.0, 0) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, key int, size string, _row string, features double, copies long").repartition(6)
+    assert sum(r["taken"] for r in m.mix(docs).collect()) == 3000
+    done = Counter(r["key"] for r in m.apply_mix(docs).collect())
+    assert sorted(Counter(done.values()).items()) == [(1, 500), (2, 500)]
