@@ -11,8 +11,10 @@ The rest of the target is filled by Efraimidis and Spirakis' keys: each document
 are taken in ascending order of key while the middle of a document lies inside the rest.
 
 *Scale.* No source is ordered as a whole. Sizes are summed by source and slice of the keys
-(``SLICES`` per source); a running sum over slices finds the one that holds the cut, and only
-that slice's documents are ordered. What is taken is then a comparison with the source's cut.
+(``SLICES`` per source); a running sum over slices finds the one that holds the cut. Low qualities
+crowd the last slice, so while a source's slice has more than ``ORDERED`` places, it is cut again
+by its own range of keys; only what is left is ordered. What is taken is then a comparison with the
+source's cut.
 
 Only Spark SQL functions are used. Defined cases: a null or empty text has size 0 and takes
 nothing; null sources are one source; null ids and repeated rows draw keys like any other; equal
@@ -34,6 +36,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2
 SLICES = 4096
+# Places of a source that one task orders at most; ranges of keys above it are sliced again.
+ORDERED = 4096
 LEAST_QUALITY = 0.05
 
 
@@ -107,6 +111,7 @@ def plan(placed: DataFrame) -> DataFrame:
     inside = (sliced.join(cut_at, F.col("source").eqNullSafe(F.col("_source")) & (sliced["slice"] == cut_at["slice"]))
               .groupBy("source", "before", "key", "doc_id", "tie").agg(F.max("size").alias("size"), F.count("*").alias("n"))
               .select("source", "before", "size", "n", F.struct("key", "doc_id", "tie").alias("place")))
+    inside = _narrowed(inside.withColumn("passed", F.lit(None).cast(inside.schema["place"].dataType)), aims)
     order = W.partitionBy("source").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
     ordered = inside.withColumn("ahead", F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(order), F.lit(0)))
     # Of n rows of one size, those whose middle is inside the rest; in whole numbers, so that it is exact.
@@ -114,7 +119,7 @@ def plan(placed: DataFrame) -> DataFrame:
     fitting = F.when(left < 0, 0).when(F.col("size") == 0, F.col("n")).otherwise(F.least("n", F.expr("left div (2 * size)") + 1))
     taken = (ordered.alias("o").join(aims.alias("a"), F.col("o.source").eqNullSafe(F.col("a.source")))
              .withColumn("left", left).withColumn("fitting", fitting).groupBy("o.source").agg(
-                 F.max(F.when(F.col("fitting") == F.col("n"), F.col("place"))).alias("cut"),
+                 F.greatest(F.max("passed"), F.max(F.when(F.col("fitting") == F.col("n"), F.col("place")))).alias("cut"),
                  F.max(F.when((F.col("fitting") > 0) & (F.col("fitting") < F.col("n")), F.struct("place", "fitting"))).alias("split"))
              .withColumnRenamed("source", "_cut_source"))
     joined = (aims.join(cut_at, F.col("source").eqNullSafe(F.col("_source")), "left")
@@ -124,6 +129,38 @@ def plan(placed: DataFrame) -> DataFrame:
         F.col("split.place").alias("split"), F.col("split.fitting").alias("split_taken")), "mix-plan")
 
 
+def _narrowed(inside: DataFrame, aims: DataFrame) -> DataFrame:
+    """The places around each source's cut: at most ``ORDERED`` of them, unless their keys are equal.
+
+    ``before`` is the size of what comes before them and ``passed`` the last place of it. Each round cuts
+    a source's range of keys into slices of one width, of which the one with the cut stays.
+    """
+    inside = materialize(inside, "mix-inside")
+    while True:
+        ranges = inside.groupBy("source").agg(F.count("*").alias("places"), F.min("place.key").alias("low"), F.max("place.key").alias("high"))
+        ranges = materialize(ranges.withColumnRenamed("source", "_source"), "mix-ranges")
+        if ranges.filter((F.col("places") > ORDERED) & (F.col("low") < F.col("high"))).isEmpty():
+            return inside
+        parts = max(SLICES, 2)
+        share = F.when(F.col("low") < F.col("high"), (F.col("place.key") - F.col("low")) / (F.col("high") - F.col("low"))).otherwise(0.0)
+        cells = (inside.join(ranges, F.col("source").eqNullSafe(F.col("_source")))
+                 .withColumn("cell", F.least(F.lit(parts - 1), F.floor(parts * share)).cast("int")).drop("_source", "places", "low", "high"))
+        sums = materialize(cells.groupBy("source", "cell").agg(
+            F.sum(F.col("size") * F.col("n")).alias("size"), F.max("before").alias("before"),
+            F.max("passed").alias("passed"), F.max("place").alias("last")), "mix-cells")
+        # At most ``parts`` rows per source.
+        earlier = W.partitionBy("source").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
+        found = (sums.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+                 .withColumn("passed", F.coalesce(F.max("last").over(earlier), "passed")).alias("s")
+                 .join(aims.alias("a"), F.col("s.source").eqNullSafe(F.col("a.source")))
+                 .filter(F.col("before") + F.col("s.size") > F.col("rest"))
+                 .groupBy("s.source").agg(F.min_by(F.struct("cell", "before", "passed"), "cell").alias("first")))
+        found = materialize(found.select(F.col("source").alias("_source"), F.col("first.cell").alias("_cell"), "first.before", "first.passed"), "mix-cut-cells")
+        inside = materialize(
+            cells.drop("before", "passed").join(found, F.col("source").eqNullSafe(F.col("_source")) & (F.col("cell") == F.col("_cell")))
+            .select("source", "before", "size", "n", "place", "passed"), "mix-inside")
+
+
 def _slice(key: Column) -> Column:
     """Ascending with the key; about even for weights near 1."""
     return F.least(F.lit(SLICES - 1), F.floor(SLICES * (1 - F.exp(-key)))).cast("int")

@@ -132,3 +132,16 @@ def test_equal_rows_come_near_the_target(spark):
     assert sum(r["taken"] for r in m.mix(docs).collect()) == 3000
     done = Counter(r["key"] for r in m.apply_mix(docs).collect())
     assert sorted(Counter(done.values()).items()) == [(1, 500), (2, 500)]
+
+
+@pytest.mark.parametrize("slices, ordered", [(4096, 50), (7, 20), (1, 3)])
+def test_low_qualities_crowd_the_last_slice(spark, monkeypatch, slices, ordered):
+    """Most keys of mark-up lie in the last slice, which is cut again before it is ordered."""
+    monkeypatch.setattr(m, "SLICES", slices)
+    monkeypatch.setattr(m, "ORDERED", ordered)
+    orderings, narrowed = [], m._narrowed
+    monkeypatch.setattr(m, "_narrowed", lambda *a: orderings.append(narrowed(*a)) or orderings[-1])
+    rows = [(k // 2 if k % 3 else k, "<b> " * (1 + k % 5), None, ["html", "html", "é", None][k % 4], 0, 0, "", "", 0.0, 0) for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, key int, size string, _row string, features double, copies long")
+    assert result(m.mix(docs)) == brute(rows)
+    assert max(r["count"] for r in orderings[0].groupBy("source").count().collect()) <= ordered
