@@ -14,7 +14,8 @@
 Only Spark SQL functions are used. No conversation is collected or ordered in one task: rows
 carry their order. Defined cases: null conversation or call ids link to nothing (a call is
 unanswered, a result an orphan); repeated calls and results each keep a row, and every
-call of an identifier is answered by any result of it; a call that waits for an unknown call has
+call of an identifier is answered by any result of it; a repeated call waits for every call that one
+of its rows waits for, and all its rows have its greatest place and level; a call that waits for an unknown call has
 the error "after: unknown call"; null arguments are invalid; null texts are null contents and
 left out of the JSON; empty tables give empty results; other columns are not read.
 """
@@ -115,19 +116,19 @@ def schema_errors(name: Column, arguments: Column, parsed: Column, tools: Mappin
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, level and place of every different call (conv_id, call_id, turn, after).
+    """conv_id, call_id, level and place of every call identifier, over all calls its rows wait for.
 
-    Each round doubles the stretch of its chain that a call has seen. A call without an answer
-    after as many rounds as double the number of calls waits for itself.
+    Each round doubles the stretch of its chains that a call has seen. A call without an answer
+    after as many rounds as double the number of calls waits for itself. A call has one row, and
+    where identifiers repeat with different ``after`` one for each call that many steps away.
     """
     key = ("conv_id", "call_id")
-    nodes = calls.filter("conv_id IS NOT NULL AND call_id IS NOT NULL").groupBy(*key).agg(
-        F.max("turn").alias("place"), F.max("after").alias("after"))
-    nodes = materialize(nodes, "calls-nodes")
-    known = nodes.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("known"))
-    state = materialize(nodes.join(known, ["conv_id", "after"], "left").select(
-        *key, "place", F.when(F.col("known"), F.col("after")).alias("jump"),
-        F.when(F.col("known"), 1).otherwise(0).cast("long").alias("steps")), "calls-state")
+    named = calls.filter("conv_id IS NOT NULL AND call_id IS NOT NULL")
+    nodes = materialize(named.groupBy(*key).agg(F.max("turn").alias("place")), "calls-nodes")
+    known = nodes.select("conv_id", F.col("call_id").alias("jump"))
+    waits = named.filter("after IS NOT NULL").select(*key, F.col("after").alias("jump")).distinct().join(known, ["conv_id", "jump"], "left_semi")
+    state = materialize(nodes.join(waits, [*key], "left").select(
+        *key, "place", "jump", F.when(F.col("jump").isNotNull(), 1).otherwise(0).cast("long").alias("steps")), "calls-state")
     for _ in range(nodes.count().bit_length() + 1):
         waiting = state.filter("jump IS NOT NULL")
         if waiting.isEmpty():
@@ -135,8 +136,10 @@ def levels(calls: DataFrame) -> DataFrame:
         seen = state.select("conv_id", F.col("call_id").alias("jump"), F.col("place").alias("p"), F.col("jump").alias("j"), F.col("steps").alias("s"))
         moved = waiting.join(seen, ["conv_id", "jump"]).select(
             *key, F.greatest("place", "p").alias("place"), F.col("j").alias("jump"), (F.col("steps") + F.col("s")).alias("steps"))
-        state = materialize(state.filter("jump IS NULL").unionByName(moved), "calls-state")
-    return state.select(*key, F.when(F.col("jump").isNull(), F.col("steps")).alias("level"), "place")
+        # Of the ways between two calls the longest counts, and the greatest turn on any of them.
+        ways = state.filter("jump IS NULL").unionByName(moved).groupBy(*key, "jump")
+        state = materialize(ways.agg(F.max("place").alias("place"), F.max("steps").alias("steps")), "calls-state")
+    return state.groupBy(*key).agg(F.when(F.count("jump") == 0, F.max("steps")).alias("level"), F.max("place").alias("place"))
 
 
 def link(log: DataFrame, tools: Mapping[str, Schema] = TOOLS) -> DataFrame:

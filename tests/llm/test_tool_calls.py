@@ -35,6 +35,28 @@ def test_order_puts_dependencies_first(spark):
     assert place["call", "a"] < place["call", "b"] < place["call", "c"]
 
 
+def test_repeated_calls_wait_for_all_their_calls(spark):
+    # c is logged twice; the call it waits for first, a, comes late and waits itself.
+    rows = [call(1, "c", "a"), call(2, "c", "b"), call(3, "b"), call(5, "a", "z"), call(6, "z"), result(4, "c")]
+    got = t.link(log(spark, rows)).orderBy("place", "level", "turn").collect()
+    assert [(r["kind"], r["call_id"]) for r in got] == [("call", x) for x in "bzacc"] + [("result", "c")]
+    assert {r["level"] for r in got if r["call_id"] == "c"} == {4, 5}
+
+
+def test_repeated_calls_by_brute_force(spark):
+    # Calls 0 to 119 wait for up to three earlier ones; 120 to 122 for each other, 123 for one of them and for 5.
+    waits = {k: {max(0, k - 1 - (k * s) % 9) for s in (0, 5, 7)[:k % 4]} for k in range(1, 120)} | {0: set(), 120: {121}, 121: {122, 3}, 122: {120}, 123: {121, 5}}
+    turn = {k: k * 37 % 124 for k in waits}
+    rows = [call(turn[k], f"n{k:03}", None if after is None else f"n{after:03}") for k in waits for after in (waits[k] or {None})]
+    level, place = {}, {}
+    for k in range(120):
+        level[k] = max((level[a] + 1 for a in waits[k]), default=0)
+        place[k] = max([turn[k], *(place[a] for a in waits[k])])
+    got = {int(r["call_id"][1:]): r for r in t.levels(log(spark, rows)).collect()}
+    assert {k: (got[k]["level"], got[k]["place"]) for k in range(120)} == {k: (level[k], place[k]) for k in range(120)}
+    assert [got[k]["level"] for k in range(120, 124)] == [None] * 4 and len(got) == 124
+
+
 def test_long_chains_cycles_and_a_hot_call(spark):
     chain = [call(k, f"n{k}", f"n{k - 1}" if k else None, conv=1) for k in range(700)]
     hot = [call(k, f"h{k}", "h0" if k else None, conv=2) for k in range(500)]
