@@ -2,24 +2,68 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from meterline.functions.temporal import EVENT_TIME_FORMAT
 from meterline.registry import checks
 from meterline.registry.book import query
 from meterline.registry.scans import trip_messages
 from meterline.sources import roles
 from meterline.streaming import messages, sinks, windows
 from meterline.streaming.sessions import stream_session
-from meterline.workspace import new_dir
+from meterline.workspace import materialize, new_dir
 
-# A message far behind all others: it moves the watermark past every real window.
-SENTINEL_KEY = -1
-SENTINEL_TIME = "2200-01-01 00:00:00"
+# Key of a message far behind all others: it moves the watermark past every real window.
 # Windows are told from the sentinel's by their time: real keys may be NULL or hold any value.
-SENTINEL_START = datetime(2200, 1, 1)
+SENTINEL_KEY = -1
+# A real window or session ends less than this after its last event.
+LONGEST_WINDOW = 2 * 86_400
+# Seconds from 1970 to the last that the text of a trip's time can name.
+LAST_TEXT_SECOND = 253_402_300_799
+
+
+@dataclass(frozen=True)
+class History:
+    """First and last event time of a history, in whole seconds since 1970.
+
+    Its files come in no order of time, so its watermark trails by more than its span, whatever
+    that is; a sentinel behind the last event by more than that closes what is left open.
+    """
+
+    first: int
+    last: int
+
+    @classmethod
+    def of(cls, rows: DataFrame, ts: str) -> History:
+        seconds = rows.agg(F.unix_seconds(F.min(ts)), F.unix_seconds(F.max(ts))).first()
+        history = cls(*(second or 0 for second in seconds))
+        if history.first < 0:
+            raise ValueError("a watermark starts at 1970: a stream drops what is earlier as late")
+        return history
+
+    @property
+    def delay_seconds(self) -> int:
+        return self.last - self.first + 2
+
+    @property
+    def delay(self) -> str:
+        return f"{self.delay_seconds} seconds"
+
+    @property
+    def sentinel_second(self) -> int:
+        return self.last + self.delay_seconds + LONGEST_WINDOW
+
+    @property
+    def sentinel(self) -> Column:
+        return F.timestamp_seconds(F.lit(self.sentinel_second))
+
+    @property
+    def end(self) -> Column:
+        """Every real window starts before it, and the sentinel's does not."""
+        return F.timestamp_seconds(F.lit(self.last + 1))
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,16 +79,16 @@ def as_event_messages(events: DataFrame) -> DataFrame:
     return messages.to_messages(shaped, ["test_data", "event_timestamp"])
 
 
-def _event_sentinel(spark: SparkSession) -> DataFrame:
-    one = spark.range(1).select(
-        F.lit(SENTINEL_KEY).cast("bigint").alias("user_id"), F.lit(SENTINEL_TIME).cast("timestamp").alias("ts")
-    )
+def _event_sentinel(spark: SparkSession, history: History) -> DataFrame:
+    one = spark.range(1).select(F.lit(SENTINEL_KEY).cast("bigint").alias("user_id"), history.sentinel.alias("ts"))
     return as_event_messages(one)
 
 
-def _trip_sentinel(spark: SparkSession) -> DataFrame:
+def _trip_sentinel(spark: SparkSession, history: History) -> DataFrame:
+    if history.sentinel_second > LAST_TEXT_SECOND:
+        raise ValueError("trips lie too far apart in time: no message of a trip can close their last sessions")
     one = spark.range(1).select(
-        F.lit(SENTINEL_TIME).alias("lpep_dropoff_datetime"),
+        F.date_format(history.sentinel, EVENT_TIME_FORMAT).alias("lpep_dropoff_datetime"),
         F.lit(SENTINEL_KEY).alias("PULocationID"), F.lit(SENTINEL_KEY).alias("DOLocationID"),
     )
     return messages.to_messages(one, one.columns)
@@ -53,9 +97,6 @@ def _trip_sentinel(spark: SparkSession) -> DataFrame:
 # A replayed history is delivered in this many files, of which a micro-batch takes some.
 DELIVERY_FILES = 6
 REPLAY_FILES_PER_TRIGGER = 2
-# Files of a history come in no order of time, so its watermark trails by more than the
-# history's span; the sentinel closes what is left open.
-HISTORY = "7300 days"
 
 
 class Replay:
@@ -97,7 +138,7 @@ def _tumble_sql(width: str) -> str:
         count(*) AS num_hits FROM events GROUP BY 1, 2"""
 
 
-def _tumble(width: str, delay: str = HISTORY):
+def _tumble(width: str, delay: str):
     def job(inbox):
         events = windows.with_event_time(messages.parse_events(inbox), "event_time", delay)
         return windows.tumbling_hits(events, "event_time", "test_data", width)
@@ -108,17 +149,20 @@ def _tumble(width: str, delay: str = HISTORY):
 @query("stream_watermark", _tumble_sql("hour"))
 def stream_watermark(spark, sf_dir):
     """Finished windows only; the second run resumes from the checkpoint."""
-    batch, job = event_messages(spark, sf_dir), _tumble("1 hour")
+    events = roles.events(spark, sf_dir)
+    history = History.of(events, "ts")
+    batch, job = as_event_messages(events), _tumble("1 hour", history.delay)
     replay = Replay(spark, "watermark")
     replay.step(batch, job)
-    replay.step(_event_sentinel(spark), job)
-    return replay.rows(job(batch)).filter(F.col("event_hour") < SENTINEL_START)
+    replay.step(_event_sentinel(spark, history), job)
+    return replay.rows(job(batch)).filter(F.col("event_hour") < history.end)
 
 
 @query("stream_tumble", _tumble_sql("minute"))
 def stream_tumble(spark, sf_dir):
+    events = roles.events(spark, sf_dir)
     replay = Replay(spark, "tumble")
-    replay.step(event_messages(spark, sf_dir), _tumble("1 minute"), sinks.upsert_parquet)
+    replay.step(as_event_messages(events), _tumble("1 minute", History.of(events, "ts").delay), sinks.upsert_parquet)
     return sinks.current_rows(spark, replay.out, ["event_hour", "test_data"])
 
 
@@ -131,14 +175,14 @@ def stream_upsert_tumble(spark, sf_dir):
         (F.unix_micros("a") * 2 / 3 + F.unix_micros("b") / 3).cast("bigint")).alias("v")).scalar()
     two_thirds = span.select(F.timestamp_micros(
         (F.unix_micros("a") / 3 + F.unix_micros("b") * 2 / 3).cast("bigint")).alias("v")).scalar()
-    replay = Replay(spark, "upsert")
+    replay, job = Replay(spark, "upsert"), _tumble("1 hour", History.of(events, "ts").delay)
     sink = partial(sinks.upsert_parquet, compact_every=3, keys=["event_hour", "test_data"])
     for part in (
         events.filter(F.col("ts") < third),
         events.filter((F.col("ts") >= third) & (F.col("ts") < two_thirds)),
         events.filter(F.col("ts") >= two_thirds),
     ):
-        replay.step(as_event_messages(part), _tumble("1 hour"), sink)
+        replay.step(as_event_messages(part), job, sink)
     return sinks.current_rows(spark, replay.out, ["event_hour", "test_data"])
 
 
@@ -155,16 +199,17 @@ def stream_upsert_tumble(spark, sf_dir):
 )
 def stream_session_query(spark, sf_dir):
     """Closed sessions per pair; trips of a pair are spread over years, so the gap is a day."""
+    batch = materialize(trip_messages(spark, sf_dir), "session-messages")
+    history = History.of(messages.parse_trips(batch), "dropoff_time")
 
     def job(inbox):
-        trips = windows.with_event_time(messages.parse_trips(inbox), "dropoff_time", HISTORY)
+        trips = windows.with_event_time(messages.parse_trips(inbox), "dropoff_time", history.delay)
         return windows.session_streaks(trips, "dropoff_time", ["PULocationID", "DOLocationID"], "1 day")
 
-    batch = trip_messages(spark, sf_dir)
     replay = Replay(spark, "session")
     replay.step(batch, job)
-    replay.step(_trip_sentinel(spark), job)
-    return replay.rows(job(batch)).filter(F.col("session_start") < SENTINEL_START)
+    replay.step(_trip_sentinel(spark, history), job)
+    return replay.rows(job(batch)).filter(F.col("session_start") < history.end)
 
 
 @query(

@@ -3,8 +3,10 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from functools import partial
 
+import pytest
 from pyspark.sql import functions as F
 
+from meterline.registry import streams
 from meterline.streaming import messages, sinks, windows
 from meterline.streaming.sessions import stream_session
 
@@ -156,3 +158,33 @@ def test_stream_sessions_equal_batch_sessions(spark, rows, tmp_path):
     got = spark.read.schema(job(real).schema).parquet(box.out).filter("PULocationID > 0")
     assert rows(got) == rows(job(real))
     assert rows(got, "PULocationID", "streak_length") == [(1, 1), (95, 1), (95, 2)]
+
+
+# Dates far apart, of which every file of a replay has some, and one behind the year 2200.
+STRAYS = [(START.replace(year=year) + timedelta(hours=5 * k), k % 3) for k in range(40) for year in (2009, 2098)]
+STRAYS += [(datetime(2250, 1, 1), 1), (datetime(1970, 1, 1, 0, 0, 0, 5000), 2)]
+
+
+@pytest.mark.parametrize("name, width", [("stream_watermark", "1 hour"), ("stream_tumble", "1 minute"), ("stream_upsert_tumble", "1 hour")])
+def test_replays_keep_stray_dates(spark, rows, monkeypatch, name, width):
+    events = spark.createDataFrame(STRAYS, "ts timestamp, user_id long")
+    monkeypatch.setattr(streams.roles, "events", lambda *_: events)
+    want = windows.tumbling_hits(messages.parse_events(streams.as_event_messages(events)), "event_time", "test_data", width)
+    columns = ("event_hour", "test_data", "num_hits")
+    assert rows(getattr(streams, name)(spark, ""), *columns) == rows(want, *columns)
+
+
+def test_session_replay_keeps_stray_dates(spark, rows, monkeypatch):
+    trips = spark.createDataFrame([(str(ts.replace(microsecond=0)), k, k) for ts, k in STRAYS], "lpep_dropoff_datetime string, PULocationID int, DOLocationID int")
+    batch = messages.to_messages(trips, trips.columns)
+    monkeypatch.setattr(streams, "trip_messages", lambda *_: batch)
+    want = windows.session_streaks(messages.parse_trips(batch), "dropoff_time", ["PULocationID", "DOLocationID"], "1 day")
+    assert rows(streams.stream_session_query(spark, "")) == rows(want)
+
+
+def test_histories_that_a_stream_would_cut_are_refused(spark):
+    early = spark.createDataFrame([(datetime(1969, 12, 31, 23, 59, 59),), (START,)], "ts timestamp")
+    with pytest.raises(ValueError, match="starts at 1970"):
+        streams.History.of(early, "ts")
+    with pytest.raises(ValueError, match="too far apart"):
+        streams._trip_sentinel(spark, streams.History(0, 200_000_000_000))
