@@ -10,7 +10,8 @@ no piece with a space behind another character. The constructor checks that.
 Because of the last condition no merge reaches over a space that follows another character, so
 each distinct word of an Arrow batch is encoded once: short ones all at once as numpy arrays, one
 merge of each word per round, long ones with a heap. The ids of every distinct word of every
-batch are then compared with the sentencepiece library's, and a difference is an error.
+batch are then compared with the sentencepiece library's, and a difference is an error. Ids are
+decoded by the library itself.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; repeated rows and
 null ids are rows like any other; other columns are not read; empty tables give empty results.
@@ -34,8 +35,9 @@ from meterline.llm.common import extended, lean, plain_strings, small_batches, s
 SPACE = "▁"
 # Words of more characters than this use the heap.
 ROUND_CHARACTERS = 48
-# Text per step of a task.
+# Text per step of a task, and ids that become Python numbers at once for the library's decoder.
 STEP = 6 << 20
+DECODED_IDS = 1 << 18
 # Distinct words whose checked ids a Python worker remembers; others are encoded again.
 REMEMBERED_WORDS = 200_000
 
@@ -91,12 +93,6 @@ class PieceModel:
         points = sorted((ord(piece), k) for piece, k in self.ids.items() if len(piece) == 1)
         self.points = np.array([p for p, _ in points], np.int64)
         self.point_ids = np.array([k for _, k in points], np.int64)
-        # The bytes each id stands for, whether it begins with a space, whether the library must decode it.
-        byte_of = {int(k): bytes([value]) for value, k in enumerate(self.byte_ids)}
-        names = {k: piece.replace(SPACE, " ").encode() for piece, k in self.ids.items()}
-        self.surfaces = pa.array([byte_of.get(k, names.get(k, b"")) for k in range(size)], pa.large_binary())
-        self.spaced = np.array([names.get(k, b"").startswith(b" ") for k in range(size)])
-        self.special = np.array([k not in byte_of and k not in names for k in range(size)], np.int64)
         self.known: dict[str, bytes] = {}
 
     # One word ------------------------------------------------------------------------------
@@ -286,31 +282,14 @@ class PieceModel:
         return pa.ListArray.from_arrays(pa.array(offsets), taken.flatten())
 
     def decode(self, lists: pa.ListArray) -> list[str]:
-        """The text of each list of ids, as the library decodes it.
-
-        The bytes of the pieces are joined and the space put before the text is taken off.
-        Lists with control pieces, unknown pieces or bytes that are no text go to the library.
-        """
-        offsets, ids = np.asarray(lists.offsets), np.asarray(lists.values)
-        begins, ends = offsets[:-1], offsets[1:]
-        base = int(offsets[0]) if len(offsets) else 0
-        joined = pc.binary_join(
-            pa.LargeListArray.from_arrays(pa.array((offsets - base).astype(np.int64)), self.surfaces.take(pa.array(ids[base:ends[-1] if len(ends) else base]))),
-            pa.scalar(b"", pa.large_binary()))
-        odd = np.concatenate([[0], np.cumsum(self.special[ids[base:ends[-1]]])]) if len(ends) else np.zeros(1, np.int64)
-        plain = odd[ends - base] == odd[begins - base]
+        """The library's decoding of each list of ids."""
+        ends, ids = np.asarray(lists.offsets), np.asarray(lists.values)
         texts: list[str] = []
-        for k, blob in enumerate(joined):
-            text = None
-            if plain[k]:
-                try:
-                    text = blob.as_py().decode()
-                except UnicodeDecodeError:
-                    pass
-                else:
-                    if begins[k] < ends[k] and self.spaced[ids[begins[k]]]:
-                        text = text[1:]
-            texts.append(self.library.decode(ids[begins[k]:ends[k]].tolist()) if text is None else text)
+        while len(texts) < len(lists):
+            begin = len(texts)
+            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + DECODED_IDS, side="right")) - 1)
+            numbers, at = ids[ends[begin]:ends[end]].tolist(), (ends[begin:end + 1] - ends[begin]).tolist()
+            texts += self.library.decode([numbers[a:b] for a, b in zip(at, at[1:])], num_threads=1)
         return texts
 
 

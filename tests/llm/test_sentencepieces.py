@@ -50,6 +50,23 @@ def test_any_ids_decode_as_in_the_library(library, texts):
     assert model.decode(pa.array(lists, pa.list_(pa.int32())).slice(7, 50)) == library.decode(lists[7:57])
 
 
+def test_every_list_is_decoded_by_the_library(library, texts, monkeypatch):
+    class Recorder:
+        def __init__(self):
+            self.seen = []
+
+        def decode(self, lists, num_threads=None):
+            self.seen += lists
+            return library.decode(lists)
+
+    model, recorder = s.PieceModel(PIECE_BPE), Recorder()
+    monkeypatch.setattr(s, "DECODED_IDS", 50)
+    model.library = recorder
+    lists = library.encode(texts[:200])
+    assert model.decode(pa.array(lists, pa.list_(pa.int32()))) == library.decode(lists)
+    assert recorder.seen == lists
+
+
 def test_a_difference_is_an_error():
     model = s.PieceModel(PIECE_BPE)
     with pytest.raises(AssertionError):
