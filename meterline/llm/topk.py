@@ -3,9 +3,11 @@
 Vectors are whole numbers, floor(256 * x) of each component. They are cut into 4, 16 and 32
 segments; a segment's mean and deviation bound the distance of two vectors from below,
 ``sum(w * ((mean - mean')**2 + (dev - dev')**2))``, and with the norms, which are the same sums,
-the inner product from above: ``sum(w * (mean * mean' + dev * dev'))``. Coarse levels first, a pair
-is dropped once its bound is under the k-th best exact score known; survivors of the finest level
-are computed exactly. Bounds get a margin for rounding, so nothing is lost; on vectors without
+the inner product from above: ``sum(w * (mean * mean' + dev * dev'))``. The finest bounds of all pairs of a block come first: the rows
+with the best of them are scored exactly and give each query's threshold, the k-th best of those
+scores. Then, from coarse to fine, a level's bounds drop the rows that no query of a group of
+``TOGETHER`` can want; pairs above the threshold at the finest level are computed exactly. So the
+coarse levels save none of the finest bounds, only rows of the levels after them. Bounds get a margin for rounding, so nothing is lost; on vectors without
 structure only the finest level drops many pairs.
 
 Queries and rows are dealt into blocks of bounded size by a hash, and each pair of blocks is one
