@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import (
-    mixing, pii, quality_bayes, quality_rules, sentencepieces, simhash, token_blocks, token_counts, tool_calls, topk,
+    byte_pairs, collocations, mixing, pii, quality_bayes, quality_rules, ranked_search, sentencepieces, simhash, token_blocks, token_counts,
+    tool_calls, topk,
 )
 from meterline.llm.common import table
 
@@ -18,10 +19,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# Folder of the public vocabulary files; the same on every machine.
-TOKENIZERS = "/opt/tokenizers"
-BYTE_BPE = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
-PIECE_BPE = os.path.join(TOKENIZERS, "piece_bpe_32k.model")
+# Places of the public vocabulary files; the same on every machine.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -204,3 +205,66 @@ def op8_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best rows for every fiftieth id."""
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query("op11_byte_pairs")
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-pair ids of every document and the bytes they decode to, as digests."""
+    encoded = byte_pairs.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    return byte_pairs.digests(encoded, BYTE_RANKS)
+
+
+@query("op12_ranked_search", sql=r"""
+WITH words AS (
+  SELECT d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM (SELECT row_number() OVER () AS d, doc_id, text FROM documents)
+), held AS (SELECT d, doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), lengths AS (SELECT d, sum(tf)::BIGINT AS n FROM held GROUP BY d
+), totals AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM lengths
+), weights AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, totals GROUP BY term, nn
+), asked AS (
+  SELECT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)
+), scored AS (
+  SELECT i, item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // l))))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN lengths USING (d), totals GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0) WHERE rank <= 20
+""")
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_collocations", sql=r"""
+WITH pieces AS (
+  SELECT lang, p, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM (
+    SELECT lang, row_number() OVER () AS p, t FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t FROM documents))
+), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i:i + k - 1] AS v
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 5) AS s(k) WHERE len(w) >= k)
+), counted AS (SELECT lang, k, phrase, any_value(v) AS v, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30
+), candidates AS (SELECT lang, k, phrase, v, f AS a FROM counted WHERE k > 1
+), cuts AS (
+  SELECT lang, phrase, a, c, array_to_string(v[1:c], ' ') AS p, array_to_string(v[c + 1:k], ' ') AS q
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates)
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, a, c, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS score
+  FROM cuts JOIN counted x ON x.lang = cuts.lang AND x.phrase = p JOIN counted y ON y.lang = cuts.lang AND y.phrase = q
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), within AS (
+  SELECT lang, array_to_string(v[b:b + z - 1], ' ') AS phrase, max(a) AS inside
+  FROM (SELECT *, unnest(range(1, k - z + 2)) AS b FROM (SELECT *, unnest(range(2, k)) AS z FROM candidates)) GROUP BY ALL
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM (SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM lowest LEFT JOIN within USING (lang, phrase) WHERE inside IS NULL OR 100 * inside < 80 * a) JOIN totals USING (lang)
+WHERE rank <= 2000
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
