@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +90,80 @@ def test_batch_scoring_equals_the_expression(spark, features):
     scored = regression.score_in_batches(features, ["passenger_count", "trip_distance"])
     assert scored.columns == ["passenger_count", "trip_distance", "predicted_duration"]
     assert scored.filter(F.col("predicted_duration") != F.col("trip_distance") * 5).count() == 0
+
+
+def _design(rows, model):
+    """The design matrix row by row, as numpy."""
+    lines = []
+    for row in rows:
+        line = [1.0] + [model.means[name] if row[name] is None else float(row[name]) for name in regression.NUMBERS]
+        for name in regression.CATEGORIES:
+            line += [float(row[name] == label) for label in model.labels[name][1:]]
+        lines.append(line)
+    return np.array(lines), np.array([row[regression.LABEL] for row in rows])
+
+
+@pytest.fixture(scope="module")
+def noisy(features):
+    """Holes in numbers and categories, labels that are no line, and rows without a label."""
+    n = F.xxhash64(*features.columns)
+    return features.withColumns({
+        "tip_amount": F.when(n % 11 != 0, F.col("tip_amount") + F.pmod(n, F.lit(7)) / 3),
+        "trip_distance": F.when(n % 5 != 0, F.col("trip_distance")),
+        "DOLocationID": F.when(n % 6 != 0, F.col("DOLocationID")),
+        "passenger_count": F.lit(2),
+    })
+
+
+def test_weights_equal_least_squares_on_rows(noisy):
+    model = regression.train(noisy)
+    rows = noisy.filter("tip_amount is not null").collect()
+    design, label = _design(rows, model)
+    assert np.allclose(model.products.gram, design.T @ design) and np.allclose(model.products.moments, design.T @ label)
+    # Passengers are a constant beside the intercept: no weight of their own.
+    assert model.weights[1] == 0.0
+    best = np.linalg.lstsq(design, label, rcond=None)[0]
+    assert np.allclose(design @ model.weights, design @ best)
+    assert model.products.mean_squared_error(model.weights) == pytest.approx(np.mean((label - design @ best) ** 2))
+
+
+@pytest.mark.parametrize("l1, l2", [(0.05, 0.0), (0.0, 0.3), (0.1, 0.2), (50.0, 1.0)])
+def test_penalised_weights_are_optimal(noisy, l1, l2):
+    model = regression.train(noisy, l1, l2)
+    design, label = _design(noisy.filter("tip_amount is not null").collect(), model)
+    spread = design.std(axis=0)
+    slope = design.T @ (label - design @ model.weights) / len(label)
+    assert slope[0] == pytest.approx(0, abs=1e-9)
+    for k in np.flatnonzero(spread):
+        weight, pull = model.weights[k] * spread[k], slope[k] / spread[k]
+        if weight:
+            assert pull == pytest.approx(l1 * np.sign(weight) + l2 * weight, abs=1e-8)
+        else:
+            assert abs(pull) <= l1 + 1e-9
+    assert l1 < 50 or not model.weights[1:].any()
+
+
+def test_tuning_judges_on_evaluation_rows(noisy):
+    points = [(0.0, 0.0), (0.2, 0.1), (5.0, 10.0)]
+    lines = {row.trial_id: row.mean_squared_error for row in regression.tune(noisy, points=points).collect()}
+    training, evaluation = regression.split(noisy)
+    for k, (l1, l2) in enumerate(points, 1):
+        scored = regression.predict(regression.train(training, l1, l2), evaluation)
+        assert lines[k] == pytest.approx(regression.evaluate(scored).first().mean_squared_error)
+
+
+def test_sums_are_one_pass_over_the_rows(spark, noisy, tmp_path):
+    noisy.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    sums = regression.statistics(rows, regression.split_mark(rows))
+    assert sums.agg(F.sum("n")).first()[0] == noisy.filter("tip_amount is not null").count()
+    assert sums.count() <= 2 * (3 + 1) * (5 + 1) * (2 + 1) * 2
+
+
+def test_no_rows_and_too_many_weights(spark, noisy, monkeypatch):
+    empty = regression.train(noisy.limit(0))
+    assert not empty.weights.any() and regression.predict(empty, noisy).count() == noisy.count()
+    assert not regression.train(noisy.limit(0), 1.0, 1.0).weights.any()
+    monkeypatch.setattr(regression, "MOST_WEIGHTS", 5)
+    with pytest.raises(ValueError, match="weights"):
+        regression.train(noisy)
