@@ -12,7 +12,7 @@ from meterline.registry import checks
 from meterline.registry.book import query
 from meterline.registry.scans import trip_messages
 from meterline.sources import roles
-from meterline.streaming import messages, sinks, windows
+from meterline.streaming import global_sessions, late, messages, sinks, windows
 from meterline.streaming.sessions import stream_session
 from meterline.workspace import materialize, new_dir
 
@@ -247,3 +247,90 @@ def late_event_audit(spark, sf_dir):
         (F.col("events_sent") - counted.scalar()).alias("events_late"),
         F.lit(windows_dropped).cast("bigint").alias("windows_dropped"),
     )
+
+
+DELIVERIES = 3
+
+
+def _in_order(events: DataFrame, parts: int = DELIVERIES) -> list[DataFrame]:
+    """Events as deliveries that follow each other in time, of equal spans."""
+    low, high = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    if low is None:
+        return [events]
+    cuts = [low + (high - low) * k // parts for k in range(1, parts)]
+    at = F.unix_micros("ts")
+    edges = [None, *cuts, None]
+    return [
+        events.filter((F.lit(True) if a is None else at >= a) & (F.lit(True) if b is None else at < b)) for a, b in zip(edges, edges[1:])]
+
+
+@query(
+    "stream_global_sessions",
+    """WITH moments AS (SELECT user_id, date_trunc('millisecond', ts)::TIMESTAMP AS ts FROM events
+        ), marked AS (SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 5 MINUTE THEN 0 ELSE 1 END AS opens FROM moments WINDOW w AS (ORDER BY ts)
+        ), numbered AS (SELECT *, sum(opens) OVER (ORDER BY ts) AS session FROM marked
+        ), spans AS (SELECT session, min(ts) AS session_start, max(ts) + INTERVAL 5 MINUTE AS session_end FROM numbered GROUP BY 1)
+        SELECT session_start, session_end, user_id AS test_data, count(*) AS trip_count FROM numbered JOIN spans USING (session) GROUP BY 1, 2, 3""",
+)
+def stream_global_sessions(spark, sf_dir):
+    """Sessions over all users together, from a stream with a watermark of 5 seconds; state is kept per 6 hours."""
+    events = roles.events(spark, sf_dir)
+    history = History.of(events, "ts")
+
+    def job(inbox):
+        timed = windows.with_event_time(messages.parse_events(inbox), "event_time", "5 seconds")
+        return global_sessions.session_pieces(timed, "event_time", 5 * 60, 6 * 3600, ["test_data"])
+
+    def sink(stream, out, checkpoint, available_now):
+        return sinks.each_batch(stream, global_sessions.link_closed(out, 5 * 60, ["test_data"]), checkpoint, available_now)
+
+    replay = Replay(spark, "global-sessions", files_per_trigger=None)
+    for part in _in_order(events):
+        replay.step(as_event_messages(part), job, sink)
+    replay.step(_event_sentinel(spark, history), job, sink)
+    return global_sessions.closed_sessions(spark, replay.out)
+
+
+# Every tenth event comes one delivery late; a row may be five days and five seconds behind.
+LATENESS_SECONDS, LATE_DELAY_SECONDS = 5 * 86_400, 5
+_DELIVERED = f"""WITH span AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events
+    ), sent AS (SELECT user_id, date_trunc('millisecond', ts)::TIMESTAMP AS ts,
+        least(3 * (epoch_us(ts) - low) // (high - low + 1), 2) + (event_id % 10 = 0)::INTEGER AS delivery FROM events, span
+    ), marks AS (SELECT d.delivery, max(s.ts) AS mark FROM (SELECT DISTINCT delivery FROM sent) d LEFT JOIN sent s ON s.delivery < d.delivery GROUP BY 1
+    ), judged AS (SELECT sent.*, mark, coalesce(ts < mark - INTERVAL {LATENESS_SECONDS + LATE_DELAY_SECONDS} SECOND, false) AS late FROM sent JOIN marks USING (delivery))"""
+
+
+def _with_late_rows(spark, sf_dir) -> Replay:
+    events = roles.events(spark, sf_dir)
+    low, high = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    part = F.expr(f"least(3 * (unix_micros(ts) - {low or 0}L) div {(high or 0) - (low or 0) + 1}L, 2L)") + (F.col("event_id") % 10 == 0).cast("int")
+    numbered = events.withColumn("delivery", part)
+
+    def job(inbox):
+        return messages.parse_events(inbox).select("test_data", F.col("event_time").alias("event_timestamp"))
+
+    def sink(stream, out, checkpoint, available_now):
+        keep = late.keep_late(out, "event_timestamp", "test_data", "1 hour", LATE_DELAY_SECONDS, LATENESS_SECONDS)
+        return sinks.each_batch(stream, keep, checkpoint, available_now)
+
+    replay = Replay(spark, "late-rows", files_per_trigger=None)
+    for number in range(4):
+        replay.step(as_event_messages(numbered.filter(F.col("delivery") == number)), job, sink)
+    return replay
+
+
+@query("stream_late_rows", f"{_DELIVERED} SELECT user_id AS test_data, ts AS event_timestamp, mark FROM judged WHERE late")
+def stream_late_rows(spark, sf_dir):
+    """The rows that came too late, each kept with the mark it missed."""
+    replay = _with_late_rows(spark, sf_dir)
+    return late.late_rows(spark, replay.out).drop("batch")
+
+
+@query(
+    "stream_corrected_windows",
+    f"{_DELIVERED} SELECT date_trunc('hour', ts) AS event_hour, user_id AS test_data, count(*) AS num_hits FROM judged WHERE NOT late GROUP BY 1, 2",
+)
+def stream_corrected_windows(spark, sf_dir):
+    """Windows that rows within the allowed lateness have corrected."""
+    replay = _with_late_rows(spark, sf_dir)
+    return late.corrected_windows(spark, replay.out, ["event_hour", "test_data"])

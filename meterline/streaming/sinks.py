@@ -95,6 +95,11 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
             system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={number}"), True)
 
 
+def each_batch(stream: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Hand each micro-batch of finished rows with its number to ``store``."""
+    return _start(stream.writeStream.outputMode("append").foreachBatch(store), checkpoint, available_now)
+
+
 def fan_out(stream: DataFrame, sinks: Sequence[Callable[[DataFrame, int], None]], checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Hand each micro-batch to several sinks; the batch is held while they read it."""
 

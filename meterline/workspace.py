@@ -36,6 +36,12 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a written table is complete at ``path``."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of the copy."""
     path = new_dir(df.sparkSession, label)
