@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from meterline.functions.temporal import EVENT_TIME_FORMAT
+from meterline.functions.temporal import EVENT_TIME_FORMAT, parse_event_time
 from meterline.registry import checks
 from meterline.registry.book import query
 from meterline.registry.scans import trip_messages
@@ -29,8 +29,7 @@ LAST_TEXT_SECOND = 253_402_300_799
 class History:
     """First and last event time of a history, in whole seconds since 1970.
 
-    Its files come in no order of time, so its watermark trails by more than its span, whatever
-    that is; a sentinel behind the last event by more than that closes what is left open.
+    A sentinel behind the last event by more than its span closes what is left open.
     """
 
     first: int
@@ -48,10 +47,6 @@ class History:
     def delay_seconds(self) -> int:
         return self.last - self.first + 2
 
-    @property
-    def delay(self) -> str:
-        return f"{self.delay_seconds} seconds"
-
     @property
     def sentinel_second(self) -> int:
         return self.last + self.delay_seconds + LONGEST_WINDOW
@@ -133,6 +128,26 @@ def stream_passthrough(spark, sf_dir):
     return replay.rows(job(batch))
 
 
+# A history is replayed as this many deliveries in order of time, each one micro-batch.
+DELIVERIES = 3
+
+
+def _in_order(rows: DataFrame, ts: str = "ts", parts: int = DELIVERIES) -> list[DataFrame]:
+    """Deliveries that follow each other in time, of equal spans; rows without a time come first.
+
+    The watermark can then trail by seconds, and what it has passed leaves the state.
+    """
+    at = F.unix_micros(ts)
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    if low is None:
+        return [rows]
+    cuts = [low + (high - low) * k // parts for k in range(1, parts)]
+    number = F.lit(0)
+    for cut in cuts:
+        number = number + F.coalesce(at >= cut, F.lit(False)).cast("int")
+    return [rows.filter(number == k) for k in range(parts)]
+
+
 def _tumble_sql(width: str) -> str:
     return f"""SELECT date_trunc('{width}', ts)::TIMESTAMP AS event_hour, user_id AS test_data,
         count(*) AS num_hits FROM events GROUP BY 1, 2"""
@@ -148,12 +163,13 @@ def _tumble(width: str, delay: str):
 
 @query("stream_watermark", _tumble_sql("hour"))
 def stream_watermark(spark, sf_dir):
-    """Finished windows only; the second run resumes from the checkpoint."""
+    """Finished windows only, a second behind; every delivery resumes from the checkpoint."""
     events = roles.events(spark, sf_dir)
     history = History.of(events, "ts")
-    batch, job = as_event_messages(events), _tumble("1 hour", history.delay)
-    replay = Replay(spark, "watermark")
-    replay.step(batch, job)
+    batch, job = as_event_messages(events), _tumble("1 hour", "1 second")
+    replay = Replay(spark, "watermark", files_per_trigger=None)
+    for part in _in_order(events):
+        replay.step(as_event_messages(part), job)
     replay.step(_event_sentinel(spark, history), job)
     return replay.rows(job(batch)).filter(F.col("event_hour") < history.end)
 
@@ -161,8 +177,9 @@ def stream_watermark(spark, sf_dir):
 @query("stream_tumble", _tumble_sql("minute"))
 def stream_tumble(spark, sf_dir):
     events = roles.events(spark, sf_dir)
-    replay = Replay(spark, "tumble")
-    replay.step(as_event_messages(events), _tumble("1 minute", History.of(events, "ts").delay), sinks.upsert_parquet)
+    replay = Replay(spark, "tumble", files_per_trigger=None)
+    for part in _in_order(events):
+        replay.step(as_event_messages(part), _tumble("1 minute", "1 second"), sinks.upsert_parquet)
     return sinks.current_rows(spark, replay.out, ["event_hour", "test_data"])
 
 
@@ -170,18 +187,9 @@ def stream_tumble(spark, sf_dir):
 def stream_upsert_tumble(spark, sf_dir):
     """Three deliveries cut inside windows, so that later ones replace earlier counts."""
     events = roles.events(spark, sf_dir)
-    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    third = span.select(F.timestamp_micros(
-        (F.unix_micros("a") * 2 / 3 + F.unix_micros("b") / 3).cast("bigint")).alias("v")).scalar()
-    two_thirds = span.select(F.timestamp_micros(
-        (F.unix_micros("a") / 3 + F.unix_micros("b") * 2 / 3).cast("bigint")).alias("v")).scalar()
-    replay, job = Replay(spark, "upsert"), _tumble("1 hour", History.of(events, "ts").delay)
+    replay, job = Replay(spark, "upsert", files_per_trigger=None), _tumble("1 hour", "1 second")
     sink = partial(sinks.upsert_parquet, compact_every=3, keys=["event_hour", "test_data"])
-    for part in (
-        events.filter(F.col("ts") < third),
-        events.filter((F.col("ts") >= third) & (F.col("ts") < two_thirds)),
-        events.filter(F.col("ts") >= two_thirds),
-    ):
+    for part in _in_order(events):
         replay.step(as_event_messages(part), job, sink)
     return sinks.current_rows(spark, replay.out, ["event_hour", "test_data"])
 
@@ -199,15 +207,17 @@ def stream_upsert_tumble(spark, sf_dir):
 )
 def stream_session_query(spark, sf_dir):
     """Closed sessions per pair; trips of a pair are spread over years, so the gap is a day."""
-    batch = materialize(trip_messages(spark, sf_dir), "session-messages")
-    history = History.of(messages.parse_trips(batch), "dropoff_time")
+    dropoff = parse_event_time(F.get_json_object("value", "$.lpep_dropoff_datetime"))
+    batch = materialize(trip_messages(spark, sf_dir).withColumn("ts", dropoff), "session-messages")
+    history = History.of(batch, "ts")
 
     def job(inbox):
-        trips = windows.with_event_time(messages.parse_trips(inbox), "dropoff_time", history.delay)
+        trips = windows.with_event_time(messages.parse_trips(inbox), "dropoff_time", "5 seconds")
         return windows.session_streaks(trips, "dropoff_time", ["PULocationID", "DOLocationID"], "1 day")
 
-    replay = Replay(spark, "session")
-    replay.step(batch, job)
+    replay = Replay(spark, "session", files_per_trigger=None)
+    for part in _in_order(batch):
+        replay.step(part, job)
     replay.step(_trip_sentinel(spark, history), job)
     return replay.rows(job(batch)).filter(F.col("session_start") < history.end)
 
@@ -249,21 +259,6 @@ def late_event_audit(spark, sf_dir):
     )
 
 
-DELIVERIES = 3
-
-
-def _in_order(events: DataFrame, parts: int = DELIVERIES) -> list[DataFrame]:
-    """Events as deliveries that follow each other in time, of equal spans."""
-    low, high = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
-    if low is None:
-        return [events]
-    cuts = [low + (high - low) * k // parts for k in range(1, parts)]
-    at = F.unix_micros("ts")
-    edges = [None, *cuts, None]
-    return [
-        events.filter((F.lit(True) if a is None else at >= a) & (F.lit(True) if b is None else at < b)) for a, b in zip(edges, edges[1:])]
-
-
 @query(
     "stream_global_sessions",
     """WITH moments AS (SELECT user_id, date_trunc('millisecond', ts)::TIMESTAMP AS ts FROM events

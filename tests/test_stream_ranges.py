@@ -82,3 +82,23 @@ def test_late_rows_are_kept_and_allowed_ones_correct_windows(spark, tmp_path, ro
     assert rows(late.late_rows(spark, out), "ts", "pair", "mark") == kept
     assert rows(late.corrected_windows(spark, out, ["event_hour", "pair"]), "event_hour", "pair", "num_hits") == counted
     assert late.late_rows(spark, out).filter(F.col("mark").isNull()).count() == 0
+
+
+def test_state_stays_flat_over_ten_deliveries(spark, tmp_path, rows):
+    """Windows and sessions behind a short watermark leave the state, and none is lost."""
+    moments = [(10_000 * part + 400 * k, k % 5) for part in range(10) for k in range(25)]
+    parts = [frame(spark, moments[25 * k:25 * k + 25]) for k in range(10)] + [frame(spark, [(1_000_000, -1)])]
+    for name, job, columns in (
+        ("tumble", lambda df: windows.tumbling_hits(windows.with_event_time(df, "ts", "1 second"), "ts", "pair", "1 hour"), ("event_hour", "pair", "num_hits")),
+        ("session", lambda df: windows.session_streaks(windows.with_event_time(df, "ts", "5 seconds"), "ts", ["pair"], "30 minutes"),
+         ("session_start", "session_end", "pair", "streak_length")),
+    ):
+        folder = tmp_path / name
+        folder.mkdir()
+        out = str(folder / "out")
+        store = lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/batch={number}")  # noqa: B023, E731
+        reports = deliver(spark, folder, parts, job, store)
+        held = [report[-1].stateOperators[0].numRowsTotal for report in reports[:-1]]
+        assert max(held) <= 2 * held[0] and held[0] > 0
+        got = spark.read.parquet(out).filter("pair >= 0")
+        assert rows(got, *columns) == rows(job(frame(spark, moments)), *columns)
