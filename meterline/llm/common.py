@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -131,7 +132,19 @@ _VISIBLE = _byte_set(bytes(range(0x21, 0x7F)))
 _MARK = _VISIBLE & ~_LETTER & ~_byte_set(b"0123456789'")
 
 
-def units(texts: pa.Array, marks: bool = False) -> tuple[pa.DictionaryArray, np.ndarray]:
+def _whole_places(data: bytes, offsets: np.ndarray, whole: re.Pattern[bytes]) -> Iterator[tuple[int, int]]:
+    """The leftmost matches of ``whole`` that do not overlap, each inside one text."""
+    place = 0
+    while (found := whole.search(data, place)) is not None:
+        begin, end = found.span()
+        if np.searchsorted(offsets, begin, side="right") == np.searchsorted(offsets, end, side="left"):
+            yield begin, end
+            place = end
+        else:  # two texts that touch
+            place = begin + 1
+
+
+def units(texts: pa.Array, marks: bool = False, whole: re.Pattern[bytes] | None = None) -> tuple[pa.DictionaryArray, np.ndarray]:
     """Cut texts into units that are encoded independently, and encode the units as a dictionary.
 
     A cut lies before each space whose preceding character is no white space of any kind, so
@@ -143,6 +156,8 @@ def units(texts: pa.Array, marks: bool = False) -> tuple[pa.DictionaryArray, np.
     letter and an ASCII mark other than the apostrophe, and around a line end between visible
     ASCII characters. There are fewer distinct units then.
 
+    What ``whole`` matches is a unit of its own, whatever stands beside it.
+
     Returns the units of all texts in order, and for each text the number of its first unit
     (with the number of units at the end).
     """
@@ -160,6 +175,10 @@ def units(texts: pa.Array, marks: bool = False) -> tuple[pa.DictionaryArray, np.
         ends = ends[(ends > 0) & (ends < len(data) - 1)]
         ends = ends[_VISIBLE[data[ends - 1]] & _VISIBLE[data[ends + 1]]]
         begins[ends] = begins[ends + 1] = True
+    if whole is not None:
+        for begin, end in _whole_places(data.tobytes(), offsets, whole):
+            begins[begin + 1:end] = False
+            begins[begin] = begins[end] = True
     begins[offsets] = True
     begins[len(data)] = False
     starts = np.flatnonzero(begins)

@@ -22,12 +22,15 @@ numpy unpacks a whole block or a range of ids at once, and a reader finds the bl
 from the column statistics.
 
 Documents are ordered by id (nulls first), then by a hash of the text, then by the text, so one
-id that many rows share is spread over tasks. Defined cases: a null or empty text has the end id
+id that many rows share is spread over tasks. Ids are those that the tokenizers library gives without
+adding special tokens; a text that holds an added token's string, like ``<|endoftext|>``, has that token's id
+there, as in the library. Defined cases: a null or empty text has the end id
 alone; repeated rows are encoded each; an empty table gives no blocks; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -90,8 +93,13 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocabulary = self.tokenizer.get_vocab_size()
+        # Texts are cut at added tokens before anything else; the library gives such a unit the token's id.
+        self.added = {k: token.content for k, token in self.tokenizer.get_added_tokens_decoder().items()}
+        if any(token.lstrip or token.rstrip or token.single_word for token in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens that depend on what stands beside them are not supported")
+        longest = sorted((text.encode() for text in self.added.values()), key=len, reverse=True)
+        self.whole = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         self.known: dict[str, bytes] = {}
 
     def lists(self, texts: list[str]) -> pa.ListArray:
@@ -117,7 +125,7 @@ def unit_encoder(path: str) -> UnitEncoder:
 
 def encode_texts(encoder: UnitEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in a row, and the number of ids of each text."""
-    pieces, first = units(texts, marks=True)
+    pieces, first = units(texts, marks=True, whole=encoder.whole)
     ids, lengths = gather(encoder.lists(pieces.dictionary.to_pylist()), pieces.indices)
     ends = np.concatenate([[0], np.cumsum(lengths)])
     return ids, np.diff(ends[first])

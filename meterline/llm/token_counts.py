@@ -12,7 +12,8 @@ Characters are code points; a token that holds part of a character touches all o
 tokenizers library's offsets. Tokens are in order, so the interval join needs only the token at
 each boundary; it runs over all texts of an Arrow batch at once.
 
-The sections here are lines with their line ends. Defined cases: a null or empty text is one
+The sections here are lines with their line ends. A string of an added token in a text is one token, as in
+the library. Defined cases: a null or empty text is one
 empty section without tokens; a text that ends with a line end has no empty last section;
 repeated rows and null ids are rows like any other; other columns are not read; an empty table
 gives an empty result.
@@ -36,10 +37,12 @@ STEP = 4 << 20
 
 
 def token_bytes(encoder: UnitEncoder) -> np.ndarray:
-    """Bytes of each id: a byte-level piece has one character per byte."""
+    """Bytes of each id: a byte-level piece has one character per byte, an added token is plain text."""
     lengths = np.zeros(encoder.vocabulary, np.int32)
     for piece, k in encoder.tokenizer.get_vocab(with_added_tokens=False).items():
         lengths[k] = len(piece)
+    for k, text in encoder.added.items():
+        lengths[k] = len(text.encode())
     return lengths
 
 

@@ -17,9 +17,7 @@ from meterline.workspace import new_dir
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(BYTE_BPE)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(BYTE_BPE)
 
 
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=200), st.data())
@@ -69,3 +67,20 @@ def test_random_access(spark, edge_docs, library):
     stream = [i for r in docs for i in [*library.encode(r["text"], add_special_tokens=False).ids, 0]]
     got = t.read_range(spark, path, 0, 700, 1500).orderBy("position").collect()
     assert got[0]["position"] == 700 and [i for r in got for i in r["ids"]] == stream[700:1500]
+
+
+ADDED = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|>a", "a<|endoftext|>", " <|endoftext|> <|endoftext|><|endoftext|>", "x  <|endoftext|>\n\n",
+         "<|endof", "text|>", "<|endoftext", "|>", "<|<|endoftext|>|>", "<|ENDOFTEXT|>", "A.<|endoftext|>'s", "中<|endoftext|>中"]
+
+
+def test_added_tokens_in_texts(spark, library):
+    """Also where two texts that touch would make one together."""
+    random.seed(6)
+    texts = ADDED + ["".join(random.choices([*ADDED, " ", "a", "\n", ""], k=6)) for _ in range(500)]
+    ids, counts = t.encode_texts(t.UnitEncoder(BYTE_BPE), pa.array(texts, pa.large_string()))
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [k for own in want for k in own]
+    assert sum(50256 in own for own in want) > 300
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    got = {row.doc_id: (row.n_tokens, row.ids_crc32) for row in t.round_trip(docs, BYTE_BPE).collect()}
+    assert got == {k: (len(own) + 1, zlib.crc32(np.array([*own, 0], "<u4").tobytes())) for k, own in enumerate(want[:len(ADDED)])}

@@ -26,9 +26,7 @@ def brute(library, text, rule):
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(BYTE_BPE)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(BYTE_BPE)
 
 
 @pytest.mark.parametrize("rule", t.RULES)
@@ -49,3 +47,10 @@ def test_every_case(edge_docs, edge_rows, no_docs, library, rows):
     assert t.section_counts(no_docs, BYTE_BPE).count() == 0
     with pytest.raises(ValueError):
         t.section_counts(no_docs, BYTE_BPE, rule="best")
+
+
+def test_added_tokens_are_one_token(spark, library):
+    texts = ["a <|endoftext|>\nb<|endoftext|>\n\n<|endoftext|>é", "<|endof", "text|>", "中<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in t.section_counts(docs, BYTE_BPE).collect())
+    assert got == [(k, *row) for k, text in enumerate(texts) for row in brute(library, text, "most")]
