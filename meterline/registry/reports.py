@@ -35,10 +35,10 @@ def distinct_pickups(spark, sf_dir):
     f"WITH {checks.TRIPS} SELECT count(DISTINCT pulocationid) AS pickups, true AS within_error FROM trips",
 )
 def approx_distinct_pickups(spark, sf_dir):
-    """The exact count, and whether the sketch is within three of its standard errors of it."""
+    """The sketch's estimate, and whether it is within three of its standard errors of the exact count."""
     counted = roles.trips(spark, sf_dir).agg(
-        F.count_distinct("pulocationid").alias("pickups"), F.approx_count_distinct("pulocationid", 0.02).alias("sketch"))
-    return counted.select("pickups", (F.abs(F.col("sketch") - F.col("pickups")) <= 0.06 * F.col("pickups")).alias("within_error"))
+        F.count_distinct("pulocationid").alias("exact"), F.approx_count_distinct("pulocationid", 0.02).alias("pickups"))
+    return counted.select("pickups", (F.abs(F.col("pickups") - F.col("exact")) <= 0.06 * F.col("exact")).alias("within_error"))
 
 
 @query("project_columns", f"WITH {checks.TRIPS} SELECT pulocationid, dolocationid FROM trips")

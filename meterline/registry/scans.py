@@ -443,7 +443,10 @@ def partitioned_write_read(spark, sf_dir):
 
 def by_dropoff_date(spark: SparkSession, sf_dir: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
     """Yellow trips stored by drop-off date; one stored table serves all its readers."""
+    return spark.read.parquet(dropoff_date_path(spark, sf_dir, cluster_by))
 
+
+def dropoff_date_path(spark: SparkSession, sf_dir: str, cluster_by: tuple[str, ...] = ()) -> str:
     def write() -> str:
         path = new_dir(spark, "by-date")
         trips = roles.yellow_trips(spark, sf_dir).select(
@@ -453,7 +456,7 @@ def by_dropoff_date(spark: SparkSession, sf_dir: str, cluster_by: tuple[str, ...
         return path
 
     inputs = roles.paths(sf_dir, *roles.TRIP_TABLES)
-    return spark.read.parquet(built_once(spark, ("by-date", sf_dir, *cluster_by), inputs, write))
+    return built_once(spark, ("by-date", sf_dir, *cluster_by), inputs, write)
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # The naming pattern of monthly trip files.
@@ -25,6 +25,37 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
+# Field that holds the text of a malformed CSV row.
+MALFORMED = "_malformed"
+
+
+def read_csv_checked(spark: SparkSession, paths: str | Sequence[str], schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows of CSV files that hold exactly the declared columns and readable values, and all others.
+
+    The others come with their file, reason and text: ``short`` or ``long`` rows by their number of fields,
+    ``unreadable`` where a value is not of its type. Every line is in one of the two, but for empty lines and
+    header lines, that is, lines that list the declared names. A row is one line; quotes within quotes are doubled.
+    """
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"))
+    header = ",".join(field.name for field in schema)
+    whole = StructType([*schema.fields, StructField(MALFORMED, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "timestampFormat": CSV_TIME_FORMAT, "escape": '"'}
+    rows = lines.filter((F.trim("value") != "") & (F.col("value") != header)).select(
+        "file", "value", F.from_csv("value", F.lit(whole.simpleString()), options).alias("row"))
+    fields, wanted = _fields(F.col("value")), len(schema)
+    reason = F.when(fields < wanted, "short").when(fields > wanted, "long").when(F.col(f"row.{MALFORMED}").isNotNull(), "unreadable")
+    judged = rows.withColumn("reason", reason)
+    good = judged.filter(F.col("reason").isNull()).select(*[F.col(f"row.{field.name}").alias(field.name) for field in schema])
+    return good, judged.filter(F.col("reason").isNotNull()).select("file", "reason", F.col("value").alias("line"))
+
+
+def _fields(line: Column) -> Column:
+    """Number of fields of a CSV row; separators between quotes do not count."""
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The same rows dealt evenly to tasks, as after a read of files that cannot be split."""
     return df.hint("rebalance")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
@@ -48,6 +48,49 @@ def write_by_date(df: DataFrame, path: str, ts: str, date_column: str, mode: str
     write_partitioned(dated, path, [date_column], mode, cluster_by)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, columns: Sequence[str]) -> None:
+    """Save as a table of ``path`` in ``buckets`` buckets by ``columns``, sorted within them.
+
+    Tables with the same buckets join and group by these columns without a shuffle. Rows are dealt to
+    the buckets first, so a bucket is one file.
+    """
+    dealt = df.repartition(buckets, *[F.col(name) for name in columns])
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *columns).sortBy(*columns).saveAsTable(table)
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
+    """A number that is near for rows whose columns are all near: the columns' ranks with their bits in turn.
+
+    Ranks are places among ``2 ** bits`` borders of approximately equal shares, of which
+    one small row reaches the driver. Nulls come first.
+    """
+    shares = [k / 2**bits for k in range(1, 2**bits)]
+    number = {name: F.col(name).cast("double") for name in columns}
+    borders = df.agg(*[F.percentile_approx(number[name], shares, 10 * 2**bits).alias(name) for name in columns]).first()
+    result = F.lit(0).cast("long")
+    for place, name in enumerate(columns):
+        cuts = sorted(set(borders[name] or []))
+        rank = F.when(number[name].isNull(), 0).otherwise(_place(number[name], cuts))
+        for bit in range(bits):
+            result = result.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(1).cast("long"), bit * len(columns) + place))
+    return result
+
+
+def _place(value: Column, cuts: Sequence[float]) -> Column:
+    """How many of the ascending ``cuts`` are at or below the value, by halving."""
+    if not cuts:
+        return F.lit(0)
+    middle = len(cuts) // 2
+    return F.when(value < cuts[middle], _place(value, cuts[:middle])).otherwise(F.lit(middle + 1) + _place(value, cuts[middle + 1:]))
+
+
+def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 8, mode: str = "error") -> None:
+    """Write files that each hold a narrow range of every one of ``columns``, so that filters on any of them skip files."""
+    order = "_order"
+    placed = df.withColumn(order, interleaved(df, columns, bits))
+    placed.repartitionByRange(files, order, *columns).sortWithinPartitions(order, *columns).drop(order).write.mode(mode).parquet(path)
+
+
 def partition_row_counts(table: DataFrame, partition_column: str) -> DataFrame:
     """Rows per partition, the largest first."""
     return (
