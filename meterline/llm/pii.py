@@ -29,6 +29,7 @@ text null.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -47,6 +48,8 @@ LABELERS = ("strict", "shape", "gazetteer", "words", "edges")
 PATTERNS = len(KINDS) * 3 ** len(LABELERS) * 3 * 4
 THRESHOLD = 0.7
 EM_ROUNDS = 200
+# Counts that the priors of a labeler's reliabilities weigh, whatever the corpus holds.
+PRIOR, STRICT_PRIOR = 20, 200
 
 # Runs are consumed whole, so a search never starts twice inside one and takes linear time.
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+(@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)?")
@@ -214,12 +217,12 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = EM_
     """Posterior of each vote pattern, reliabilities [labeler, class, vote + 1] and the share of class 1.
 
     Labelers are independent given the class. The first labeler, the strict check, starts the
-    classes; the others break its ties. A failed checksum is near proof, so its prior weighs as
-    much as the data; a few prior counts of the others keep the classes named as meant when one
-    of them is rare.
+    classes; the others break its ties. A few prior counts (``PRIOR`` of the others, ``STRICT_PRIOR`` of the strict
+    one, as a failed checksum is near proof) keep the classes named as meant when one of them is
+    rare; beyond them the data decide every labeler's reliability.
     """
-    priors = [np.array([[0.5, 0.3, 0.2], [0.2, 0.3, 0.5]]) * 20] * votes.shape[1]
-    priors[0] = np.array([[0.94, 0.05, 0.01], [0.01, 0.24, 0.75]]) * max(20, n.sum())
+    priors = [np.array([[0.5, 0.3, 0.2], [0.2, 0.3, 0.5]]) * PRIOR] * votes.shape[1]
+    priors[0] = np.array([[0.94, 0.05, 0.01], [0.01, 0.24, 0.75]]) * STRICT_PRIOR
     posterior = np.clip(0.5 + 0.45 * votes[:, 0] + (votes[:, 0] == 0) * votes.sum(axis=1) / (2 * votes.shape[1]), 0.02, 0.98)
     reliability, share = np.empty((votes.shape[1], 2, 3)), 0.5
     for _ in range(rounds):
@@ -270,15 +273,41 @@ def fit(docs: DataFrame, text: str = "text") -> SpanModel | None:
     return SpanModel(logistic(x, posterior, weight=np.log1p(rows[:, 8])))
 
 
+class _Taken:
+    """Disjoint intervals in ascending order."""
+
+    def __init__(self) -> None:
+        self.begins: list[int] = []
+        self.ends: list[int] = []
+
+    def add(self, begin: int, end: int) -> None:
+        """An interval that begins no earlier than any before; one that overlaps the last extends it."""
+        if self.ends and begin < self.ends[-1]:
+            self.ends[-1] = max(self.ends[-1], end)
+        else:
+            self.begins.append(begin)
+            self.ends.append(end)
+
+    def meets(self, begin: int, end: int) -> bool:
+        place = bisect_right(self.ends, begin)
+        return place < len(self.begins) and self.begins[place] < end
+
+
 def spans(text: str, model: SpanModel | None) -> list[Candidate]:
-    """Base spans and those the model adds, by kind and place."""
+    """Base spans and those the model adds, by kind and place.
+
+    Candidates of a kind come in order of place, so what a kind has added is in order too, and a candidate is held against
+    the base spans and each kind's additions by bisection.
+    """
     found = candidates(text, loose=model is not None)
     base = [c for c in found if c.base]
-    taken = [(c.begin, c.end) for c in base]
+    taken = [_Taken() for _ in range(len(KINDS) + 1)]
+    for c in sorted(base, key=lambda c: c.begin):
+        taken[-1].add(c.begin, c.end)
     for c in found:
-        if not c.base and model.probability(pattern_of(label(text, c))) >= THRESHOLD and all(c.end <= a or b <= c.begin for a, b in taken):
+        if not c.base and model.probability(pattern_of(label(text, c))) >= THRESHOLD and not any(t.meets(c.begin, c.end) for t in taken):
             base.append(c)
-            taken.append((c.begin, c.end))
+            taken[c.kind].add(c.begin, c.end)
     return sorted(base, key=lambda c: (c.kind, c.begin))
 
 
