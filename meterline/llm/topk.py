@@ -1,14 +1,14 @@
 """Exact top-k search by inner product with multi-resolution segment statistics.
 
-Vectors are whole numbers, floor(256 * x) of each component. They are cut into 4, 16 and 32
-segments; a segment's mean and deviation bound the distance of two vectors from below,
+Vectors are whole numbers, floor(256 * x) of each component. They are cut into ever more
+segments (``LEVELS``); a segment's mean and deviation bound the distance of two vectors from below,
 ``sum(w * ((mean - mean')**2 + (dev - dev')**2))``, and with the norms, which are the same sums,
-the inner product from above: ``sum(w * (mean * mean' + dev * dev'))``. The finest bounds of all pairs of a block come first: the rows
-with the best of them are scored exactly and give each query's threshold, the k-th best of those
-scores. Then, from coarse to fine, a level's bounds drop the rows that no query of a group of
-``TOGETHER`` can want; pairs above the threshold at the finest level are computed exactly. So the
-coarse levels save none of the finest bounds, only rows of the levels after them. Bounds get a margin for rounding, so nothing is lost; on vectors without
-structure only the finest level drops many pairs.
+the inner product from above: ``sum(w * (mean * mean' + dev * dev'))``. The coarsest bounds, of few numbers each, come first, for all pairs of a
+block: the rows with the best of them are scored exactly and give each query's threshold, the k-th
+best of those scores. A pair whose bound is below it is dropped. Each finer level is computed for the pairs that the levels before
+it have left, the exact product for those that all have left: pair by pair where they are few, else as a product
+over the rows and queries that still have one. Bounds get a margin for rounding, so nothing is lost. On
+vectors without structure the coarse levels drop few pairs and cost as much as half the exact products.
 
 Queries and rows are dealt into blocks of bounded size by a hash, and each pair of blocks is one
 group; every group gives at most k rows per query, of which the best k stay.
@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 
 from meterline.workspace import materialize
 
-LEVELS = (4, 16, 32)
+LEVELS = (2, 4, 8, 16)
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 1024
 # Queries that share one matrix of bounds inside a task.
 TOGETHER = 128
 PAIRS = 1 << 18
+# Below this share of its pairs a block's products are computed pair by pair.
+FEW = 0.05
 EXACT = float(1 << 53)
 LIMITS = (-float(1 << 63), float(1 << 63))
 _OUT = "query_id long, query_hash long, vec_id long, hash long, score long"
@@ -78,38 +80,61 @@ def exact_scores(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray) -
     return out
 
 
-def search(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, hashes: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query row, row, score) of the k best rows of every query."""
+def _of_pairs(q: np.ndarray, x: np.ndarray, alive: np.ndarray) -> np.ndarray:
+    """The inner products of the pairs that ``alive`` marks, in its order."""
+    qi, xi = np.nonzero(alive)
+    if len(qi) < FEW * alive.size:
+        out = np.empty(len(qi))
+        for begin in range(0, len(qi), PAIRS):
+            part = slice(begin, begin + PAIRS)
+            out[part] = np.einsum("ij,ij->i", q[qi[part]], x[xi[part]])
+        return out
+    rows, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+    return (q[rows] @ x[columns].T)[alive[np.ix_(rows, columns)]]
+
+
+def search(
+    q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, hashes: np.ndarray, k: int, left: list[int] | None = None,
+) -> tuple[np.ndarray, ...]:
+    """(query row, row, score) of the k best rows of every query.
+
+    ``left``, if given, gets the number of pairs in all and after each level added.
+    """
     found: list[tuple[np.ndarray, ...]] = []
     if not x.shape[1] or not len(x):
         qi, xi = (a.reshape(-1) for a in np.indices((len(q), len(x))))
         other = query_ids[qi] != ids[xi]
         return _best(qi[other], xi[other], np.zeros(int(other.sum()), np.int64), ids, hashes, k)
+    left = [] if left is None else left
+    left += [0] * (len(LEVELS) + 1 - len(left))
     qf, xf = q.astype(float), x.astype(float)
     levels = [(segment_features(qf, s), segment_features(xf, s)) for s in LEVELS]
     norm_q, norm_x = np.sqrt((qf * qf).sum(axis=1)), np.sqrt((xf * xf).sum(axis=1))
+    small = float(np.abs(qf).max(initial=0)) * float(np.abs(xf).max(initial=0)) * q.shape[1] < EXACT
     for begin in range(0, len(q), TOGETHER):
         part = slice(begin, begin + TOGETHER)
         own = query_ids[part][:, None] == ids[None, :]
-        margin = 1e-9 * norm_q[part][:, None] * norm_x[None, :] + 1e-6
-        # A first threshold from the rows with the best bounds.
-        finest = levels[-1][0][part] @ levels[-1][1].T
-        finest[own] = -np.inf
-        some = min(len(x), max(4 * k, len(x) // 64))
-        rows = np.argpartition(-finest, some - 1, axis=1)[:, :some]
+        coarse = levels[0][0][part] @ levels[0][1].T
+        coarse[own] = -np.inf
+        # A first threshold from the rows with the best coarse bounds.
+        some = min(len(x), max(8 * k, len(x) // 64))
+        rows = np.argpartition(-coarse, some - 1, axis=1)[:, :some]
         qi = np.repeat(np.arange(len(rows)), some)
         seen = exact_scores(q[part], x, qi, rows.reshape(-1)).astype(float).reshape(rows.shape)
         seen[np.take_along_axis(own, rows, 1)] = -np.inf
         threshold = -np.partition(-seen, min(k, some) - 1, axis=1)[:, min(k, some) - 1] if some >= k else np.full(len(rows), -np.inf)
-        columns = np.arange(len(x))
-        for of_queries, of_rows in levels:
-            bound = np.clip(of_queries[part] @ of_rows[columns].T + margin[:, columns], *LIMITS)  # as scores are
-            alive = (bound >= threshold[:, None]) & ~own[:, columns]
-            left = alive.any(axis=0)
-            columns, alive = columns[left], alive[:, left]
-        qi, at = np.nonzero(alive)
-        xi = columns[at]
-        scores = exact_scores(q[part], x, qi, xi)
+        margin = 1e-9 * norm_q[part][:, None] * norm_x[None, :] + 1e-6
+        alive = ~own & (np.clip(coarse + margin, *LIMITS) >= threshold[:, None])  # as scores are
+        left[0] += alive.size
+        left[1] += int(alive.sum())
+        for level, (of_queries, of_rows) in enumerate(levels[1:], 2):
+            qi, xi = np.nonzero(alive)
+            bound = np.clip(_of_pairs(of_queries[part], of_rows, alive) + margin[qi, xi], *LIMITS)
+            kept = bound >= threshold[qi]
+            alive[qi[~kept], xi[~kept]] = False
+            left[level] += int(kept.sum())
+        qi, xi = np.nonzero(alive)
+        scores = _of_pairs(qf[part], xf, alive).astype(np.int64) if small else exact_scores(q[part], x, qi, xi)
         good = scores.astype(float) >= threshold[qi] * (1 - 1e-15 * np.sign(threshold[qi]))
         best = _best(qi[good], xi[good], scores[good], ids, hashes, k)
         found.append((best[0] + begin, *best[1:]))

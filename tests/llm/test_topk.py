@@ -63,3 +63,25 @@ def test_bounds_hold():
             assert (bound >= exact - 1e-6).all()
             last = bound
         assert (last - exact).mean() <= (t.segment_features(q, 1) @ t.segment_features(x, 1).T - exact).mean() + 1e-6
+
+
+def test_finer_levels_are_computed_for_the_pairs_that_are_left():
+    """Smooth vectors: the coarsest bounds drop nearly all pairs, each finer level some more, and the result is exact."""
+    random_ = np.random.default_rng(3)
+    x = np.floor(256 * np.cumsum(random_.normal(size=(3000, 64)), axis=1) * 0.1).astype(np.int64)
+    ids, queries = np.arange(3000), np.arange(0, 3000, 50)
+    left: list[int] = []
+    qi, xi, scores = t.search(x[queries], queries, x, ids, ids, 5, left)
+    assert left[0] == 60 * 3000 and left[1] < 0.1 * left[0]
+    assert all(b <= a for a, b in zip(left, left[1:])) and left[-1] < left[1]
+    exact = x[queries] @ x.T
+    exact[np.arange(60), queries] = -(10**15)
+    assert (scores.reshape(60, 5) == -np.sort(-exact, axis=1)[:, :5]).all() and (exact[qi, xi] == scores).all()
+
+
+def test_products_of_few_and_of_many_pairs():
+    random_ = np.random.default_rng(4)
+    q, x = random_.integers(-9, 9, (30, 7)).astype(float), random_.integers(-9, 9, (50, 7)).astype(float)
+    for share in (0.0, 0.01, 0.5, 1.0):
+        alive = random_.random((30, 50)) < share
+        assert (t._of_pairs(q, x, alive) == (q @ x.T)[alive]).all()
