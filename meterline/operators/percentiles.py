@@ -27,15 +27,14 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilit
         .agg(F.count("*").alias("_n")),
         "value-counts",
     )
-    # Slice borders only balance the work; any borders give the same result. Borders
-    # and slices are stored, since every later step must see the same ones.
+    # Slice borders only balance the work; any borders give the same result. They are
+    # stored, since every later step must see the same ones; slices follow from them.
     approximate = F.percentile_approx("_value", [i / SLICES for i in range(1, SLICES)], SLICES * 10)
     borders = materialize(counted.groupBy(*keys).agg(approximate.alias("_borders")), "value-borders")
-    sliced = materialize(
+    sliced = (
         join_null_safe(counted, borders, keys)
         .withColumn("_slice", F.size(F.filter("_borders", lambda border: border < F.col("_value"))))
-        .drop("_borders"),
-        "value-slices",
+        .drop("_borders")
     )
     # At most SLICES rows per group from here on.
     sizes = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_size"))

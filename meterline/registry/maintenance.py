@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -16,13 +16,15 @@ from meterline.registry.models import as_double
 from meterline.sources import roles
 from meterline.workspace import materialize
 
+# Days of the two loads that merges bring together.
+TARGET_END, SOURCE_BEGIN = date(1999, 1, 1), date(1998, 6, 1)
 _ID = ["vendorid", "pickup_datetime", "dropoff_datetime", "pulocationid", "dolocationid"]
 _ID_SQL = """md5(coalesce(CAST(vendorid AS VARCHAR), '') || CAST(pickup_datetime AS VARCHAR)
     || CAST(dropoff_datetime AS VARCHAR) || CAST(pulocationid AS VARCHAR) || CAST(dolocationid AS VARCHAR))"""
 
 
-def _identified(spark, sf_dir):
-    trips = roles.trips(spark, sf_dir)
+def _identified(spark, sf_dir, first=None, end=None):
+    trips = roles.trips(spark, sf_dir, first=first, end=end)
     return trips.select(
         row_hash(*[F.col(name) for name in _ID]).alias("unique_row_id"),
         "service", "vendorid", "pickup_datetime", "passenger_count", "total_amount",
@@ -40,10 +42,9 @@ def _identified(spark, sf_dir):
            SELECT * FROM source WHERE unique_row_id NOT IN (SELECT unique_row_id FROM target))""",
 )
 def merge_insert_only(spark, sf_dir):
-    # The two loads overlap by seven months. Both are read from one stored derivation.
-    trips = materialize(_identified(spark, sf_dir), "identified")
-    target = trips.filter(F.col("pickup_datetime") < F.lit("1999-01-01").cast("timestamp"))
-    source = trips.filter(F.col("pickup_datetime") >= F.lit("1998-06-01").cast("timestamp"))
+    # The two loads overlap by seven months; each reads its own days, and the target a second time for its keys alone.
+    target = _identified(spark, sf_dir, end=TARGET_END).filter(F.col("pickup_datetime") < F.lit(TARGET_END))
+    source = _identified(spark, sf_dir, first=SOURCE_BEGIN).filter(F.col("pickup_datetime") >= F.lit(SOURCE_BEGIN))
     return as_double(tables.merge_insert_only(target, source, "unique_row_id"), "total_amount")
 
 
@@ -61,10 +62,9 @@ def merge_insert_only(spark, sf_dir):
                             AND s.pickup_datetime = t.pickup_datetime))""",
 )
 def merge_upsert(spark, sf_dir):
-    narrow = roles.trips(spark, sf_dir).select("vendorid", "pickup_datetime", "passenger_count", "total_amount")
-    trips = materialize(narrow, "narrow-trips")
-    target = trips.filter(F.col("pickup_datetime") < F.lit("1999-01-01").cast("timestamp"))
-    source = trips.filter(F.col("pickup_datetime") >= F.lit("1998-06-01").cast("timestamp"))
+    narrow = ["vendorid", "pickup_datetime", "passenger_count", "total_amount"]
+    target = roles.trips(spark, sf_dir, end=TARGET_END).select(narrow).filter(F.col("pickup_datetime") < F.lit(TARGET_END))
+    source = roles.trips(spark, sf_dir, first=SOURCE_BEGIN).select(narrow).filter(F.col("pickup_datetime") >= F.lit(SOURCE_BEGIN))
     merged = tables.merge_upsert(
         target.withColumn("origin", F.lit("old")), source.withColumn("origin", F.lit("new")),
         ["pickup_datetime", "vendorid"], [F.col("total_amount").desc(), F.col("passenger_count")],

@@ -7,6 +7,7 @@ not a recomputation.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -49,6 +50,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of frames that no one holds any more.
+
+    It hears of them when the driver collects its garbage, which a driver with little to do does
+    rarely: between the passes of one job their files would add up.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 _BUILT: dict[tuple, str] = {}
 
 
