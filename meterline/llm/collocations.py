@@ -2,14 +2,14 @@ r"""Phrase collocations by Rabin-Karp fingerprints.
 
 Texts are lower-cased (A-Z), split at ``[.,;:!?\x0A-\x0D]`` into pieces and these into words
 ``[^\x20\x09]+``; everything is counted per language. The words of a step (``STEP`` bytes, one text at least)
-are written in a row with one space between them, and prefix sums of two polynomials modulo
-31-bit primes give the fingerprint of any run of words by one subtraction and one product; the language
-is mixed in. A phrase lies inside one piece.
-
-1. For 1 to 4 words in turn, every n-gram is hashed, each step sends its distinct fingerprints with
-   their counts, and Spark adds them up. Those counted ``least`` times or more go into a filter, a
-   bitmap of ``FILTER_BITS`` bits whatever the corpus holds, which all tasks get. From two words on, a task sends
-   only n-grams whose two parts, without the last and without the first word, are in the filter: a
+are written in a row with one space between them, and the prefix sums of a polynomial modulo 2^64 give
+the fingerprint of any run of words by one subtraction and one product; the language is mixed in. A
+phrase lies inside one piece.
+
+1. For words, then pairs, then runs of 3 and 4 words, every n-gram is hashed, each step sends its distinct
+   fingerprints with their counts, and Spark adds them up. Those counted ``least`` times or more go into a filter, a
+   bitmap of ``FILTER_BITS`` bits whatever the corpus holds, which all tasks get. Of pairs, a task sends
+   only those whose words are in the filter, of longer runs only those whose pairs are: a
    phrase is never more frequent than its parts, so this loses none. A full filter only lets more through.
 2. ``verified``: n-grams in the filter are looked up in the text. A step keeps a pointer to the first place
    of each fingerprint and compares the bytes of every other place with it; places that differ are
@@ -25,6 +25,7 @@ words than a phrase needs give none; an empty table gives no rows; other columns
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,54 +40,64 @@ from meterline.llm.common import lean, plain_strings, small_batches, steps, text
 from meterline.workspace import materialize
 
 MOST_WORDS = 4
+# What each pass over the texts counts, and the size of the runs that must be frequent for it.
+ROUNDS = (((1,), 0), ((2,), 1), ((3, 4), 2))
 # Text of one step; what a step holds grows with it, or with the longest text.
 STEP = 4 << 20
 # Bytes whose prefix sums are made at once.
 CHUNK = 1 << 18
+# A power of two.
 FILTER_BITS = 1 << 26
-PRIMES = (2_147_483_647, 2_147_483_629)
-BASES = (1_000_003, 998_244_353)
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?\n\x0b\x0c\r"]] = True
 _GAP = _BREAK.copy()
 _GAP[[0x20, 0x09]] = True
+# Lower case for A-Z, a space for what separates words.
+_PLAIN = np.arange(256, dtype=np.uint8)
+_PLAIN[0x41:0x5B] += 0x20
+_PLAIN[_GAP] = 0x20
 
 
-def powers(base: int, prime: int, n: int) -> np.ndarray:
-    """``base`` to the powers 0 to n - 1."""
-    found = np.ones(1, np.int64)
+# What a byte stands for in the polynomial, a fixed 64-bit number each, and the base; odd, so that it can be divided by.
+BYTES = np.array([xxhash.xxh64_intdigest(bytes([k])) for k in range(256)], np.uint64)
+BASE = 0x9E3779B97F4A7C15
+_WRAP = 1 << 64
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """``base`` to the powers 0 to n - 1, modulo 2^64."""
+    found = np.ones(1, np.uint64)
     while len(found) < n:
-        found = np.concatenate([found, found * pow(base, len(found), prime) % prime])
+        found = np.concatenate([found, found * np.uint64(pow(base, len(found), _WRAP))])
     return found[:n]
 
 
 class Polynomial:
-    """Prefix sums of one polynomial; the hash of a range does not depend on where it lies."""
+    """Prefix sums of a polynomial modulo 2^64; the hash of a range does not depend on where it lies."""
 
-    def __init__(self, base: int, prime: int) -> None:
-        self.base, self.prime = base, prime
-        self.inverse = pow(base, -1, prime)
-        self.up, self.down = powers(base, prime, CHUNK), powers(self.inverse, prime, CHUNK)
+    def __init__(self, base: int) -> None:
+        self.base, self.inverse = base, pow(base, -1, _WRAP)
+        self.up, self.down = powers(base, CHUNK), powers(self.inverse, CHUNK)
 
     def prefixes(self, data: np.ndarray, places: np.ndarray) -> np.ndarray:
         """The sum over all bytes before each of the ascending ``places``."""
-        found = np.zeros(len(places), np.int64)
-        total, begin = 0, 0
-        while begin < len(data):
-            part = data[begin:begin + CHUNK].astype(np.int64) + 1
-            sums = np.cumsum(part * self.up[:len(part)] % self.prime) % self.prime
-            factor = pow(self.base, begin, self.prime)
+        found = np.zeros(len(places), np.uint64)
+        total = np.zeros(1, np.uint64)
+        for begin in range(0, len(data), CHUNK):
+            part = BYTES[data[begin:begin + CHUNK]]
+            part *= self.up[:len(part)]
+            sums = np.cumsum(part, dtype=np.uint64)
+            factor = np.uint64(pow(self.base, begin, _WRAP))
             low, high = np.searchsorted(places, [begin + 1, begin + len(part) + 1])
-            found[low:high] = (total + sums[places[low:high] - begin - 1] * factor) % self.prime
-            total = (total + int(sums[-1]) * factor) % self.prime
-            begin += len(part)
+            found[low:high] = total + sums[places[low:high] - begin - 1] * factor
+            total = total + sums[-1:] * factor
         return found
 
     def shifts(self, places: np.ndarray) -> np.ndarray:
         """What moves the sum of a range that begins at each place to place 0."""
         whole, rest = np.divmod(places, CHUNK)
-        coarse = powers(pow(self.inverse, CHUNK, self.prime), self.prime, int(whole.max(initial=0)) + 1)
-        return self.down[rest] * coarse[whole] % self.prime
+        coarse = powers(pow(self.inverse, CHUNK, _WRAP), int(whole.max(initial=0)) + 1)
+        return self.down[rest] * coarse[whole]
 
 
 class Grams:
@@ -95,30 +106,24 @@ class Grams:
     def __init__(self, texts: pa.Array, langs: list[str]) -> None:
         # A line end after each text ends its last piece.
         data, offsets = text_bytes(pc.binary_join_element_wise(texts, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())))
-        data = np.where((data >= 0x41) & (data <= 0x5A), data + np.uint8(0x20), data).astype(np.uint8)
         gap = _GAP[data]
-        inside = ~gap
-        ends = inside[:-1] & gap[1:] if len(data) else inside
-        begins = inside.copy()
+        kept = ~gap
+        begins = kept.copy()
         begins[1:] &= gap[:-1]
         starts = np.flatnonzero(begins)
-        breaks = np.cumsum(_BREAK[data], dtype=np.int32) if len(data) else np.zeros(0, np.int32)
-        self.piece = breaks[starts]
+        self.piece = np.cumsum(_BREAK[data], dtype=np.int32)[starts]
         # One space after every word: the byte that follows it.
-        kept = inside
-        kept[1:] |= ends
-        self.data = np.where(gap, np.uint8(0x20), data)[kept]
-        spaces = np.flatnonzero(self.data == 0x20)
-        self.end = spaces
-        self.begin = np.concatenate([[0], spaces[:-1] + 1]).astype(np.int64) if len(spaces) else spaces
+        kept[1:] |= ~gap[:-1]
+        self.data = _PLAIN[data[kept]]
+        self.end = np.flatnonzero(self.data == 0x20)
+        self.begin = np.concatenate([[0], self.end[:-1] + 1]).astype(np.int64) if len(self.end) else self.end
         self.text = np.searchsorted(offsets, starts, side="right") - 1
         self.langs, code = np.unique(np.array(langs, object), return_inverse=True) if langs else (np.array([], object), np.zeros(0, np.int64))
         self.lang = code[self.text]
-        self.sums = []
-        for polynomial, shift in zip(_polynomials(), (0, 32)):
-            seeds = np.array([(xxhash.xxh64_intdigest(lang) >> shift) % polynomial.prime for lang in self.langs], np.int64)
-            self.sums.append((polynomial, polynomial.prefixes(self.data, self.begin), polynomial.prefixes(self.data, self.end),
-                              polynomial.shifts(self.begin), seeds[self.lang] if len(seeds) else np.zeros(0, np.int64)))
+        self.seed = np.array([xxhash.xxh64_intdigest(lang) for lang in self.langs], np.uint64)
+        polynomial = _polynomial()
+        self.before, self.after = polynomial.prefixes(self.data, self.begin), polynomial.prefixes(self.data, self.end)
+        self.shift = polynomial.shifts(self.begin)
 
     def whole(self, n: int) -> np.ndarray:
         """Which words begin an n-gram inside one piece."""
@@ -127,24 +132,23 @@ class Grams:
 
     def fingerprints(self, n: int, at: np.ndarray) -> np.ndarray:
         """Fingerprints of the n-grams that begin at the words ``at``; the lowest two bits are n - 1."""
-        parts = [((after[at + n - 1] - before[at]) % polynomial.prime * shift[at] + seed[at]) % polynomial.prime
-                 for polynomial, before, after, shift, seed in self.sums]
-        return (parts[0] << 33) | (parts[1] << 2) | (n - 1)
-
+        found = (self.after[at + n - 1] - self.before[at]) * self.shift[at] + self.seed[self.lang[at]]
+        # The low bits of such a sum are the weak ones: spread the high ones over them.
+        found ^= found >> np.uint64(31)
+        found *= np.uint64(BASE)
+        found ^= found >> np.uint64(29)
+        return ((found & ~np.uint64(3)) | np.uint64(n - 1)).view(np.int64)
 
-_MADE: list[Polynomial] = []
 
-
-def _polynomials() -> list[Polynomial]:
-    if not _MADE:
-        _MADE.extend(Polynomial(base, prime) for base, prime in zip(BASES, PRIMES))
-    return _MADE
+@lru_cache(maxsize=1)
+def _polynomial() -> Polynomial:
+    return Polynomial(BASE)
 
 
 def _places(fingerprints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The two bits of the filter that stand for each fingerprint."""
-    mixed = fingerprints.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(20)) % np.uint64(bits), (mixed >> np.uint64(38)) % np.uint64(bits)
+    mixed, last = fingerprints.view(np.uint64) * np.uint64(BASE), np.uint64(bits - 1)
+    return (mixed >> np.uint64(8)) & last, (mixed >> np.uint64(36)) & last
 
 
 def in_filter(flags: np.ndarray, fingerprints: np.ndarray) -> np.ndarray:
@@ -155,15 +159,19 @@ def in_filter(flags: np.ndarray, fingerprints: np.ndarray) -> np.ndarray:
     return found
 
 
-def _passing(grams: Grams, n: int, flags: np.ndarray | None) -> np.ndarray:
-    """The words that begin an n-gram whose two parts of n - 1 words are in the filter."""
+def _passing(grams: Grams, n: int, part: int, flags: np.ndarray | None) -> np.ndarray:
+    """The words that begin an n-gram all of whose runs of ``part`` words are in the filter."""
     at = np.flatnonzero(grams.whole(n))
-    if n == 1 or flags is None or not len(at):
+    if flags is None or not len(at):
         return at
-    touched = np.unique(np.concatenate([at, at + 1]))
-    frequent = np.zeros(len(grams.begin), bool)
-    frequent[touched] = in_filter(flags, grams.fingerprints(n - 1, touched))
-    return at[frequent[at] & frequent[at + 1]]
+    wanted = np.zeros(len(grams.begin), bool)
+    for k in range(n - part + 1):
+        wanted[at + k] = True
+    touched = np.flatnonzero(wanted)
+    wanted[touched] = in_filter(flags, grams.fingerprints(part, touched))
+    for k in range(n - part + 1):
+        at = at[wanted[at + k]]
+    return at
 
 
 def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
@@ -172,12 +180,13 @@ def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
             yield Grams(plain_strings(step.column(1)), step.column(0).to_pylist())
 
 
-def _count(n: int, flags: Broadcast | None):
+def _count(sizes: tuple[int, ...], part: int, flags: Broadcast | None):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for grams in _steps(batches):
-            found, times = np.unique(grams.fingerprints(n, _passing(grams, n, flags and flags.value)), return_counts=True)
-            for begin in range(0, len(found), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(found[begin:begin + (1 << 18)]), pa.array(times[begin:begin + (1 << 18)])], names=["fingerprint", "n"])
+            for n in sizes:
+                found, times = np.unique(grams.fingerprints(n, _passing(grams, n, part, flags and flags.value)), return_counts=True)
+                for begin in range(0, len(found), 1 << 18):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[begin:begin + (1 << 18)]), pa.array(times[begin:begin + (1 << 18)])], names=["fingerprint", "n"])
 
     return count
 
@@ -202,6 +211,10 @@ def frequent_filter(counted: DataFrame, flags: np.ndarray) -> np.ndarray:
 def _phrases(flags: Broadcast):
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for grams in _steps(batches):
+            totals = np.bincount(grams.lang, minlength=len(grams.langs))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams.langs, pa.string()), pa.array(np.zeros(len(totals), np.int32)), pa.array([""] * len(totals)), pa.array(totals)],
+                names=["lang", "words", "phrase", "n"])
             for n in range(1, MOST_WORDS + 1):
                 at = np.flatnonzero(grams.whole(n))
                 found = grams.fingerprints(n, at)
@@ -255,26 +268,19 @@ def _texts_of(docs: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, least: int = 30) -> DataFrame:
-    """lang, words (1 to 4), phrase and n of every phrase found ``least`` times or more in a language; stored."""
+    """lang, words (1 to 4), phrase and n of every phrase found ``least`` times or more in a language; stored.
+
+    A row with 0 words and no phrase holds the occurrences of all words of a language.
+    """
     texts = _texts_of(docs)
     context = docs.sparkSession.sparkContext
     flags, sent = np.zeros(FILTER_BITS // 8, np.uint8), None
-    for n in range(1, MOST_WORDS + 1):
-        counted = texts.mapInArrow(lean(_count(n, sent)), "fingerprint long, n long").groupBy("fingerprint").agg(F.sum("n").alias("n"))
+    for sizes, part in ROUNDS:
+        counted = texts.mapInArrow(lean(_count(sizes, part, sent)), "fingerprint long, n long").groupBy("fingerprint").agg(F.sum("n").alias("n"))
         flags = frequent_filter(counted.filter(F.col("n") >= least).select("fingerprint"), flags)
         sent = context.broadcast(flags)
     found = texts.mapInArrow(lean(_phrases(sent)), "lang string, words int, phrase string, n long")
-    return materialize(found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrases")
-
-
-def word_totals(docs: DataFrame) -> DataFrame:
-    """lang and n, the occurrences of all words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for grams in _steps(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(grams.langs, pa.string()), pa.array(np.bincount(grams.lang, minlength=len(grams.langs)))], names=["lang", "total"])
-
-    return materialize(_texts_of(docs).mapInArrow(lean(run), "lang string, total long").groupBy("lang").agg(F.sum("total").alias("total")), "phrase-totals")
+    return materialize(found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
 
 
 def _parts(phrase: str, begin: int | Callable, size: int | Callable):
@@ -284,7 +290,8 @@ def _parts(phrase: str, begin: int | Callable, size: int | Callable):
 def collocations(docs: DataFrame, least: int = 30, most: int = 2000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``most`` best phrases of two to four words in each language."""
     phrases = verified(docs, least)
-    counts = phrases.select("lang", F.col("phrase").alias("part"), F.col("n").alias("times"))
+    totals = phrases.filter("words = 0").select("lang", F.col("n").alias("total"))
+    counts = phrases.filter("words > 0").select("lang", F.col("phrase").alias("part"), F.col("n").alias("times"))
     candidates = phrases.filter("words > 1").select("lang", "words", "phrase", F.col("n").alias("a"))
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
     first = cuts.withColumn("part", _parts("phrase", F.lit(1), F.col("k"))).join(counts, ["lang", "part"]).withColumnRenamed("times", "l")
@@ -299,5 +306,5 @@ def collocations(docs: DataFrame, least: int = 30, most: int = 2000) -> DataFram
     kept = lowest.join(within, ["lang", "phrase"], "left").filter("inside is null or 100 * inside < 80 * a")
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase"))
     best = kept.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= most)
-    return best.join(word_totals(docs), "lang").select(
+    return best.join(totals, "lang").select(
         "lang", "rank", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("total").alias("n"), F.col("cut.score").alias("score"))

@@ -77,9 +77,9 @@ def test_brute_force(spark, monkeypatch):
 
 
 def test_colliding_fingerprints_change_nothing(spark, monkeypatch):
-    """One prime so small that most phrases collide, and a filter that is nearly full."""
-    monkeypatch.setattr(c, "_MADE", [c.Polynomial(3, 97), c.Polynomial(5, 101)])
-    monkeypatch.setattr(c, "_polynomials", lambda made=c._MADE: made)
+    """Fingerprints so short that most phrases collide, and a filter that is full."""
+    exact = c.Grams.fingerprints
+    monkeypatch.setattr(c.Grams, "fingerprints", lambda self, n, at: exact(self, n, at) & 63)
     rows = corpus(150, 2)
     grams = c.Grams(pa.array([text or "" for _, text in rows], pa.large_string()), [lang or "und" for lang, _ in rows])
     flags = np.full(1024, 255, np.uint8)
@@ -88,9 +88,12 @@ def test_colliding_fingerprints_change_nothing(spark, monkeypatch):
         value = flags
 
     monkeypatch.setattr(c, "_steps", lambda batches: iter(batches))
-    found = Counter()
+    found, totals = Counter(), Counter()
     for batch in c._phrases(Sent)([grams]):
         for lang, n, phrase, times in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if n == 0:
+                totals[lang] += times
+                continue
             assert len(phrase.split(" ")) == n and (lang, phrase) not in found
             found[(lang, phrase)] += times
     want = Counter()
@@ -99,16 +102,18 @@ def test_colliding_fingerprints_change_nothing(spark, monkeypatch):
             for n in range(1, 5):
                 want.update((lang or "und", " ".join(words[k:k + n])) for k in range(len(words) - n + 1))
     assert found == want
+    assert totals == Counter(lang or "und" for lang, text in rows for words in pieces(text) for _ in words)
 
 
 def test_prefix_sums_over_chunks(monkeypatch):
     monkeypatch.setattr(c, "CHUNK", 16)
-    polynomial = c.Polynomial(1_000_003, c.PRIMES[0])
+    polynomial = c.Polynomial(c.BASE)
     data = np.frombuffer(b"some bytes that repeat: some bytes that repeat: some bytes", np.uint8)
     places = np.array([0, 10, 24, 34, 48, 58])
+    assert len(data) == 58
     sums, shifts = polynomial.prefixes(data, places), polynomial.shifts(places)
-    hashes = {int((sums[k + 1] - sums[k]) % polynomial.prime * shifts[k] % polynomial.prime) for k in (0, 2, 4)}
-    assert hashes == {sum((byte + 1) * pow(1_000_003, k, polynomial.prime) for k, byte in enumerate(b"some bytes")) % polynomial.prime}
+    hashes = {int((sums[k + 1] - sums[k]) * shifts[k]) for k in (0, 2, 4)}
+    assert hashes == {sum(int(c.BYTES[byte]) * pow(c.BASE, k, 2**64) for k, byte in enumerate(b"some bytes")) % 2**64}
 
 
 def test_one_long_text_and_no_text(spark, edge_docs, no_docs):
