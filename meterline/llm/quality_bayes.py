@@ -212,7 +212,11 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", host: Colum
              id_column: str = "doc_id") -> DataFrame:
     """id, host, path, doc_logit, site_logit, probability and kept of every row."""
     host, path = F.col("source") if host is None else host, F.col("lang") if path is None else path
-    model = fit(docs, labels, text)
+    return judge(docs, fit(docs, labels, text), host, path, text, id_column)
+
+
+def judge(docs: DataFrame, model: list[float] | None, host: Column, path: Column, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """What ``classify`` gives, by a model that was fitted before, such as on other documents."""
     rows = materialize(_evidence(docs, model, (id_column,), text, host, path), "quality-evidence")
     sites = materialize(site_table(rows), "quality-sites").select(F.col("host").alias("_h"), F.col("path").alias("_p"), "site_logit")
     joined = rows.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))

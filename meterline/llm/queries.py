@@ -130,6 +130,15 @@ def op10_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bayes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("quality_of_pages")
+def quality_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages judged by the classifier of the documents and by their sites: host of the address, first step of its path."""
+    model = quality_bayes.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    body = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " "), "<[^>]*>", " ")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", body.alias("text"))
+    return quality_bayes.judge(pages, model, quality_bayes.url_host(F.col("url")), quality_bayes.url_path(F.col("url")), id_column="page_id")
+
+
 @query("op3_pii_spans")
 def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and added spans of personal data in every document."""

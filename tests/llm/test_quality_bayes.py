@@ -67,3 +67,58 @@ def test_logistic_recovers_weights():
     x = random.normal(size=(20_000, 2)) * [1, 5] + [0, 3]
     y = random.random(20_000) < 1 / (1 + np.exp(-(0.5 + x @ [1.5, -0.4])))
     assert np.allclose(q.logistic(x, y.astype(float)), [0.5, 1.5, -0.4], atol=0.1)
+
+
+def shrunk_sites(rows):
+    """(host, path) -> site log odds by plain loops over (host, path, logit)."""
+    def clipped(x):
+        return min(max(x, q.EDGE), 1 - q.EDGE)
+
+    def strength(mean, between, chance):
+        return max(q.STRENGTH[0], min(q.STRENGTH[1], mean * (1 - mean) / max(between - chance, q.EDGE) - 1))
+
+    paths, hosts = {}, {}
+    for host, path, logit in rows:
+        for table, key in ((paths, (host, path)), (hosts, host)):
+            n, s = table.get(key, (0, 0.0))
+            table[key] = n + 1, s + 1 / (1 + np.exp(-logit))
+    total = len(rows)
+    mean = clipped(sum(s for _, s in hosts.values()) / total)
+    k = strength(mean, sum(n * (s / n - mean) ** 2 for n, s in hosts.values()) / total, mean * (1 - mean) * len(hosts) / total)
+    rate = {host: (s + k * mean) / (n + k) for host, (n, s) in hosts.items()}
+    between = sum(n * (s / n - rate[key[0]]) ** 2 for key, (n, s) in paths.items()) / total
+    k = strength(mean, between, sum(n * rate[key[0]] * (1 - rate[key[0]]) for key, (n, _) in paths.items()) / total)
+    sites = {}
+    for key, (n, s) in paths.items():
+        own = clipped((s + k * rate[key[0]]) / (n + k))
+        sites[key] = max(-q.MAX_SITE, min(q.MAX_SITE, np.log(own / (1 - own)) - np.log(mean / (1 - mean))))
+    return sites
+
+
+def test_pages_by_brute_force(spark):
+    """Real hosts and paths, most of them with a few pages; and the documents themselves."""
+    import re
+
+    from meterline.llm.queries import op10_quality_bayes, quality_of_pages
+
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = q.fit(docs, labels)
+    pages = spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").collect()
+    texts = [re.sub("<[^>]*>", " ", re.sub(r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ", r["html"] or "")) for r in pages]
+    split = [re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)[^/?#]*(?:/([^/?#]*))?", r["url"] or "") for r in pages]
+    own = [(m[1].lower() if m else "", (m[2] or "") if m else "") for m in split]
+    logits = q.document_logits(model, q.features(pa.array(texts, pa.large_string())))
+    sites = shrunk_sites([(*site, logit) for site, logit in zip(own, logits)])
+    got = {r["page_id"]: r for r in quality_of_pages(spark, SF).collect()}
+    assert len(got) == len(pages) and sum(list(own).count(site) < 4 for site in sites) > 20
+    for r, site, logit in zip(pages, own, logits):
+        row = got[r["page_id"]]
+        assert (row["host"], row["path"]) == site and abs(row["doc_logit"] - logit) < 1e-9 and abs(row["site_logit"] - sites[site]) < 1e-6
+        assert row["kept"] == (row["probability"] >= 0.5) and abs(row["probability"] - 1 / (1 + np.exp(-(logit + sites[site])))) < 1e-6
+    rows = docs.select("doc_id", "source", "lang", "text").collect()
+    logits = dict(zip((r["doc_id"] for r in rows), q.document_logits(model, q.features(pa.array([r["text"] or "" for r in rows], pa.large_string())))))
+    sites = shrunk_sites([(r["source"], r["lang"], logits[r["doc_id"]]) for r in rows])
+    judged = {r["doc_id"]: r for r in op10_quality_bayes(spark, SF).collect()}
+    assert len(judged) == len(rows)
+    assert all(abs(judged[r["doc_id"]]["site_logit"] - sites[r["source"], r["lang"]]) < 1e-6 for r in rows)
+    assert all(judged[r["doc_id"]]["kept"] == (logits[r["doc_id"]] + sites[r["source"], r["lang"]] >= 0) for r in rows)
