@@ -72,6 +72,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_RULE_ROWS = ", ".join(f"('{rule.name}', {1 << rule.bit})" for rule in quality_rules.RULES)
+
+
+@query("quality_rule_ablation", sql=ORACLES["op1_quality_rules"].rpartition("SELECT doc_id,")[0].rstrip() + f""", rules(rule, mask) AS (VALUES {_RULE_ROWS})
+SELECT rule, count_if(failed_bits & mask <> 0)::BIGINT AS n_failed, count_if(failed_bits = mask)::BIGINT AS n_failed_alone,
+  count_if(failed_bits = 0)::BIGINT AS n_kept, count_if(failed_bits = 0 OR failed_bits = mask)::BIGINT AS n_kept_without
+FROM flagged, rules GROUP BY rule
+""")
+def quality_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the newest policy decides, alone and beside the others."""
+    return quality_rules.ablation(quality_rules.ledger(table(spark, sf_dir, "documents")), quality_rules.POLICIES["v2"])
+
+
 @query("op2_token_blocks")
 def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids as packed blocks and read them back."""
