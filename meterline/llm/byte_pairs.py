@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from meterline.llm.common import byte_offsets, extended, gather, lean, plain_strings, quoted, small_batches, steps, text_or_empty, units
+from meterline.llm.common import byte_offsets, extended, gather, give_back, lean, plain_strings, quoted, small_batches, steps, text_or_empty, units
 from meterline.workspace import materialize
 
 # Text of one row between the tasks that cut and the fold, and of one step of the count.
@@ -61,7 +61,9 @@ STEP = 8 << 20
 COUNT_STEP = 16 << 20
 FOLD_BYTES = 32
 # Units that every task knows.
-KNOWN = 2_000_000
+KNOWN = 1_500_000
+# Characters of a plan's text; a literal rank map is a million of them, and Spark keeps the text of every query that ran.
+PLAN_TEXT = 100_000
 # Buckets of the literal rank map; a lookup compares with the few tokens of one bucket.
 BUCKETS = 1 << 14
 # Long words are merged in parts of about this many bytes where they can be cut.
@@ -352,9 +354,13 @@ def encode(docs: DataFrame, path: str, split: str, keep: Sequence[str] = ("doc_i
 
     ``path`` names the vocabulary file on every machine, ``split`` is the pattern that cuts words.
     """
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.maxPlanStringLength", str(min(int(str(conf.get("spark.sql.maxPlanStringLength")).rstrip("b")), PLAN_TEXT)))
     listed = frequent(docs, path, split, most).toArrow()
     known = docs.sparkSession.sparkContext.broadcast(Known(
         plain_strings(listed["unit"]), pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *(x.cast(pa.list_(pa.int32())) for x in listed["ids"].chunks)])))
+    del listed
+    give_back()
     rows = docs.select(*(F.col(quoted(name)).alias(f"k{k}") for k, name in enumerate(keep)), text_or_empty("text").alias("text"))
     kept = T.StructType(rows.schema.fields[:-1])
     of_step = T.StructType([
