@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterline.llm.common import lean, plain_strings, small_batches, steps, text_bytes, text_or_empty
-from meterline.workspace import materialize
+from meterline.workspace import materialize, tidy
 
 MOST_WORDS = 4
 # What each pass over the texts counts, and the size of the runs that must be frequent for it.
@@ -279,6 +279,8 @@ def verified(docs: DataFrame, least: int = 30) -> DataFrame:
         counted = texts.mapInArrow(lean(_count(sizes, part, sent)), "fingerprint long, n long").groupBy("fingerprint").agg(F.sum("n").alias("n"))
         flags = frequent_filter(counted.filter(F.col("n") >= least).select("fingerprint"), flags)
         sent = context.broadcast(flags)
+        del counted
+        tidy(docs.sparkSession)
     found = texts.mapInArrow(lean(_phrases(sent)), "lang string, words int, phrase string, n long")
     return materialize(found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
 
