@@ -57,7 +57,7 @@ from meterline.llm.common import byte_offsets, extended, gather, give_back, lean
 from meterline.workspace import materialize
 
 # Text of one row between the tasks that cut and the fold, and of one step of the count.
-STEP = 8 << 20
+STEP = 5 << 20
 COUNT_STEP = 16 << 20
 FOLD_BYTES = 32
 # Units that every task knows.
@@ -86,22 +86,28 @@ def pattern(source: str):
     import tiktoken
 
     singles = {bytes([k]): k for k in range(256)}
-    points = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
 
-    def set_text(members: set[str]) -> str:
-        places = np.array(sorted(map(ord, members)))
-        runs = np.split(places, np.flatnonzero(np.diff(places) > 1) + 1)
+    def set_text(members: list[int]) -> str:
+        runs = np.split(np.array(members), np.flatnonzero(np.diff(members) > 1) + 1)
         return "".join(f"\\U{run[0]:08x}-\\U{run[-1]:08x}" for run in runs)
 
     for name in (r"\p{L}", r"\p{N}", r"\s"):
         encoding = tiktoken.Encoding(name, pat_str=name, mergeable_ranks=singles, special_tokens={})
-        theirs, ours = set(encoding.decode(encoding.encode_ordinary(points))), set(regex.findall(name, points))
-        # ``inside`` stands for the class within a set; outside it, a set of its own.
+        more: list[int] = []
+        fewer: list[int] = []
+        # A few thousand code points at a time: every task does this once, and must stay small.
+        for begin in range(0, 0x110000, 4096):
+            if 0xD800 <= begin < 0xE000:
+                continue
+            points = "".join(map(chr, [k for k in range(begin, begin + 4096) if not 0xD800 <= k < 0xE000]))
+            theirs, ours = set(encoding.decode(encoding.encode_ordinary(points))), set(regex.findall(name, points))
+            more += sorted(map(ord, theirs - ours))
+            fewer += sorted(map(ord, ours - theirs))
         inside = name
-        if ours - theirs:
-            inside = f"[{inside}--[{set_text(ours - theirs)}]]"
-        if theirs - ours:
-            inside = f"[{inside}||[{set_text(theirs - ours)}]]"
+        if fewer:
+            inside = f"[{inside}--[{set_text(fewer)}]]"
+        if more:
+            inside = f"[{inside}||[{set_text(more)}]]"
         source = source.replace(name, inside)
     return regex.compile(source, regex.V1)
 
