@@ -32,10 +32,8 @@ TRIP_MESSAGE_COLUMNS = [
 
 
 def write_csv(df: DataFrame, label: str, by: str | None = None, codec: str = "none") -> str:
-    """Write CSV with a header to the shared folder, optionally one folder per value."""
+    """Write CSV with a header to the shared folder, optionally one folder per value, whose rows should lie together."""
     path = new_dir(df.sparkSession, label)
-    if by:
-        df = df.hint("rebalance", F.col(by))
     writer = df.write.option("header", True).option("timestampFormat", files.CSV_TIME_FORMAT)
     if by:
         writer = writer.partitionBy(by)
@@ -66,10 +64,10 @@ SERVICES = {
 }
 
 
-def landing_rows(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
+def landing_rows(spark: SparkSession, sf_dir: str, service: str, by: str | None = None) -> DataFrame:
     """Trips in the order and naming of the landing files, codes as plain integers."""
     of = SERVICES[service]
-    raw = of.trips(spark, sf_dir)
+    raw = of.trips(spark, sf_dir, by=by)
     for name in {"payment_type", "trip_type"} & set(raw.columns):
         raw = raw.withColumn(name, F.col(name).cast("double").cast("int"))
     return raw.select([field.name for field in of.landing])
@@ -82,9 +80,11 @@ def monthly_csv(spark: SparkSession, sf_dir: str, service: str) -> str:
 
 
 def _write_monthly_csv(spark: SparkSession, sf_dir: str, service: str) -> str:
+    """The rows of a month are gathered in parts of Spark's advisory size, so that a compressed file stays one task's work."""
     month = F.date_format(f"{SERVICES[service].prefix}_pickup_datetime", "yyyy-MM")
     name = F.concat(F.lit(f"{service}_tripdata_"), month, F.lit(".csv"))
-    return write_csv(landing_rows(spark, sf_dir, service).withColumn("file", name), "monthly", by="file")
+    rows = landing_rows(spark, sf_dir, service, by="date_trunc('MONTH', pickup_datetime)")
+    return write_csv(rows.withColumn("file", name), "monthly", by="file", codec="gzip")
 
 
 _HV_SQL = f"""WITH {checks.FHV} SELECT CASE WHEN pulocationid % 2 = 0 THEN 'HV0003' ELSE 'HV0005' END
