@@ -53,13 +53,15 @@ def with_warehouse_identity(landing: DataFrame, pickup: str, dropoff: str, filen
     return landing.select(hashed.alias("unique_row_id"), filename.alias("filename"), *landing.columns)
 
 
-def create_table(spark: SparkSession, name: str, schema, partitioned_by: Sequence[str] = (), path: str | None = None) -> None:
-    """Create an empty Parquet table unless it exists."""
+def create_table(spark: SparkSession, name: str, schema, partitioned_by: Sequence[str] = (), path: str | None = None, codec: str | None = None) -> None:
+    """Create an empty Parquet table unless it exists; ``codec`` replaces the session's compression for all its rows."""
     if spark.catalog.tableExists(name):
         return
     writer = spark.createDataFrame([], schema).write.format("parquet")
     if partitioned_by:
         writer = writer.partitionBy(*partitioned_by)
+    if codec:
+        writer = writer.option("compression", codec)
     writer.option("path", path or new_dir(spark, "table")).saveAsTable(name)
 
 

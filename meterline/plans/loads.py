@@ -20,10 +20,11 @@ def ingest_months(
     """Typed CSV files of all months to Parquet folders by year and month.
 
     One read covers the whole tree; year and month come from the file names. A
-    rerun replaces the months it finds and leaves the others alone.
+    rerun replaces the months it finds and leaves the others alone. A file holds one
+    month, so that its rows go to the lake without a shuffle.
     """
     monthly = read_monthly(spark, root, schema, taxi_type, years=years)
-    write_partitioned(monthly.drop("source_file", "taxi_type"), lake, ["year", "month"], mode)
+    write_partitioned(monthly.drop("source_file", "taxi_type"), lake, ["year", "month"], mode, gathered=True, codec="zstd")
     return spark.read.parquet(lake)
 
 
@@ -37,13 +38,14 @@ def load_month(
     all inserted, since the merge only looks at what the table held before.
     The warehouse form hashes fewer columns to bytes. Tables are partitioned by the
     pickup's month or day (``unit``), and the merge reads only the periods the load has.
+    Rows of one monthly file lie together already: only days are gathered by a shuffle.
     """
     landing = read_csv(spark, files, schema)
     identify = tables.with_warehouse_identity if warehouse else tables.with_landing_identity
     staged = identify(landing, pickup, dropoff, file_name()).withColumn("pickup_period", F.date_trunc(unit, pickup).cast("date"))
-    staged = materialize(staged, "staged-month")
-    tables.create_table(spark, table, staged.schema, ["pickup_period"], path)
-    tables.merge_into_table(spark, table, staged, "unique_row_id", "pickup_period", ["pickup_period"])
+    staged = materialize(staged, "staged-month", codec="zstd")
+    tables.create_table(spark, table, staged.schema, ["pickup_period"], path, codec="zstd")
+    tables.merge_into_table(spark, table, staged, "unique_row_id", "pickup_period", [] if unit == "month" else ["pickup_period"])
 
 
 def loaded_rows_like(table: DataFrame, filename_regex: str) -> DataFrame:

@@ -11,6 +11,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A task that writes few partitions keeps their files open instead of sorting its rows first, which may spill.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
     # Merge sessions inside each map task, so that a hot key shuffles few rows.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",

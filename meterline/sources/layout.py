@@ -26,20 +26,22 @@ def write_single_file(report: DataFrame, path: str, mode: str = "overwrite") ->
     report.repartition(1).write.mode(mode).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], mode: str = "error", sort_by: Sequence[str] = ()) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, columns: Sequence[str], mode: str = "error", sort_by: Sequence[str] = (),
+    gathered: bool = False, codec: str | None = None,
+) -> None:
     """Write folders by column values, with files of even size.
 
     Rebalancing gathers a partition's rows and splits a hot one over several
     tasks. In overwrite mode only the partitions present in ``df`` are replaced.
     ``sort_by`` orders the rows of every file, so that readers skip row groups.
+    Rows that come ``gathered``, as from files of one value each, are written where they are read.
     """
-    balanced = df.hint("rebalance", *[F.col(name) for name in columns])
+    balanced = df if gathered else df.hint("rebalance", *[F.col(name) for name in columns])
     if sort_by:
         balanced = balanced.sortWithinPartitions(*columns, *sort_by)
-    (
-        balanced.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns).parquet(path)
-    )
+    writer = balanced.write.option("compression", codec) if codec else balanced.write
+    writer.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 
 def write_by_date(df: DataFrame, path: str, ts: str, date_column: str, mode: str = "error", cluster_by: Sequence[str] = ()) -> None:

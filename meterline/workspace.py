@@ -43,10 +43,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of the copy."""
+def materialize(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and return a scan of the copy; ``codec`` replaces the session's compression."""
     path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -211,3 +211,68 @@ def test_connector_options():
     options = connectors.kafka_options("broker:9092", "green-trips", "latest", 500)
     assert options["startingOffsets"] == "latest" and options["maxOffsetsPerTrigger"] == "500"
     assert connectors.object_store_settings("gs", "/keys/a.json")["spark.hadoop.google.cloud.auth.service.account.json.keyfile"] == "/keys/a.json"
+
+
+def stages_of(spark, group, run):
+    """Number of stages of each job that ``run`` starts."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    return [len(tracker.getJobInfo(job).stageIds) for job in sorted(tracker.getJobIdsForGroup(group))]
+
+
+def test_monthly_files_are_compressed_and_shuffled_before_columns_are_derived(spark):
+    from meterline.registry import scans
+
+    sf = "/root/testdata/sf0.001"
+    parts = list(Path(scans.monthly_csv(spark, sf, "green").removeprefix("file:")).glob("file=green_tripdata_*.csv/part-*"))
+    assert parts and all(part.name.endswith(".csv.gz") for part in parts)
+    plan = scans.landing_rows(spark, sf, "green", by="date_trunc('MONTH', pickup_datetime)")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RebalancePartitions")
+    assert "total_amount" in above and not any(name in below for name in ("total_amount", "fare_amount", "dropoff_datetime", "mta_tax"))
+
+
+def test_monthly_files_go_to_the_lake_without_a_shuffle(spark, tmp_path):
+    root, lake = monthly_tree(tmp_path / "raw"), str(tmp_path / "lake")
+    assert set(stages_of(spark, "ingest", lambda: loads.ingest_months(spark, root, lake, YELLOW_TRIPS, "yellow"))) == {1}
+    assert spark.read.parquet(lake).count() == 7
+
+
+def test_a_monthly_load_shuffles_no_rows_and_compresses_its_tables(spark, tmp_path, monkeypatch):
+    from meterline.operators import tables
+    from meterline.schemas import LANDING_YELLOW
+
+    root, balanced, append = monthly_tree(tmp_path / "raw"), [], tables.append_rows
+    monkeypatch.setattr(tables, "append_rows", lambda df, name, by=(): (balanced.append(list(by)), append(df, name, by)))
+    for unit in ("month", "day"):
+        loads.load_month(
+            spark, f"landed_{unit}", files.monthly_glob(root, "yellow"), LANDING_YELLOW,
+            "tpep_pickup_datetime", "tpep_dropoff_datetime", path=str(tmp_path / unit), unit=unit)
+        assert spark.table(f"landed_{unit}").count() == 7
+        tables.drop_table(spark, f"landed_{unit}")
+        assert {path.name.split(".", 1)[1] for path in (tmp_path / unit).glob("pickup_period=*/part-*")} == {"c000.zstd.parquet"}
+    assert balanced == [[], ["pickup_period"]]
+
+
+def test_the_task_of_a_file_reads_no_shuffled_rows(spark, tmp_path):
+    for files_wanted, rows in ((3, 10_000), (4, 1)):
+        path = str(tmp_path / f"in-{files_wanted}")
+        df = spark.range(rows).selectExpr("id", "id AS _file", "CAST(id AS STRING) AS text")
+        assert stages_of(spark, f"in-files-{files_wanted}", lambda: layout.write_in_files(df, path, files_wanted))[-1] == 1
+        stored = spark.read.parquet(path)
+        assert stored.columns == ["id", "_file", "text"] and sorted(r.id for r in stored.collect()) == list(range(rows))
+        counts = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+        assert len(counts) == min(files_wanted, rows) and max(counts) - min(counts) <= rows / 50
+
+
+def test_messages_are_compressed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    from meterline.streaming import messages
+
+    monkeypatch.setattr(messages, "MESSAGES_PER_FILE", 30)
+    messages.write_message_files(spark.range(0, 100, 1, 1).selectExpr("CAST(id AS STRING) AS value"), str(tmp_path / "m"))
+    parts = list((tmp_path / "m").glob("part-*"))
+    assert len(parts) == 4 and all(part.name.endswith(".txt.gz") for part in parts)
+    assert sorted(int(r.value) for r in spark.read.text(str(tmp_path / "m")).collect()) == list(range(100))
