@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from meterline.workspace import new_dir
+
+# Tasks per wanted file that rows are dealt to before each file is written by one.
+PIECES = 16
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
     """Write Parquet; modes are error, overwrite, append and ignore."""
@@ -13,8 +19,26 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_in_files(df: DataFrame, path: str, files: int, mode: str = "error") -> None:
-    """Write exactly ``files`` files of even size."""
-    df.repartition(files).write.mode(mode).parquet(path)
+    """Write exactly ``files`` files of even size.
+
+    A file is one task's work however many rows there are. They are dealt to ``PIECES`` times as many
+    tasks and stored, so that this task reads compressed columns in place of shuffled rows.
+    """
+    spark, pieces, number = df.sparkSession, new_dir(df.sparkSession, "pieces"), "_file"
+    while number in df.columns:
+        number = f"_{number}"
+    dealt = df.repartition(files * PIECES).withColumn(number, F.spark_partition_id() % files)
+    dealt.write.option("compression", "zstd").partitionBy(number).parquet(pieces)
+    stored = spark.read.schema(dealt.schema).parquet(pieces)
+    parts = [stored.filter(F.col(number) == k).drop(number).coalesce(1) for k in range(files)]
+    # One task for each part: a union of single partitions would else be a single partition itself.
+    setting = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "false")
+    try:
+        reduce(DataFrame.union, parts).write.mode(mode).parquet(path)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def write_single_file(report: DataFrame, path: str, mode: str = "overwrite") -> None:
