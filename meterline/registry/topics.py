@@ -26,13 +26,9 @@ class Feed:
             events.select(F.col("user_id").cast("string").alias("key"), message.alias("value"), "ts", "event_id"), self.path, PARTITIONS, ["ts", "event_id"])
 
     def drain(self) -> None:
-        """Take micro-batches until one brings nothing."""
-        while True:
-            rows = topic.read_topic(self.spark, self.path, PARTITIONS, "replay", self.start, self.bound)
-            run = sinks.append_parquet(rows, self.out, self.checkpoint, available_now=True)
-            run.awaitTermination()
-            if not sum(report.numInputRows for report in run.recentProgress):
-                return
+        """Take micro-batches until nothing is left."""
+        rows = topic.read_topic(self.spark, self.path, PARTITIONS, "replay", self.start, self.bound)
+        sinks.drain_parquet(rows, self.out, self.checkpoint)
 
     def received(self) -> DataFrame:
         fields = F.from_json("value", "test_data bigint, at bigint")

@@ -28,6 +28,20 @@ def append_parquet(stream: DataFrame, path: str, checkpoint: str, available_now:
     return _start(writer, checkpoint, available_now)
 
 
+def drain_parquet(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Append all that waits to Parquet, one micro-batch right after the other, and stop.
+
+    For sources whose ``available_now`` run takes one bounded micro-batch: a query is started once, not
+    once per micro-batch.
+    """
+    writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
+    run = writer.option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+    try:
+        run.processAllAvailable()
+    finally:
+        run.stop()
+
+
 def print_rows(stream: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Show each micro-batch on the console."""
     return _start(stream.writeStream.outputMode("append").format("console"), checkpoint, available_now)

@@ -17,7 +17,9 @@ import json
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
@@ -79,7 +81,7 @@ class TopicWriter(DataSourceArrowWriter):
         try:
             for batch in iterator:
                 table = pa.Table.from_batches([batch])
-                for partition in sorted(set(table["partition"].to_pylist())):
+                for partition in sorted(pc.unique(table["partition"]).to_pylist()):
                     part = table.filter(pc.equal(table["partition"], partition)).select(["key", "value"])
                     if partition not in writers:
                         name = f"data/{uuid.uuid4().hex}.parquet"
@@ -166,12 +168,18 @@ class TopicReader(DataSourceStreamReader):
     def read(self, partition: FileRange) -> Iterator[pa.RecordBatch]:
         folder, at = Folder(self.path), partition.first
         with folder.files.open_input_file(f"{folder.root}/{partition.name}") as file:
-            for batch in pq.ParquetFile(file).iter_batches():
+            parquet = pq.ParquetFile(file)
+            lengths = [parquet.metadata.row_group(k).num_rows for k in range(parquet.num_row_groups)]
+            firsts = list(accumulate(lengths, initial=at))
+            # Only the row groups of the range: a file is read once over all its micro-batches, not once for each.
+            groups = [k for k, first in enumerate(firsts[:-1]) if first < partition.end and first + lengths[k] > partition.begin]
+            at = firsts[groups[0]] if groups else partition.end
+            for batch in parquet.iter_batches(row_groups=groups):
                 low, high = max(partition.begin - at, 0), min(partition.end - at, batch.num_rows)
                 if low < high:
                     part = batch.slice(low, high - low)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([partition.partition] * part.num_rows, pa.int32()), pa.array(range(at + low, at + high), pa.int64()), *part.columns,
+                        pa.repeat(pa.scalar(partition.partition, pa.int32()), part.num_rows), pa.array(np.arange(at + low, at + high)), *part.columns,
                     ], names=["partition", "position", "key", "value"])
                 at += batch.num_rows
 

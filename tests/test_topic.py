@@ -68,3 +68,35 @@ def test_null_keys_and_unknown_starts(spark, tmp_path):
     assert reader.step() == 3 and reader.values() == [1, 2, 3]
     with pytest.raises(ValueError, match="earliest or latest"):
         topic.read_topic(spark, path, 3, "x", "middle")
+
+
+def test_a_range_reads_only_its_row_groups(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rows = pa.table({"key": ["k"] * 100, "value": [str(n) for n in range(100)]})
+    pq.write_table(rows, tmp_path / "part.parquet", row_group_size=10)
+    reader, decoded, read = topic.TopicReader({"path": str(tmp_path), "partitions": "1", "group": "g"}), [], pq.ParquetFile.iter_batches
+
+    def counted(*args, **options):
+        for batch in read(*args, **options):
+            decoded.append(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(pq.ParquetFile, "iter_batches", counted)
+    for begin, end in ((1000, 1100), (1085, 1093), (1090, 1100), (1000, 1001)):
+        decoded.clear()
+        got = [r for batch in reader.read(topic.FileRange(0, "part.parquet", 1000, begin, end)) for r in batch.to_pylist()]
+        assert [(r["position"], r["value"], r["partition"]) for r in got] == [(n, str(n - 1000), 0) for n in range(begin, end)]
+        assert sum(decoded) <= end - begin + 20
+
+
+def test_one_query_drains_all_micro_batches(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    reader = Reader(spark, tmp_path, "drained", bound=40)
+    for low, high, batches in ((0, 100, 3), (100, 150, 5), (150, 150, 5)):
+        if high > low:
+            topic.publish(rows_of(spark, low, high), path, 3, ["id"])
+        sinks.drain_parquet(topic.read_topic(spark, path, 3, "drained", "earliest", 40), reader.out, reader.checkpoint)
+        assert reader.values() == list(range(high))
+        assert len(glob.glob(f"{reader.checkpoint}/commits/[0-9]*")) == batches
