@@ -208,7 +208,7 @@ def stream_upsert_tumble(spark, sf_dir):
 def stream_session_query(spark, sf_dir):
     """Closed sessions per pair; trips of a pair are spread over years, so the gap is a day."""
     dropoff = parse_event_time(F.get_json_object("value", "$.lpep_dropoff_datetime"))
-    batch = materialize(trip_messages(spark, sf_dir).withColumn("ts", dropoff), "session-messages")
+    batch = materialize(trip_messages(spark, sf_dir).withColumn("ts", dropoff), "session-messages", codec="zstd")
     history = History.of(batch, "ts")
 
     def job(inbox):

@@ -10,6 +10,8 @@ from meterline.functions.temporal import from_epoch_millis, parse_event_time
 from meterline.schemas import EVENT_MESSAGE, TRIP_MESSAGE
 
 FILES_PER_TRIGGER = 100
+# A compressed file is one task's work, so none holds more messages.
+MESSAGES_PER_FILE = 1_000_000
 
 
 def to_messages(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -18,8 +20,9 @@ def to_messages(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def write_message_files(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """Replay messages as text files, the broker-free form of a topic."""
-    messages.select("value").write.mode(mode).text(path)
+    """Replay messages as compressed text files of bounded length, the broker-free form of a topic."""
+    writer = messages.select("value").write.mode(mode).option("maxRecordsPerFile", MESSAGES_PER_FILE)
+    writer.option("compression", "gzip").text(path)
 
 
 def read_message_files(spark: SparkSession, path: str, files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
