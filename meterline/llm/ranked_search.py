@@ -2,7 +2,8 @@ r"""Ranked lexical search by NRA over segments of an inverted index.
 
 ``build_index`` writes one row per segment (``SEGMENT`` bytes of text, one text at least): the terms
 of its documents in order, and per term the documents that hold it with their frequencies. Nothing
-is shuffled, and a segment is as large as its texts whatever the corpus holds.
+is shuffled, and a segment is as large as its texts whatever the corpus holds. Each is a row group
+of its own: what a task holds is bounded by a segment, not by the part of the corpus it is given.
 
 ``search`` knows N, L and every term's df from the segments' own counts, so the weights hold for the
 whole corpus. A task reads its segments one after the other. In a segment the list of a term is
@@ -63,9 +64,10 @@ def terms_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     begins[edges] |= member[1:][edges]
     starts = np.flatnonzero(begins)
     kept = data[member[1:]]
-    kept = np.where((kept >= 0x41) & (kept <= 0x5A), kept + np.uint8(0x20), kept).astype(np.uint8)
-    before = np.cumsum(member[1:])  # term bytes up to each byte
-    bounds = np.append(before[starts] - 1, len(kept)).astype(np.int64)
+    kept[(kept >= 0x41) & (kept <= 0x5A)] += 0x20
+    bounds = np.zeros(len(starts) + 1, np.int64)
+    if len(starts):  # all term bytes from a start to the next are of one term
+        np.cumsum(np.add.reduceat(member[1:], starts, dtype=np.int64), out=bounds[1:])
     pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(kept))
     return pieces.dictionary_encode(), np.diff(np.searchsorted(starts, offsets))
 
@@ -79,6 +81,15 @@ def _postings(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.nda
     return found.dictionary, np.bincount(term, minlength=len(found.dictionary)), doc, frequency, lengths
 
 
+def _packed(numbers: np.ndarray) -> pa.Array:
+    """One binary value of 32-bit numbers, small on its way through the JVM."""
+    return pa.array([pa.compress(numbers.astype("<i4").tobytes(), codec="zstd", asbytes=True)], pa.binary())
+
+
+def _unpacked(packed: pa.Buffer, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd"), "<i4")
+
+
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for step in steps(batch, "text", SEGMENT):
@@ -86,14 +97,19 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = [step.column(0), pa.array(lengths, pa.int64()), terms.cast(pa.string()), pa.array(counts, pa.int32())]
             yield pa.RecordBatch.from_arrays([
                 *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists),
-                pa.array([docs.astype("<i4").tobytes()], pa.binary()), pa.array([frequencies.astype("<i4").tobytes()], pa.binary()),
+                _packed(docs), _packed(frequencies),
             ], schema=_ARROW)
 
 
 def build_index(docs: DataFrame, path: str) -> None:
-    """Write the segments of all documents to ``path``."""
+    """Write the segments of all documents to ``path``.
+
+    Parquet would close a row group or a page after 100 rows at the earliest, whatever their size, and
+    Spark reads up to 4096 rows of a row group at once: a whole file of segments.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    small_batches(rows).mapInArrow(lean(_segments), SCHEMA).write.parquet(path)
+    segments = small_batches(rows).mapInArrow(lean(_segments), SCHEMA)
+    segments.write.option("parquet.block.row.count.limit", 1).parquet(path)
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,8 +184,9 @@ class Lists:
         size = counts[own]
         ends = np.cumsum(size)
         place = np.repeat(begins[own] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        docs = np.frombuffer(segment["postings"], "<i4")[place]
-        frequency = np.frombuffer(segment["frequencies"], "<i4")[place].astype(np.int64)
+        n = int(counts.sum())
+        docs = _unpacked(segment["postings"], n)[place]
+        frequency = _unpacked(segment["frequencies"], n)[place].astype(np.int64)
         value = impacts(frequency, segment["lengths"].to_numpy()[docs], n_docs, n_terms) * np.repeat(items.weights[held], size)
         order = np.lexsort((-value, np.repeat(np.arange(len(own)), size)))
         self.docs, self.values = docs[order], value[order]

@@ -6,9 +6,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from meterline.llm import ranked_search
+from meterline.llm.common import plain_strings
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {k: k + 32 for k in range(0x41, 0x5B)}
@@ -81,6 +84,34 @@ def test_blocks_of_items(spark, monkeypatch):
     assert run(spark, docs, items) == brute_force(docs, items)
 
 
+def test_a_row_group_holds_one_segment(spark, tmp_path):
+    """Readers hold a row group at once; a task's segments add up to whatever its part of the corpus has."""
+    docs, path = corpus(200, 11), str(tmp_path / "index")
+    items = [(k, text) for k, (_, text) in enumerate(corpus(5, 12))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        ranked_search.build_index(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), path)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    [file] = (tmp_path / "index").glob("*.parquet")
+    stated = pq.ParquetFile(file).metadata
+    assert stated.num_row_groups == 20 and all(stated.row_group(k).num_rows == 1 for k in range(20))
+    found = ranked_search.search(spark, path, spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, found.collect()), key=repr) == brute_force(docs, items)
+
+
+@pytest.mark.parametrize("numbers", [[], [0], [7, 0, 300, (1 << 31) - 1]])
+def test_packed_numbers(numbers):
+    packed = ranked_search._packed(np.array(numbers, np.int64))[0].as_buffer()
+    assert ranked_search._unpacked(packed, len(numbers)).tolist() == numbers
+
+
+def test_terms_of_touching_texts():
+    texts = ["", "ab AB", "cd", None, "é-Z9", "..", "x", ""]
+    found, counts = ranked_search.terms_of(plain_strings(pa.array(texts)))
+    assert found.to_pylist() == [term for text in texts for term in terms(text)] and counts.tolist() == [len(terms(text)) for text in texts]
+
+
 def test_empty_tables_and_clashing_columns(spark, edge_docs, no_docs):
     items = spark.createDataFrame([(1, "one", 2, 3)], "item_id long, text string, terms int, lengths int")
     assert ranked_search.rank_documents(no_docs, items).count() == 0
